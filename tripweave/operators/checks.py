@@ -25,7 +25,8 @@ def _summary(counts: DataFrame, check: str, table: str, severity: str, passed: C
     )
 
 
-_NO_FAILURES = F.coalesce(F.col("n_fail"), F.lit(0)) == 0
+def _no_failures() -> Column:
+    return F.coalesce(F.col("n_fail"), F.lit(0)) == 0
 
 
 def not_empty(df: DataFrame, table: str) -> DataFrame:
@@ -45,7 +46,7 @@ def not_null(df: DataFrame, table: str, column: str, severity: str = "error") ->
     counts = df.agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(column).isNull().cast("bigint")).alias("n_fail")
     )
-    return _summary(counts, "not_null", table, severity, _NO_FAILURES)
+    return _summary(counts, "not_null", table, severity, _no_failures())
 
 
 def unique(df: DataFrame, table: str, column: str, within: str | None = None, nulls_equal: bool = True) -> DataFrame:
@@ -58,7 +59,7 @@ def unique(df: DataFrame, table: str, column: str, within: str | None = None, nu
     rows = df if nulls_equal else df.filter(F.col(column).isNotNull())
     per_key = rows.groupBy(*([within] if within else []), column).agg(F.count(F.lit(1)).alias("n"))
     counts = per_key.agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("n_fail"))
-    return _summary(counts, "unique", table, "error", _NO_FAILURES)
+    return _summary(counts, "unique", table, "error", _no_failures())
 
 
 # ---- failing rows -------------------------------------------------------------------------
