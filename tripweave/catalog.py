@@ -332,7 +332,7 @@ def _(w):
 
 @query("check_unresolved_tickets")
 def _(w):
-    return identity.unresolved_tickets(w.table("silver_tickets"), w.anchors())
+    return identity.unresolved_tickets(w.table("ticket_links"))
 
 
 @query("check_postal_city")
@@ -514,7 +514,7 @@ def _(w):
 
 @query("vendor_grouped")
 def _(w):
-    return w.vendors().select("email", "first_seen", "last_seen")
+    return w.model("vendor_emails").select("email", "first_seen", "last_seen")
 
 
 @query("vendor_identities")
@@ -540,14 +540,14 @@ def _(w):
 @query("clv_by_resolved")
 def _(w):
     return identity.clv_by_resolved(
-        w.anchors(), w.vendors(), w.table("silver_hotel_bookings"), w.table("silver_tickets")
+        w.anchors(), w.vendors(), w.table("silver_hotel_bookings"), w.table("ticket_links")
     )
 
 
 @query("clv_by_resolved_faithful")
 def _(w):
     return identity.clv_by_resolved(
-        w.anchors(), w.vendors(), w.table("silver_hotel_bookings"), w.table("silver_tickets"), dedupe_source_ids=False
+        w.anchors(), w.vendors(), w.table("silver_hotel_bookings"), w.table("ticket_links"), dedupe_source_ids=False
     )
 
 

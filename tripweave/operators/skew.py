@@ -5,25 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Heavy hitters tracked per join; also the proven row bound of the broadcast hot-key list.
-MAX_HOT_KEYS = 128
-TRACKED_ITEMS = 4096
+# Keys with at least this many rows are spread out, the largest MAX_HOT_KEYS of them. The second
+# number is also the proven row bound of the broadcast list of such keys.
+HOT_ROWS = 100_000
+MAX_HOT_KEYS = 1_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.002) -> DataFrame:
-    """Keys holding more than ``share`` of the rows, found in one pass with a bounded sketch.
+def hot_keys(df: DataFrame, key: str, at_least: int = HOT_ROWS) -> DataFrame:
+    """The largest keys of a table that hold ``at_least`` rows each.
 
-    The answer only steers which rows are spread out; no result depends on it.
+    Counts are combined before the shuffle, so it moves one row per key and input task. The list
+    only steers which rows are spread out; no result depends on it, and what a key beyond the
+    list holds is small enough for the run-time splitting of join partitions.
     """
-    sketch = df.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    return (
-        sketch.select("n", F.explode("top").alias("t"))
-        .filter(F.col("t.count") > F.col("n") * share)
-        .select(F.col("t.item").alias(key), F.lit(True).alias("_hot"))
-    )
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.filter(F.col("n") >= at_least).orderBy(F.desc("n"), key).limit(MAX_HOT_KEYS)
+    return largest.select(key, F.lit(True).alias("_hot"))
 
 
 def lookup_join(

@@ -23,14 +23,14 @@ DEPENDENCIES = {
     "silver_flight_bookings": [],
     "silver_experience_bookings": [],
     "silver_tickets": [],
-    "dim_customer": [
-        "silver_customers", "silver_hotel_bookings", "silver_flight_bookings", "silver_experience_bookings",
-        "silver_tickets",
-    ],
+    "vendor_emails": ["silver_flight_bookings", "silver_experience_bookings"],
+    "ticket_links": ["silver_tickets", "silver_customers"],
+    "dim_customer": ["silver_customers", "silver_hotel_bookings", "vendor_emails", "ticket_links"],
     "fact_bookings": [
         "silver_customers", "silver_hotel_bookings", "silver_flight_bookings", "silver_experience_bookings",
+        "vendor_emails",
     ],
-    "mart_customer_clv": ["dim_customer", "fact_bookings", "silver_customers", "silver_tickets"],
+    "mart_customer_clv": ["dim_customer", "fact_bookings", "silver_customers", "ticket_links"],
     "mart_route_monthly": ["fact_bookings"],
 }
 
@@ -59,10 +59,13 @@ class Warehouse:
             source, cleanse = silver.MODELS[name]
             return cleanse(self.landed(source))
         t = {dep: self.table(dep) for dep in DEPENDENCIES[name]}
+        if name == "vendor_emails":
+            return identity.vendor_grouped(t["silver_flight_bookings"], t["silver_experience_bookings"])
+        if name == "ticket_links":
+            return identity.ticket_links(t["silver_tickets"], self.anchors())
         if name == "dim_customer":
             return identity.dim_customer(
-                t["silver_customers"], t["silver_hotel_bookings"], t["silver_flight_bookings"],
-                t["silver_experience_bookings"], t["silver_tickets"], self.as_of,
+                t["silver_customers"], t["silver_hotel_bookings"], t["vendor_emails"], t["ticket_links"], self.as_of
             )
         if name == "fact_bookings":
             return facts.fact_bookings(self.bookings(), self.customer_keys())
@@ -92,9 +95,7 @@ class Warehouse:
         return identity.app_anchors(self.table("silver_customers"))
 
     def vendors(self) -> DataFrame:
-        return identity.vendor_grouped(
-            self.table("silver_flight_bookings"), self.table("silver_experience_bookings")
-        )
+        return self.table("vendor_emails")
 
     def bookings(self) -> DataFrame:
         return facts.bookings_unified(
@@ -106,4 +107,4 @@ class Warehouse:
         return identity.customer_keys(self.anchors(), self.vendors())
 
     def support(self) -> DataFrame:
-        return identity.support_agg(identity.ticket_summaries(self.table("silver_tickets"), self.anchors()))
+        return identity.support_agg(identity.ticket_summaries(self.table("ticket_links"), self.anchors()))

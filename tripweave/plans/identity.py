@@ -101,9 +101,10 @@ def vendor_identities(vendors: DataFrame, anchors: DataFrame) -> DataFrame:
 
 def vendor_links(vendors: DataFrame, anchors: DataFrame) -> DataFrame:
     """Vendor emails of app customers, one row per app customer with that email."""
-    seen = vendors.select("email", "first_seen", "last_seen")
-    linked = anchors.drop("first_seen", "last_seen", "phone").join(seen, "email")
-    return linked.select(
+    seen = vendors.select("email", "first_seen", "last_seen", F.lit(True).alias("linked"))
+    people = anchors.drop("first_seen", "last_seen", "phone")
+    linked = lookup_join(people, seen, "email", "customer_id", hot_keys(people, "email"))
+    return linked.filter(F.col("linked")).select(
         *_vendor_row(F.col("resolved_customer_id"), RANK_DIRECT, F.col("email")),
         "name_std", "address_city", "address_province", "address_postal_code",
     )
@@ -128,7 +129,10 @@ def crm_candidates(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
     )
     bridge = F.when(F.col("by_email").isNull() & not_blank(F.col("customer_phone")), F.col("customer_phone"))
     owners = phone_owners(anchors).withColumnRenamed("resolved_customer_id", "by_phone")
-    out = lookup_join(flagged.withColumn("phone", bridge), owners, "phone", "ticket_id")
+    out = lookup_join(
+        flagged.withColumn("phone", bridge), owners, "phone", "ticket_id",
+        hot_keys(tickets.select(F.col("customer_phone").alias("phone")), "phone"),
+    )
     own = F.when(not_blank(F.col("customer_email")), resolved_id(F.col("customer_email")))
     return out.select(
         F.coalesce("by_email", "by_phone", own).alias("resolved_customer_id"),
@@ -177,80 +181,81 @@ def contacts(tickets: DataFrame) -> DataFrame:
     )
 
 
-def _merged(linked: DataFrame, key: str) -> DataFrame:
-    return linked.groupBy(key).agg(
-        F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"),
-        F.sum("tickets").alias("tickets"),
-        F.sum("critical").alias("critical"),
-        F.sum("hours").alias("hours"),
-        F.sum("timed").alias("timed"),
-        F.max("named").alias("named"),
-        F.max("rank").alias("confidence_rank"),
-        F.flatten(F.collect_list("ticket_ids")).alias("ticket_ids"),
-        F.collect_set(F.when(not_blank(F.col("customer_email")), F.col("customer_email"))).alias("emails"),
-        F.collect_set(F.when(not_blank(F.col("customer_phone")), F.col("customer_phone"))).alias("phones"),
-    )
-
-
 def _routed_contacts(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Contacts with the way they reach a customer: ``by_email``, ``by_phone`` or neither."""
+    """Contacts with the value that links them to customers.
+
+    ``link`` is ``email`` when the email is an app customer's or nothing better is known, ``phone``
+    when only the phone is an app customer's, NULL when the contact carries neither.
+    """
     known_emails = anchors.select("email").distinct().withColumn("email_known", F.lit(True))
     known_phones = (
         anchors.filter(not_blank(F.col("phone"))).select("phone").distinct().withColumn("phone_known", F.lit(True))
     )
-    rows = contacts(tickets).withColumns(
-        {
-            "email": F.col("customer_email"),
-            "phone": F.col("customer_phone"),
-            "contact_id": F.concat_ws("\u0001", F.coalesce("customer_email", F.lit("")), F.coalesce("customer_phone", F.lit(""))),
-        }
+    contact_id = F.concat_ws(
+        "\u0001", F.coalesce("customer_email", F.lit("")), F.coalesce("customer_phone", F.lit(""))
     )
+    rows = contacts(tickets).withColumns({"email": F.col("customer_email"), "contact_id": contact_id})
     rows = lookup_join(
         rows, known_emails, "email", "contact_id",
         hot_keys(tickets.select(F.col("customer_email").alias("email")), "email"),
     )
-    bridge = F.when(F.col("email_known").isNull() & not_blank(F.col("phone")), F.col("phone"))
+    # Only contacts without a known email go on to the phone lookup.
+    bridge = F.when(F.col("email_known").isNull() & not_blank(F.col("customer_phone")), F.col("customer_phone"))
     rows = lookup_join(
         rows.withColumn("phone", bridge), known_phones, "phone", "contact_id",
         hot_keys(tickets.select(F.col("customer_phone").alias("phone")), "phone"),
     )
+    has_email = not_blank(F.col("customer_email"))
     return rows.withColumns(
         {
-            "by_phone": F.when(F.col("phone_known"), F.col("phone")),
-            "by_email": F.when(F.col("phone_known").isNull() & not_blank(F.col("email")), F.col("email")),
-            "rank": F.when(F.col("email_known"), RANK_DIRECT).otherwise(RANK_EMAIL_ONLY),
+            "link": F.when(F.col("phone_known"), "phone").when(has_email, "email"),
+            "link_value": F.when(F.col("phone_known"), F.col("phone")).when(has_email, F.col("customer_email")),
+            "confidence_rank": F.when(F.col("email_known"), RANK_DIRECT).when(F.col("phone_known"), RANK_PHONE)
+            .otherwise(RANK_EMAIL_ONLY),
         }
     )
 
 
-def ticket_summaries(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Ticket figures per customer and way of reaching it.
+def ticket_links(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Ticket figures per linking email or phone; tickets that reach nobody form the NULL link.
+
+    Stored as a table of its own, because both the customers and their support figures need it.
+    """
+    return _routed_contacts(tickets, anchors).groupBy("link", "link_value", "confidence_rank").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.sum("tickets").alias("tickets"),
+        F.sum("critical").alias("critical"),
+        F.sum("hours").alias("hours"),
+        F.sum("timed").alias("timed"),
+        F.max("named").alias("named"),
+        F.flatten(F.collect_list("ticket_ids")).alias("ticket_ids"),
+        F.collect_set(F.when(not_blank(F.col("customer_email")), F.col("customer_email"))).alias("emails"),
+        F.collect_set(F.when(not_blank(F.col("customer_phone")), F.col("customer_phone"))).alias("phones"),
+    )
+
+
+def ticket_summaries(links: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Ticket figures per customer and link.
 
-    Tickets are merged per linking email or phone before they meet the customers, so a phone with
-    many tickets and many customers costs one row per customer, not one per pair.
+    A customer id follows from a linking email without a join. For phones, every (phone, customer)
+    pair looks up the one row of its phone, so a phone with many tickets and many customers costs
+    one row per customer, not one per ticket and customer.
     """
-    routed = _routed_contacts(tickets, anchors)
-    direct = (
-        _merged(routed.filter(F.col("by_email").isNotNull()), "by_email")
-        .withColumn("resolved_customer_id", resolved_id(F.col("by_email")))
-        .drop("by_email")
+    direct = links.filter(F.col("link") == "email").withColumn(
+        "resolved_customer_id", resolved_id(F.col("link_value"))
     )
-    bridged = (
-        _merged(routed.filter(F.col("by_phone").isNotNull()), "by_phone")
-        .join(phone_owners(anchors).withColumnRenamed("phone", "by_phone"), "by_phone")
-        .drop("by_phone")
-        .withColumn("confidence_rank", F.lit(RANK_PHONE))
+    by_phone = links.filter(F.col("link") == "phone").withColumnRenamed("link_value", "phone").drop("link")
+    owners = phone_owners(anchors)
+    bridged = lookup_join(owners, by_phone, "phone", "resolved_customer_id", hot_keys(owners, "phone"))
+    return direct.drop("link", "link_value").unionByName(
+        bridged.filter(F.col("tickets").isNotNull()).drop("phone")
     )
-    return direct.unionByName(bridged)
 
 
-def unresolved_tickets(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
+def unresolved_tickets(links: DataFrame) -> DataFrame:
     """How many tickets reach no customer at all."""
-    routed = _routed_contacts(tickets, anchors)
-    return routed.filter(F.col("by_email").isNull() & F.col("by_phone").isNull()).agg(
-        F.coalesce(F.sum("tickets"), F.lit(0)).alias("tickets")
-    )
+    return links.filter(F.col("link").isNull()).agg(F.coalesce(F.sum("tickets"), F.lit(0)).alias("tickets"))
 
 
 def support_agg(summaries: DataFrame) -> DataFrame:
@@ -274,7 +279,7 @@ def _hotel_value(hotels: DataFrame, anchors: DataFrame) -> DataFrame:
 
 
 def clv_by_resolved(
-    anchors: DataFrame, vendors: DataFrame, hotels: DataFrame, tickets: DataFrame, dedupe_source_ids: bool = True
+    anchors: DataFrame, vendors: DataFrame, hotels: DataFrame, links: DataFrame, dedupe_source_ids: bool = True
 ) -> DataFrame:
     """Lifetime value per customer: the sum of its completed bookings.
 
@@ -289,7 +294,7 @@ def clv_by_resolved(
         )
     no_value = F.lit(None).cast("bigint").alias("clv_idr")
     everyone = anchors.select("resolved_customer_id", no_value).unionByName(
-        ticket_summaries(tickets, anchors).select("resolved_customer_id", no_value)
+        ticket_summaries(links, anchors).select("resolved_customer_id", no_value)
     )
     value = _hotel_value(hotels, anchors).unionByName(
         vendor.select(resolved_id(F.col("email")).alias("resolved_customer_id"), "clv_idr")
@@ -327,20 +332,19 @@ def _one(c: Column) -> Column:
 
 
 def dim_customer(
-    customers: DataFrame,
-    hotels: DataFrame,
-    flights: DataFrame,
-    experiences: DataFrame,
-    tickets: DataFrame,
-    as_of: str,
+    customers: DataFrame, hotels: DataFrame, vendors: DataFrame, links: DataFrame, as_of: str, arrays: bool = True
 ) -> DataFrame:
     """One row per resolved customer.
 
-    Each source is reduced to one row per source key, the rows are united and a single grouping by
+    ``vendors`` comes from :func:`vendor_grouped` and ``links`` from :func:`ticket_links`. Each
+    source is reduced to one row per source key, the rows are united and a single grouping by
     customer id produces every column, the lifetime value included.
+
+    The lists of emails, phones and source ids are values of the row itself, so a customer with
+    very many source records has one very long row. ``arrays=False`` leaves them out; membership
+    is then read from :func:`identity_rows`, one row per source record.
     """
     anchors = app_anchors(customers)
-    vendors = vendor_grouped(flights, experiences)
 
     def pick(value: str) -> Column:
         col = F.col(value)
@@ -375,7 +379,7 @@ def dim_customer(
         F.col("named.scid").alias("source_customer_id"),
         F.col("named.customer_name").alias("value"),
     )
-    crm_rows = ticket_summaries(tickets, anchors).select(
+    crm_rows = ticket_summaries(links, anchors).select(
         "resolved_customer_id", "confidence_rank", "first_seen", "last_seen",
         F.lit("crm").alias("source_system"),
         "emails", "phones",
@@ -389,14 +393,13 @@ def dim_customer(
     def all_of(name: str) -> Column:
         return F.sort_array(F.array_distinct(F.flatten(F.collect_set(name))))
 
+    lists = ["emails", "phones", "source_customer_ids"] if arrays else []
     grouped = rows.groupBy("resolved_customer_id").agg(
-        all_of("emails").alias("emails"),
-        all_of("phones").alias("phones"),
+        *[all_of(name).alias(name) for name in lists],
         F.max("name_std").alias("name_std"),
         F.max("address_city").alias("address_city"),
         F.max("address_province").alias("address_province"),
         F.max("address_postal_code").alias("address_postal_code"),
-        all_of("source_customer_ids").alias("source_customer_ids"),
         F.sort_array(F.collect_set("source_system")).alias("source_systems"),
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
@@ -405,12 +408,13 @@ def dim_customer(
     )
     dormant = grouped.withColumn("dormant_days", T.days_since(F.col("last_seen"), as_of))
     return dormant.select(
-        "resolved_customer_id", "emails", "phones",
+        "resolved_customer_id", *[name for name in lists if name != "source_customer_ids"],
         F.col("name_std.value").alias("name_std"),
         F.col("address_city.value").alias("address_city"),
         F.col("address_province.value").alias("address_province"),
         F.col("address_postal_code.value").alias("address_postal_code"),
-        "source_customer_ids", "source_systems", "first_seen", "last_seen", "dormant_days",
+        *[name for name in lists if name == "source_customer_ids"],
+        "source_systems", "first_seen", "last_seen", "dormant_days",
         confidence_label(F.col("max_rank")).alias("identity_confidence"),
         "clv_idr",
         scoring.loyalty_tier(F.col("clv_idr"), F.col("dormant_days")).alias("loyalty_tier"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import cleanse as C
 from tripweave.operators import checks as K
+from tripweave.operators.skew import hot_keys, lookup_join
 from tripweave.schema import GOLD_KEYS, LANDED, SILVER_KEYS
 
 
@@ -111,6 +112,7 @@ def postal_city_mismatches(customers: DataFrame, prefixes: DataFrame) -> DataFra
     by_city = prefixes.groupBy(C.title_case(F.col("city")).alias("city")).agg(
         F.collect_set("postal_prefix").alias("prefixes")
     )
-    joined = customers.filter(F.col("postal_code").isNotNull()).join(by_city, "city")
+    joined = lookup_join(customers, by_city, "city", "customer_id", hot_keys(customers, "city"))
     fits = F.exists("prefixes", lambda p: F.startswith(F.col("postal_code"), p))
+    # Unknown cities and missing postal codes leave the condition NULL.
     return joined.filter(~fits).select("customer_id", "city", "postal_code")

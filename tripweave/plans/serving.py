@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripweave.functions.identity import hex_id, id_from_hex
 from tripweave.operators.dedupe import first_rows
 from tripweave.operators.search import SearchFilter, sort_order
-from tripweave.operators.skew import not_blank
+from tripweave.operators.skew import hot_keys, lookup_join, not_blank
 from tripweave.plans.marts import BOOKING_TYPES
 
 _ID = "resolved_customer_id"
@@ -109,10 +109,9 @@ def top_customers(dim: DataFrame, limit: int = 10) -> DataFrame:
 def city_revenue_map(routes: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """City value with its position, and relative to the largest city on the map.
 
-    The gazetteer is a hand-kept list with one row per city, so it is broadcast, and the rows
-    left after the join are no more than it holds.
+    Both sides are one row per city, so the figures compared by the window are few.
     """
-    placed = _by_city(routes).join(F.broadcast(gazetteer), "city")
+    placed = _by_city(routes).join(gazetteer, "city")
     largest = F.max("total_revenue").over(Window.partitionBy(F.lit(1)))
     return placed.select(
         "city", "province", "lat", "lng", "total_revenue", "booking_count",
@@ -261,7 +260,8 @@ def recent_tickets(dim: DataFrame, tickets: DataFrame, k: int = 20) -> DataFrame
     parts = []
     for point, owners in zip(("customer_email", "customer_phone"), _contact_points(dim)):
         keyed = tickets.filter(not_blank(F.col(point))).select(point, *kept)
-        parts.append(first_rows(keyed, [point], newest, k).join(owners, point).select(_ID, *kept))
+        held = lookup_join(owners, first_rows(keyed, [point], newest, k), point, _ID, hot_keys(owners, point))
+        parts.append(held.filter(F.col("ticket_id").isNotNull()).select(_ID, *kept))
     hits = parts[0].unionByName(parts[1]).dropDuplicates([_ID, "ticket_id"])
     return first_rows(hits, [_ID], newest, k)
 

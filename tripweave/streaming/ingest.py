@@ -24,10 +24,18 @@ def file_stream(spark: SparkSession, folder: str, table: LandedTable, files_per_
     return reader.json(folder)
 
 
-def land_stream(stream: DataFrame, table: LandedTable, target: str, checkpoint: str) -> StreamingQuery:
-    """Append the stream to the day-partitioned landed table, exactly once, and stop when caught up."""
+def land_stream(
+    stream: DataFrame, table: LandedTable, target: str, checkpoint: str, files_per_day: int = 4
+) -> StreamingQuery:
+    """Append the stream to the day-partitioned landed table, exactly once, and stop when caught up.
+
+    Each micro-batch writes up to ``files_per_day`` files per day, so one day neither ends in a
+    single task nor in a file per task.
+    """
+    share = F.pmod(F.xxhash64(table.key), F.lit(files_per_day))
+    rows = conform(stream, table).repartition(F.col("ingest_date"), share)
     return (
-        conform(stream, table).writeStream.format("parquet").partitionBy("ingest_date")
+        rows.writeStream.format("parquet").partitionBy("ingest_date")
         .option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
