@@ -9,29 +9,32 @@ from pyspark.sql import functions as F
 MONTH_WORDS = {"Mei": "May", "Agt": "Aug", "Okt": "Oct", "Des": "Dec"}
 # -------------------------------------------------------------------------------------------
 
-_OTHER_FORMATS = ["d/M/yyyy H:mm:ss", "d/M/yyyy", "d MMM yyyy H:mm:ss", "d MMM yyyy"]
-
 
 def timestamp(c: Column, source_tz: str | None = None) -> Column:
     """Text in any of the known shapes to a timestamp with second precision, else NULL.
 
     Text with an offset is an instant. Text without one is read in the session zone, or in
-    ``source_tz`` when the source is known to write local time.
+    ``source_tz`` when the source is known to write local time. The shape picks one parser, so
+    the usual ISO text is parsed once and nothing else is tried.
     """
     text = F.trim(c)
-    digits = text.rlike(r"^[0-9]+$")
-    iso = F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"), text.try_cast("timestamp"))
-    packed = (
-        F.when(F.length(text) == 8, F.try_to_timestamp(text, F.lit("yyyyMMdd")))
-        .when(F.length(text) == 14, F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss")))
+    size = F.length(text)
+
+    def parsed(pattern: str) -> Column:
+        return F.try_to_timestamp(text, F.lit(pattern))
+
+    local = (
+        F.when(F.substring(text, 5, 1) == "-", text.try_cast("timestamp"))
+        .when(text.contains("/"), parsed("d/M/yyyy[ H:mm:ss]"))
+        .when(text.contains(" "), parsed("d MMM yyyy[ H:mm:ss]"))
+        .when(size == 8, parsed("yyyyMMdd"))
+        .when(size == 14, parsed("yyyyMMddHHmmss"))
     )
-    others = [F.try_to_timestamp(text, F.lit(f)) for f in _OTHER_FORMATS]
-    local = F.coalesce(iso, F.when(digits, packed), *[F.when(~digits, o) for o in others])
+    epoch = size.between(9, 10) & text.rlike("^[0-9]+$")
     if source_tz:
         has_offset = text.rlike(r"[0-9](Z|[+-][0-9]{2}:?[0-9]{2})$")
         local = F.when(has_offset, local).otherwise(F.to_utc_timestamp(local, source_tz))
-    epoch = F.when(digits & F.length(text).between(9, 10), F.timestamp_seconds(text.try_cast("bigint")))
-    return F.date_trunc("second", F.coalesce(epoch, local))
+    return F.date_trunc("second", F.when(epoch, F.timestamp_seconds(text.cast("bigint"))).otherwise(local))
 
 
 def timestamp_id(c: Column) -> Column:
