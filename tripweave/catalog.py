@@ -14,6 +14,7 @@ from tripweave.functions import display
 from tripweave.functions import temporal
 from tripweave.functions.identity import hex_id, resolved_id
 from tripweave.operators.components import identity_components
+from tripweave.operators.reconcile import latest_scan, total_mismatches
 from tripweave.operators.search import SearchFilter
 from tripweave.operators.skew import not_blank
 from tripweave.operators.upsert import merge_into, upsert
@@ -609,6 +610,34 @@ def _(w):
     )
 
 
+# ---- order reconciliation and re-scans ----------------------------------------------------
+
+
+def _raw(w: Warehouse, name: str) -> DataFrame:
+    return w.spark.read.parquet(f"{w.source_dir}/{name}.parquet")
+
+
+@query("order_reconciliation")
+def _(w):
+    """Orders whose total differs by more than 100 from their lines after discount and tax."""
+    money, rate = "decimal(18,2)", "decimal(6,4)"
+    value = (
+        F.col("l_extendedprice").cast(money) * (1 - F.col("l_discount").cast(rate)) * (1 + F.col("l_tax").cast(rate))
+    ).cast("decimal(24,2)")
+    lines = _raw(w, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    found = total_mismatches(
+        _raw(w, "orders"), lines, "o_orderkey", F.col("o_totalprice").cast(money), value, tolerance=100.0
+    )
+    return found.select("o_orderkey", "stated_total", "line_total", "difference")
+
+
+@query("latest_rescan")
+def _(w):
+    """Lines scanned again for the same order and part, the latest scan kept."""
+    lines = _raw(w, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
+    return latest_scan(lines, ["l_orderkey", "l_partkey"], "l_shipdate", "l_linenumber")
+
+
 # ---- executive overview -------------------------------------------------------------------
 
 

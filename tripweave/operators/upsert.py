@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripweave.sources.tables import SnapshotTable
 
@@ -22,3 +23,9 @@ def merge_into(table: SnapshotTable, batch: DataFrame, key: str, full_refresh: b
     if full_refresh or not table.exists():
         return table.write(batch)
     return table.write(upsert(table.read(), batch, key))
+
+
+def merge_into_catalog(batch: DataFrame, target: str, key: str) -> None:
+    """The same upsert for a catalog table whose format supports MERGE; only touched files change."""
+    match = f"{target}.{key} = source.{key}"
+    batch.alias("source").mergeInto(target, F.expr(match)).whenMatched().updateAll().whenNotMatched().insertAll().merge()

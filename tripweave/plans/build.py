@@ -89,6 +89,11 @@ class Warehouse:
         for name in DEPENDENCIES:
             self.table(name)
 
+    def create_views(self) -> None:
+        """Make the stored tables available to ``spark.sql`` under their names."""
+        for name in DEPENDENCIES:
+            self.table(name).createOrReplaceTempView(name)
+
     # ---- parts shared by several models -----------------------------------------------------
 
     def anchors(self) -> DataFrame:

@@ -164,7 +164,7 @@ def identity_rows(anchors: DataFrame, vendors: DataFrame, tickets: DataFrame) ->
 # ---- support tickets, summarised ----------------------------------------------------------
 
 
-def contacts(tickets: DataFrame) -> DataFrame:
+def contacts(tickets: DataFrame, arrays: bool = True) -> DataFrame:
     """Tickets summarised per (email, phone); everything later works on these few rows."""
     scid = scoped("crm", F.col("ticket_id"))
     hours = T.hours_between(F.col("created_at"), F.col("resolved_at"))
@@ -177,11 +177,11 @@ def contacts(tickets: DataFrame) -> DataFrame:
         F.sum(hours).alias("hours"),
         F.count(hours).alias("timed"),
         F.max(named).alias("named"),
-        F.collect_set(scid).alias("ticket_ids"),
+        *([F.collect_set(scid).alias("ticket_ids")] if arrays else []),
     )
 
 
-def _routed_contacts(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
+def _routed_contacts(tickets: DataFrame, anchors: DataFrame, arrays: bool) -> DataFrame:
     """Contacts with the value that links them to customers.
 
     ``link`` is ``email`` when the email is an app customer's or nothing better is known, ``phone``
@@ -194,7 +194,7 @@ def _routed_contacts(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
     contact_id = F.concat_ws(
         "\u0001", F.coalesce("customer_email", F.lit("")), F.coalesce("customer_phone", F.lit(""))
     )
-    rows = contacts(tickets).withColumns({"email": F.col("customer_email"), "contact_id": contact_id})
+    rows = contacts(tickets, arrays).withColumns({"email": F.col("customer_email"), "contact_id": contact_id})
     rows = lookup_join(
         rows, known_emails, "email", "contact_id",
         hot_keys(tickets.select(F.col("customer_email").alias("email")), "email"),
@@ -216,12 +216,19 @@ def _routed_contacts(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
     )
 
 
-def ticket_links(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
+def ticket_links(tickets: DataFrame, anchors: DataFrame, arrays: bool = True) -> DataFrame:
     """Ticket figures per linking email or phone; tickets that reach nobody form the NULL link.
 
     Stored as a table of its own, because both the customers and their support figures need it.
+    The lists of ids and contacts are only there for the lists in the customer table.
     """
-    return _routed_contacts(tickets, anchors).groupBy("link", "link_value", "confidence_rank").agg(
+    email, phone = F.col("customer_email"), F.col("customer_phone")
+    lists = [
+        F.flatten(F.collect_list("ticket_ids")).alias("ticket_ids"),
+        F.collect_set(F.when(not_blank(email), email)).alias("emails"),
+        F.collect_set(F.when(not_blank(phone), phone)).alias("phones"),
+    ] if arrays else []
+    return _routed_contacts(tickets, anchors, arrays).groupBy("link", "link_value", "confidence_rank").agg(
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
         F.sum("tickets").alias("tickets"),
@@ -229,9 +236,7 @@ def ticket_links(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
         F.sum("hours").alias("hours"),
         F.sum("timed").alias("timed"),
         F.max("named").alias("named"),
-        F.flatten(F.collect_list("ticket_ids")).alias("ticket_ids"),
-        F.collect_set(F.when(not_blank(F.col("customer_email")), F.col("customer_email"))).alias("emails"),
-        F.collect_set(F.when(not_blank(F.col("customer_phone")), F.col("customer_phone"))).alias("phones"),
+        *lists,
     )
 
 
@@ -341,8 +346,8 @@ def dim_customer(
     customer id produces every column, the lifetime value included.
 
     The lists of emails, phones and source ids are values of the row itself, so a customer with
-    very many source records has one very long row. ``arrays=False`` leaves them out; membership
-    is then read from :func:`identity_rows`, one row per source record.
+    very many source records has one very long row. ``arrays=False`` (here and for the links)
+    leaves them out; membership is then read from :func:`identity_rows`, one row per record.
     """
     anchors = app_anchors(customers)
 
@@ -379,11 +384,11 @@ def dim_customer(
         F.col("named.scid").alias("source_customer_id"),
         F.col("named.customer_name").alias("value"),
     )
+    crm_lists = ["emails", "phones", F.col("ticket_ids").alias("source_customer_ids")] if arrays else []
     crm_rows = ticket_summaries(links, anchors).select(
         "resolved_customer_id", "confidence_rank", "first_seen", "last_seen",
         F.lit("crm").alias("source_system"),
-        "emails", "phones",
-        F.col("ticket_ids").alias("source_customer_ids"),
+        *crm_lists,
         F.when(F.col("named").isNotNull(), crm_name).alias("name_std"),
     )
     rows = app_rows

@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.schema import LandedTable
+from tripweave.sources.tables import path_exists
 
 FIRST_DAY = date(2026, 1, 1)
 DEFAULT_WINDOW = ("2026-01-01", "2026-01-02")
@@ -79,6 +80,27 @@ def day_file(spark: SparkSession, folder: str, table: LandedTable, day: str | da
         return spark.createDataFrame([], payload)
 
 
+def page_files(spark: SparkSession, path: str, table: LandedTable) -> DataFrame:
+    """Rows of saved API pages, each a JSON object ``{total, limit, offset, data: [rows]}``."""
+    payload = T.StructType([f for f in table.schema.fields if f.name != "ingest_date"])
+    envelope = T.StructType([T.StructField("data", T.ArrayType(payload))])
+    pages = spark.read.schema(envelope).option("multiLine", True).json(path)
+    return pages.select(F.inline("data"))
+
+
+def database_table(
+    spark: SparkSession, url: str, table: LandedTable, split_on: str, bounds: tuple[str, str], splits: int, **options: str
+) -> DataFrame:
+    """A source table read over JDBC in ``splits`` parallel ranges of ``split_on``.
+
+    Column choice and the window of :func:`time_slice` are pushed to the database.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table.name)
+    reader = reader.option("partitionColumn", split_on).option("numPartitions", splits)
+    reader = reader.option("lowerBound", bounds[0]).option("upperBound", bounds[1])
+    return reader.options(**options).load()
+
+
 # ---- typed, day-partitioned storage -------------------------------------------------------
 
 
@@ -112,11 +134,22 @@ def read_landed(spark: SparkSession, root: str, table: LandedTable) -> DataFrame
 
 
 def append(df: DataFrame, root: str, table: LandedTable, day: str | date) -> int:
-    """Append a batch and return its row count; the count is observed while writing."""
-    seen = Observation()
-    batch = conform(stamp(df, day), table).observe(seen, F.count(F.lit(1)).alias("n"))
+    """Append a batch and return how many rows it added.
+
+    Rows are counted in the stored table, of which a count reads file footers only; a batch
+    without its own landing days touches just ``day``.
+    """
+    stamped = "ingest_date" in df.columns
+
+    def stored_rows() -> int:
+        if not path_exists(df.sparkSession, root):
+            return 0
+        return partitions(read_landed(df.sparkSession, root, table), None if stamped else day).count()
+
+    before = stored_rows()
+    batch = conform(stamp(df, day), table)
     clustered(batch, table).write.mode("append").partitionBy("ingest_date").parquet(root)
-    return int(seen.get["n"])
+    return stored_rows() - before
 
 
 def replace_days(df: DataFrame, root: str, table: LandedTable, days: list[str | date]) -> None:
@@ -126,14 +159,12 @@ def replace_days(df: DataFrame, root: str, table: LandedTable, days: list[str |
     """
     wanted = [as_day(d) for d in days]
     batch = conform(df, table).filter(F.col("ingest_date").isin(wanted))
-    # The set of days seen while writing holds at most one entry per requested day.
-    seen = Observation()
-    batch = batch.observe(seen, F.collect_set("ingest_date").alias("days"))
+    # At most one row per requested day reaches the driver, and only the day column is computed.
+    filled = {r[0] for r in batch.select("ingest_date").distinct().collect()}
     (
         clustered(batch, table).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date").parquet(root)
     )
-    filled = set(seen.get["days"])
     for day in wanted:
         if day not in filled:
             replace_day(df.sparkSession.createDataFrame([], table.schema), root, table, day)

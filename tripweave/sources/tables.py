@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -57,3 +58,71 @@ class SnapshotTable:
         number = max(self._snapshots(), default=0) + 1
         df.write.mode("overwrite").parquet(f"{self.path}/snapshot={number}")
         return self.read(df.schema)
+
+
+class MonthlyTable:
+    """A keyed table stored by the month of its event time, so that an upsert rewrites few months.
+
+    Only months that hold a row of the batch, or a stored row the batch replaces, are read and
+    written; all others keep their files. Replaced files are gone, so a DataFrame read before an
+    upsert has to be read again; tables that are served while they change belong in a
+    :class:`SnapshotTable`.
+    """
+
+    MONTH = "stored_month"
+
+    def __init__(self, spark: SparkSession, path: str, key: str, event_time: str, schema: T.StructType):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.key = key
+        self.event_time = event_time
+        self.schema = schema
+
+    def exists(self) -> bool:
+        return bool(_list_names(self.spark, self.path))
+
+    def _stored(self) -> DataFrame:
+        stored_schema = T.StructType([*self.schema.fields, T.StructField(self.MONTH, T.StringType())])
+        return self.spark.read.schema(stored_schema).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().select(*self.schema.fieldNames())
+
+    def _with_month(self, df: DataFrame) -> DataFrame:
+        month = F.coalesce(F.date_format(self.event_time, "yyyy-MM"), F.lit("none"))
+        return df.select(*self.schema.fieldNames()).withColumn(self.MONTH, month)
+
+    def _write(self, df: DataFrame) -> None:
+        (
+            df.hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.MONTH)
+            .parquet(self.path)
+        )
+
+    def replace_all(self, df: DataFrame) -> None:
+        """Static overwrite: keys absent from ``df`` disappear."""
+        rows = self._with_month(df).hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key)
+        rows.write.mode("overwrite").partitionBy(self.MONTH).parquet(self.path)
+
+    def upsert(self, batch: DataFrame) -> None:
+        """Batch rows replace stored rows of the same key; running it twice equals running it once.
+
+        ``batch`` is read several times and must not depend on this table; pass a stored one.
+        """
+        new = self._with_month(batch)
+        if not self.exists():
+            self._write(new)
+            return
+        stored = self._stored()
+        keys = new.select(self.key)
+        replaced = stored.select(self.key, self.MONTH).join(keys, self.key, "left_semi").select(self.MONTH)
+        # At most one row per month of the table's life reaches the driver.
+        months = [r[0] for r in new.select(self.MONTH).unionByName(replaced).distinct().collect()]
+        kept = stored.filter(F.col(self.MONTH).isin(months)).join(keys, self.key, "left_anti")
+        after = kept.unionByName(new)
+        filled = {r[0] for r in after.select(self.MONTH).distinct().collect()}
+        self._write(after)
+        for month in months:
+            if month not in filled:  # every row of it moved to another month
+                empty = self.spark.createDataFrame([], self.schema)
+                empty.write.mode("overwrite").parquet(f"{self.path}/{self.MONTH}={month}")
