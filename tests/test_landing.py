@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripweave.operators.upsert import merge_into, upsert
 from tripweave.plans import silver
-from tripweave.schema import CUSTOMERS, HOTELS, TICKETS
+from tripweave.schema import CUSTOMERS, FLIGHTS, HOTELS, TICKETS
 from tripweave.sources import landing
 from tripweave.sources.reference_data import gazetteer
 from tripweave.sources.tables import SnapshotTable
@@ -155,7 +155,8 @@ def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     def deliver(name, rows):
         (files / name).write_text("\n".join(json.dumps(r) for r in rows))
         stream = ingest.file_stream(spark, str(files), TICKETS)
-        ingest.upsert_stream(stream, silver.silver_tickets, "ticket_id", table, progress).awaitTermination()
+        write = lambda rows: merge_into(table, rows, "ticket_id")
+        ingest.upsert_stream(stream, silver.silver_tickets, write, progress).awaitTermination()
         return {r["ticket_id"]: r["status"] for r in table.read().collect()}
 
     assert deliver("a.json", [{"ticket_id": "T1", "status": "Open", "created_at": "2026-01-01T00:00:00+07:00"}]) == {
@@ -163,3 +164,28 @@ def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     later = [{"ticket_id": "T1", "status": "closed", "created_at": "2026-01-01T00:00:00+07:00"},
              {"ticket_id": "T2", "status": "open", "created_at": "2026-01-02T00:00:00+07:00"}]
     assert deliver("b.json", later) == {"T1": "closed", "T2": "open"}
+
+
+def test_resubmissions_are_dropped_across_micro_batches(spark, tmp_path):
+    files, progress, out = tmp_path / "files", str(tmp_path / "progress"), str(tmp_path / "out")
+    files.mkdir()
+    keys = ["email", "flight_number", "departure_ts", "amount_idr"]
+
+    def deliver(name, *rows):
+        body = [
+            {"booking_ref": ref, "email": email, "flight_number": "ga1", "amount_idr": amount,
+             "departure_ts": "2026-03-01T00:00:00+07:00", "booking_ts": f"2026-02-0{day}T00:00:00+07:00"}
+            for ref, email, amount, day in rows
+        ]
+        (files / name).write_text("\n".join(json.dumps(r) for r in body))
+        stream = ingest.flight_keys(ingest.file_stream(spark, str(files), FLIGHTS))
+        kept = ingest.first_seen_stream(stream, "booking_ts", keys, "30 days")
+        (
+            kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+        return spark.read.parquet(out).count()
+
+    assert deliver("a.json", ("F1", "a@x.id", 150_000, 1), ("F2", "b@x.id", 150_000, 1)) == 2
+    # The same flight again, a few rupiah off: rounding puts it on the same key.
+    assert deliver("b.json", ("F3", "A@x.id ", 150_030, 2), ("F4", "c@x.id", 150_000, 2)) == 3

@@ -23,7 +23,7 @@ from tripweave.plans.build import Warehouse
 from tripweave.schema import CUSTOMERS, EXPERIENCES, FLIGHTS, GOLD_KEYS, HOTELS, LANDED, SILVER_KEYS, TICKETS
 from tripweave.sources import landing
 from tripweave.sources.reference_data import gazetteer, holiday_calendar
-from tripweave.sources.tables import SnapshotTable
+from tripweave.sources.tables import MonthlyTable, SnapshotTable
 from tripweave.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -857,9 +857,10 @@ def _(w):
 def _(w):
     files = _ticket_files(w, "stream-upsert")
     base = scratch(w, "stream-upsert-table")
-    table = SnapshotTable(w.spark, f"{base}/table")
+    schema = silver.silver_tickets(w.landed("tickets")).schema
+    table = MonthlyTable(w.spark, f"{base}/table", "ticket_id", "created_at", schema)
     stream = ingest.file_stream(w.spark, files, TICKETS, files_per_batch=2)
-    ingest.upsert_stream(stream, silver.silver_tickets, "ticket_id", table, f"{base}/progress").awaitTermination()
+    ingest.upsert_stream(stream, silver.silver_tickets, table.upsert, f"{base}/progress").awaitTermination()
     return table.read()
 
 
@@ -869,11 +870,13 @@ def _(w):
     files = _ticket_files(w, "stream-replay")
     base = scratch(w, "stream-replay-table")
     table = SnapshotTable(w.spark, f"{base}/table")
+
+    def write(rows: DataFrame) -> None:
+        merge_into(table, rows, "ticket_id")
+
     for attempt in ("first", "second"):
         stream = ingest.file_stream(w.spark, files, TICKETS)
-        ingest.upsert_stream(
-            stream, silver.silver_tickets, "ticket_id", table, f"{base}/{attempt}"
-        ).awaitTermination()
+        ingest.upsert_stream(stream, silver.silver_tickets, write, f"{base}/{attempt}").awaitTermination()
     return table.read()
 
 

@@ -49,19 +49,44 @@ def not_null(df: DataFrame, table: str, column: str, severity: str = "error") ->
     return _summary(counts, "not_null", table, severity, _no_failures())
 
 
-def unique(df: DataFrame, table: str, column: str, within: str | None = None, nulls_equal: bool = True) -> DataFrame:
-    """Surplus rows per key, optionally inside each value of ``within``.
-
-    Landed days count NULL keys as equal to each other; model tests leave them out.
-    """
+def unique(df: DataFrame, table: str, column: str, within: str) -> DataFrame:
+    """Surplus rows per key inside each value of ``within``; NULL keys equal each other."""
     if column not in df.columns:
         return _missing_column(df, "unique", table, column, "error")
-    rows = df if nulls_equal else df.filter(F.col(column).isNotNull())
-    per_key = rows.groupBy(*([within] if within else []), column).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(within, column).agg(F.count(F.lit(1)).alias("n"))
     counts = per_key.agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("n_fail"))
     return _summary(counts, "unique", table, "error", _no_failures())
 
 
+def key_checks(df: DataFrame, table: str, key: str) -> DataFrame:
+    """``not_null`` and ``unique`` of a model's key, both from one count per key value.
+
+    NULL keys fail the first and are left out of the second.
+    """
+    n, is_null = F.col("n"), F.col(key).isNull()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum(n).alias("all_rows"),
+        F.sum(F.when(is_null, n)).alias("null_rows"),
+        F.sum(F.when(~is_null, n)).alias("keyed_rows"),
+        F.sum(F.when(~is_null, n - 1)).alias("surplus_rows"),
+    )
+
+    def line(check: str, rows: str, failing: str) -> Column:
+        bad = F.coalesce(failing, F.lit(0)).cast("bigint")
+        return F.struct(
+            F.lit(check).alias("check_name"),
+            F.lit(table).alias("table_name"),
+            F.lit("error").alias("severity"),
+            F.coalesce(rows, F.lit(0)).cast("bigint").alias("n_rows"),
+            bad.alias("n_fail"),
+            (bad == 0).alias("passed"),
+            F.lit(None).cast("string").alias("message"),
+        )
+
+    lines = F.array(line("not_null", "all_rows", "null_rows"), line("unique", "keyed_rows", "surplus_rows"))
+    return counts.select(F.inline(lines))
+
+
 # ---- failing rows -------------------------------------------------------------------------
 
 Rule = Callable[[Column], Column]

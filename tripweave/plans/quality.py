@@ -26,21 +26,13 @@ def landed_unique_keys(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _model_keys(tables: dict[str, DataFrame], keys: dict[str, str]) -> list[DataFrame]:
-    parts = []
-    for name, key in keys.items():
-        parts.append(K.not_null(tables[name], name, key))
-        parts.append(K.unique(tables[name], name, key, nulls_equal=False))
-    return parts
-
-
 def silver_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    return K.union_all(_model_keys(tables, SILVER_KEYS))
+    return K.union_all([K.key_checks(tables[name], name, key) for name, key in SILVER_KEYS.items()])
 
 
 def gold_keys(tables: dict[str, DataFrame]) -> DataFrame:
     """Key checks, and a warning only for bookings without a customer."""
-    parts = _model_keys(tables, GOLD_KEYS)
+    parts = [K.key_checks(tables[name], name, key) for name, key in GOLD_KEYS.items()]
     unresolved = K.not_null(tables["fact_bookings"], "fact_bookings", "resolved_customer_id", "warn")
     return K.union_all([*parts, unresolved])
 

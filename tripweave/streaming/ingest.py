@@ -10,10 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripweave.functions import cleanse as C
 from tripweave.functions import temporal
-from tripweave.operators.upsert import merge_into
 from tripweave.schema import LandedTable
 from tripweave.sources.landing import conform
-from tripweave.sources.tables import SnapshotTable
 
 
 def file_stream(spark: SparkSession, folder: str, table: LandedTable, files_per_batch: int | None = None) -> DataFrame:
@@ -41,16 +39,20 @@ def land_stream(
 
 
 def upsert_stream(
-    stream: DataFrame, model: Callable[[DataFrame], DataFrame], key: str, target: SnapshotTable, checkpoint: str
+    stream: DataFrame, model: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], object], checkpoint: str
 ) -> StreamingQuery:
-    """Run a cleansing model on every micro-batch and upsert its rows by key.
+    """Run a cleansing model on every micro-batch and hand its rows to ``write``, an upsert by key.
 
     The result depends on keys and row content only, not on batch numbers, so a batch that is
     replayed after a failure leaves the table as it was.
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        merge_into(target, model(batch), key)
+        rows = model(batch).persist()
+        try:
+            write(rows)
+        finally:
+            rows.unpersist()
 
     return (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
