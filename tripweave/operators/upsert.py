@@ -9,9 +9,17 @@ from tripweave.sources.tables import SnapshotTable
 
 
 def upsert(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Batch rows replace stored rows of the same key; all other stored rows stay."""
-    kept = stored.join(batch.select(key), key, "left_anti")
-    return kept.unionByName(batch)
+    """Batch rows replace stored rows of the same key; all other stored rows stay.
+
+    A missing key counts as one key of its own, so repeating a batch never adds to it.
+    """
+    return without_keys(stored, batch, key).unionByName(batch)
+
+
+def without_keys(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Stored rows whose key the batch does not have."""
+    replaced = batch.select(F.col(key).alias("_replaced"))
+    return stored.join(replaced, F.col(key).eqNullSafe(F.col("_replaced")), "left_anti")
 
 
 def merge_into(table: SnapshotTable, batch: DataFrame, key: str, full_refresh: bool = False) -> DataFrame:
@@ -27,5 +35,5 @@ def merge_into(table: SnapshotTable, batch: DataFrame, key: str, full_refresh: b
 
 def merge_into_catalog(batch: DataFrame, target: str, key: str) -> None:
     """The same upsert for a catalog table whose format supports MERGE; only touched files change."""
-    match = f"{target}.{key} = source.{key}"
+    match = f"{target}.{key} <=> source.{key}"
     batch.alias("source").mergeInto(target, F.expr(match)).whenMatched().updateAll().whenNotMatched().insertAll().merge()

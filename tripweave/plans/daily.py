@@ -25,7 +25,11 @@ _EVENT_TIME = {
 
 
 class DailyJob:
-    """Tables under one root folder: ``bronze`` by landing day, ``silver`` by month, ``gold`` as snapshots."""
+    """Tables under one root folder.
+
+    ``bronze`` is stored by landing day, ``silver`` and the booking fact by month, the other gold
+    tables as snapshots.
+    """
 
     def __init__(self, spark: SparkSession, root: str, as_of: str | date, calendar: DataFrame | None = None):
         self.spark = prepare(spark)
@@ -48,10 +52,8 @@ class DailyJob:
     def _snapshot(self, layer: str, name: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/{layer}/{name}")
 
-    def _silver(self, name: str, batch: DataFrame) -> MonthlyTable:
-        return MonthlyTable(
-            self.spark, f"{self.root}/silver/{name}", SILVER_KEYS[name], _EVENT_TIME[name], batch.schema
-        )
+    def _monthly(self, path: str, key: str, event_time: str, like: DataFrame) -> MonthlyTable:
+        return MonthlyTable(self.spark, f"{self.root}/{path}", key, event_time, like.schema)
 
     def run(self, days: list[str | date], full_refresh: bool = False) -> dict[str, DataFrame]:
         """One run over the selected days; a full refresh rebuilds from the first day ever.
@@ -61,39 +63,69 @@ class DailyJob:
         """
         low, high = landing.backfill_window(days, full_refresh)
         t: dict[str, DataFrame] = {}
+        delivered: dict[str, DataFrame] = {}
         for name, (source, model) in silver.MODELS.items():
-            # The batch is stored first: the upsert reads it more than once.
+            # The batch is stored first: the upsert and the fact table read it again.
             batch = self._snapshot("batch", name).write(model(landing.window(self.bronze(source), low, high)))
-            table = self._silver(name, batch)
+            table = self._monthly(f"silver/{name}", SILVER_KEYS[name], _EVENT_TIME[name], batch)
             if full_refresh:
                 table.replace_all(batch)
             else:
                 table.upsert(batch)
-            t[name] = table.read()
+            t[name], delivered[name] = table.read(), batch
 
         anchors = identity.app_anchors(t["silver_customers"])
         vendors = self._snapshot("stage", "vendor_emails").write(
             identity.vendor_grouped(t["silver_flight_bookings"], t["silver_experience_bookings"])
         )
         links = self._snapshot("stage", "ticket_links").write(identity.ticket_links(t["silver_tickets"], anchors))
+        fact_months = self._update_fact(t, delivered, identity.customer_keys(anchors, vendors), full_refresh)
 
-        def gold(name: str, plan: DataFrame) -> DataFrame:
+        def gold(name: str, plan: DataFrame) -> None:
             t[name] = merge_into(self._snapshot("gold", name), plan, GOLD_KEYS[name], full_refresh)
-            return t[name]
 
-        dim = gold(
+        # Dormancy moves with the date, so every customer changes with every run.
+        gold(
             "dim_customer",
             identity.dim_customer(t["silver_customers"], t["silver_hotel_bookings"], vendors, links, self.as_of),
         )
-        bookings = facts.bookings_unified(
-            t["silver_hotel_bookings"], t["silver_flight_bookings"], t["silver_experience_bookings"]
-        )
-        fact = gold("fact_bookings", facts.fact_bookings(bookings, identity.customer_keys(anchors, vendors)))
         support = identity.support_agg(identity.ticket_summaries(links, anchors))
-        gold("mart_customer_clv", marts.mart_customer_clv(dim, fact, support))
-        gold("mart_route_monthly", marts.mart_route_monthly(fact, self.calendar))
+        gold("mart_customer_clv", marts.mart_customer_clv(t["dim_customer"], t["fact_bookings"], support))
+        # A route's month depends on the bookings of that month only.
+        gold("mart_route_monthly", marts.mart_route_monthly(fact_months, self.calendar))
         return t
 
+    def _update_fact(
+        self, t: dict[str, DataFrame], delivered: dict[str, DataFrame], keys: DataFrame, full_refresh: bool
+    ) -> DataFrame:
+        """Bring the fact table up to date and return the bookings of all months it rewrote.
+
+        Bookings are resolved anew only if they were delivered now or their source key changed
+        hands since the last run.
+        """
+
+        def unified(tables: dict[str, DataFrame]) -> DataFrame:
+            return facts.bookings_unified(
+                tables["silver_hotel_bookings"], tables["silver_flight_bookings"], tables["silver_experience_bookings"]
+            )
+
+        key_table = self._snapshot("stage", "customer_keys")
+        before = key_table.read() if key_table.exists() else None
+        keys = key_table.write(keys)
+        rebuild = full_refresh or before is None
+        bookings = unified(t)
+        if not rebuild:
+            bookings = facts.bookings_to_resolve(bookings, unified(delivered), facts.moved_keys(before, keys))
+        updates = self._snapshot("batch", "fact_bookings").write(facts.fact_bookings(bookings, keys))
+        table = self._monthly("gold/fact_bookings", GOLD_KEYS["fact_bookings"], "booking_ts", updates)
+        months = None
+        if rebuild:
+            table.replace_all(updates)
+        else:
+            months = table.upsert(updates)
+        t["fact_bookings"] = table.read()
+        return table.read(months)
+
     def checks(self, tables: dict[str, DataFrame], days: list[str | date]) -> DataFrame:
         """All check summaries of a run; a failing check is reported, it does not stop anything."""
         landed = {name: landing.partitions(self.bronze(name), list(days)) for name in LANDED}

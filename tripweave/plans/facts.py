@@ -80,3 +80,20 @@ def fact_bookings(bookings: DataFrame, customer_keys: DataFrame, placeholders: b
             }
         )
     return joined.select(*FACT_COLUMNS)
+
+
+def moved_keys(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Source keys that are new, gone, or point to another customer or confidence than before."""
+    columns = ["source_customer_id", "resolved_customer_id", "identity_confidence"]
+    sides = before.select(*columns, F.lit(-1).alias("side")).unionByName(after.select(*columns, F.lit(1).alias("side")))
+    changed = sides.groupBy(*columns).agg(F.sum("side").alias("balance")).filter(F.col("balance") != 0)
+    return changed.select("source_customer_id").distinct()
+
+
+def bookings_to_resolve(bookings: DataFrame, delivered: DataFrame, moved: DataFrame) -> DataFrame:
+    """The delivered bookings, and all earlier ones whose source key moved.
+
+    Every other booking keeps the customer it has, so the fact table needs no other update.
+    """
+    again = bookings.join(moved, "source_customer_id", "left_semi")
+    return again.join(delivered.select("booking_id"), "booking_id", "left_anti").unionByName(delivered)

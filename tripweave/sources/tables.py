@@ -85,8 +85,12 @@ class MonthlyTable:
         stored_schema = T.StructType([*self.schema.fields, T.StructField(self.MONTH, T.StringType())])
         return self.spark.read.schema(stored_schema).parquet(self.path)
 
-    def read(self) -> DataFrame:
-        return self._stored().select(*self.schema.fieldNames())
+    def read(self, months: list[str] | None = None) -> DataFrame:
+        """The whole table, or only some of its months."""
+        rows = self._stored()
+        if months is not None:
+            rows = rows.filter(F.col(self.MONTH).isin(months))
+        return rows.select(*self.schema.fieldNames())
 
     def _with_month(self, df: DataFrame) -> DataFrame:
         month = F.coalesce(F.date_format(self.event_time, "yyyy-MM"), F.lit("none"))
@@ -104,25 +108,34 @@ class MonthlyTable:
         rows = self._with_month(df).hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key)
         rows.write.mode("overwrite").partitionBy(self.MONTH).parquet(self.path)
 
-    def upsert(self, batch: DataFrame) -> None:
-        """Batch rows replace stored rows of the same key; running it twice equals running it once.
+    def upsert(self, batch: DataFrame) -> list[str]:
+        """Batch rows replace stored rows of the same key; returns the months rewritten.
 
-        ``batch`` is read several times and must not depend on this table; pass a stored one.
+        Running it twice equals running it once. ``batch`` is read several times and must not
+        depend on this table; pass a stored one.
         """
         new = self._with_month(batch)
+        # Month lists hold at most one row per month of the table's life.
+        new_months = _values(new, self.MONTH)
         if not self.exists():
             self._write(new)
-            return
+            return new_months
         stored = self._stored()
-        keys = new.select(self.key)
-        replaced = stored.select(self.key, self.MONTH).join(keys, self.key, "left_semi").select(self.MONTH)
-        # At most one row per month of the table's life reaches the driver.
-        months = [r[0] for r in new.select(self.MONTH).unionByName(replaced).distinct().collect()]
-        kept = stored.filter(F.col(self.MONTH).isin(months)).join(keys, self.key, "left_anti")
-        after = kept.unionByName(new)
-        filled = {r[0] for r in after.select(self.MONTH).distinct().collect()}
-        self._write(after)
-        for month in months:
-            if month not in filled:  # every row of it moved to another month
-                empty = self.spark.createDataFrame([], self.schema)
-                empty.write.mode("overwrite").parquet(f"{self.path}/{self.MONTH}={month}")
+        keys = new.select(F.col(self.key).alias("_new_key"))
+        same_key = F.col(self.key).eqNullSafe(F.col("_new_key"))
+        replaced = stored.select(self.key, self.MONTH).join(keys, same_key, "left_semi")
+        left_behind = sorted(set(_values(replaced, self.MONTH)) - set(new_months))
+        months = new_months + left_behind
+        kept = stored.filter(F.col(self.MONTH).isin(months)).join(keys, same_key, "left_anti")
+        emptied = set(left_behind)
+        if left_behind:  # rows moved to another month; see which of theirs keep others
+            emptied -= set(_values(kept.filter(F.col(self.MONTH).isin(left_behind)), self.MONTH))
+        self._write(kept.unionByName(new))
+        for month in emptied:
+            empty = self.spark.createDataFrame([], self.schema)
+            empty.write.mode("overwrite").parquet(f"{self.path}/{self.MONTH}={month}")
+        return months
+
+
+def _values(df: DataFrame, column: str) -> list[str]:
+    return sorted(r[0] for r in df.select(column).distinct().collect())
