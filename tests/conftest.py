@@ -27,6 +27,3 @@ def spark():
 def tables(spark):
     return Warehouse(spark, SF)
 
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().toString()

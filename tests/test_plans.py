@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripweave.catalog import QUERIES
+from tripweave.operators.search import SearchFilter
 from tripweave.plans import marts, serving
 from tripweave.plans.build import DEPENDENCIES
+from tripweave.schema import FLIGHTS
+from tripweave.sources import landing
 from conftest import SF
 
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoop"]
@@ -52,6 +55,25 @@ def test_top_lists_keep_only_the_top(tables):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_search_does_not_shuffle_contact_lists(spark, tables):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        where = SearchFilter(tiers=("gold",), omnichannel=True)
+        plan = executed(serving.customer_search(tables.table("mart_customer_clv"), tables.table("dim_customer"), where))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "PushedFilters: [IsNotNull(loyalty_tier), EqualTo(loyalty_tier,gold)" in plan
+    assert plan.count("BroadcastHashJoin") == 1 and "LeftSemi" in plan
+    people = [line for line in plan.splitlines() if "FileScan" in line and "source_systems" in line]
+    assert any("ReadSchema: struct<resolved_customer_id:string,source_systems" in line for line in people)
+
+
+def test_pages_keep_only_the_page(tables):
+    plan = executed(landing.page(tables.landed("flights"), FLIGHTS, limit=10, offset=20))
+    assert "TakeOrderedAndProject" in plan
+
+
 def test_distinct_travelers_are_spread_by_traveler(tables):
     plan = executed(tables.model("mart_route_monthly"))
     assert any("resolved_customer_id" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)

@@ -25,10 +25,9 @@ class SearchFilter:
     booking_types: tuple[int, ...] = ()
     omnichannel: bool = False
 
-    def condition(self) -> Column:
+    def on_figures(self) -> Column:
+        """The conditions over columns of the value mart."""
         parts = []
-        if self.term:
-            parts.append(matches_term(self.term))
         if self.tiers:
             parts.append(F.col("loyalty_tier").isin(list(self.tiers)))
         if self.churn_range:
@@ -41,9 +40,20 @@ class SearchFilter:
             parts.append(F.col("distinct_booking_types") >= self.booking_types[0])
         if len(self.booking_types) == 2:
             parts.append(F.col("distinct_booking_types") <= self.booking_types[1])
+        return _all(parts)
+
+    def on_identity(self) -> Column:
+        """The conditions over columns of the customer table."""
+        parts = []
+        if self.term:
+            parts.append(matches_term(self.term))
         if self.omnichannel:
             parts.append(F.size("source_systems") == OMNICHANNEL_SYSTEMS)
-        return reduce(lambda a, b: a & b, parts, F.lit(True))
+        return _all(parts)
+
+
+def _all(parts: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
 def matches_term(term: str) -> Column:

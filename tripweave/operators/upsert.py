@@ -28,9 +28,8 @@ def merge_into(table: SnapshotTable, batch: DataFrame, key: str, full_refresh: b
     ``batch`` holds at most one row per key, as every model of this package guarantees. Running
     the same batch again leaves the content unchanged.
     """
-    if full_refresh or not table.exists():
-        return table.write(batch)
-    return table.write(upsert(table.read(), batch, key))
+    after = batch if full_refresh or not table.exists() else upsert(table.read(), batch, key)
+    return table.write(after, lookup=key)
 
 
 def merge_into_catalog(batch: DataFrame, target: str, key: str) -> None:

@@ -6,7 +6,6 @@ import hashlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripweave.plans import facts, identity, marts, silver
 from tripweave.session import prepare, shared_root
@@ -78,11 +77,12 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         """The stored table, built together with everything it needs."""
         if name not in self._stored:
-            # Nearby customer ids in one file keep lookups by id to few row groups.
             plan = self.model(name)
-            if "resolved_customer_id" in plan.columns:
-                plan = plan.sortWithinPartitions(F.col("resolved_customer_id"))
-            self._stored[name] = SnapshotTable(self.spark, f"{self.root}/{name}").write(plan)
+            lookup = "resolved_customer_id" if "resolved_customer_id" in plan.columns else None
+            if lookup:
+                # Rows of one customer lie together, which compresses well and reads few pages.
+                plan = plan.sortWithinPartitions(lookup)
+            self._stored[name] = SnapshotTable(self.spark, f"{self.root}/{name}").write(plan, lookup)
         return self._stored[name]
 
     def build_all(self) -> None:

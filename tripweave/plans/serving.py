@@ -126,26 +126,35 @@ _MART_COLUMNS = [
     "dormant_days", "last_booking_ts", "recommended_action", "has_support_ticket", "critical_ticket_count",
     "distinct_booking_types",
 ]
+MAX_BROADCAST_PAGE = 10_000
 _DIM_COLUMNS = ["name_std", "emails", "phones", "source_systems", "identity_confidence"]
 
 
-def _customers(mart: DataFrame, dim: DataFrame, where: SearchFilter) -> DataFrame:
-    joined = mart.select(_ID, *_MART_COLUMNS).join(dim.select(_ID, *_DIM_COLUMNS), _ID)
-    return joined.filter(where.condition())
+def _matching(mart: DataFrame, dim: DataFrame, where: SearchFilter) -> DataFrame:
+    """Mart rows that satisfy all conditions; only ids of the customer table take part in the join."""
+    people = dim.filter(where.on_identity()).select(_ID)
+    return mart.select(_ID, *_MART_COLUMNS).filter(where.on_figures()).join(people, _ID, "left_semi")
 
 
 def customer_search(
     mart: DataFrame, dim: DataFrame, where: SearchFilter = SearchFilter(), sort_by: str = "clv_desc", limit: int = 100
 ) -> DataFrame:
-    found = _customers(mart, dim, where).orderBy(*sort_order(sort_by)).limit(limit)
-    return found.select(
+    """The first ``limit`` matching customers with their contact lists.
+
+    The page is cut first and then completed from the customer table, whose long rows are not
+    shuffled. A page of ordinary size is broadcast; its row bound is ``limit``.
+    """
+    found = _matching(mart, dim, where).orderBy(*sort_order(sort_by)).limit(limit)
+    page = F.broadcast(found) if limit <= MAX_BROADCAST_PAGE else found
+    full = dim.select(_ID, *_DIM_COLUMNS).join(page, _ID).orderBy(*sort_order(sort_by)).limit(limit)
+    return full.select(
         _ID, hex_id(F.col(_ID)).alias("rcid_hex"), "name_std", *_MART_COLUMNS, "emails", "phones", "source_systems",
         "identity_confidence",
     )
 
 
 def customer_search_count(mart: DataFrame, dim: DataFrame, where: SearchFilter = SearchFilter()) -> DataFrame:
-    return _customers(mart, dim, where).agg(F.count(F.lit(1)).alias("total"))
+    return _matching(mart, dim, where).agg(F.count(F.lit(1)).alias("total"))
 
 
 # ---- one customer in full -----------------------------------------------------------------

@@ -42,9 +42,9 @@ def text_slice(source: DataFrame, table: LandedTable, start: str, end: str) -> D
 
 
 def page(source: DataFrame, table: LandedTable, limit: int = 0, offset: int = 0) -> DataFrame:
-    """One page, newest first; ``limit=0`` means no limit. To read everything, scan instead."""
-    out = source.orderBy(F.col(table.event_time).desc_nulls_last(), F.col(table.key).asc()).offset(offset)
-    return out.limit(limit) if limit else out
+    """One page, newest first; ``limit=0`` returns everything. To read all pages, scan instead."""
+    ordered = source.orderBy(F.col(table.event_time).desc_nulls_last(), F.col(table.key).asc())
+    return ordered.offset(offset).limit(limit) if limit else ordered
 
 
 def row_counts(sources: dict[str, DataFrame]) -> DataFrame:

@@ -54,9 +54,17 @@ class SnapshotTable:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(f"{self.path}/snapshot={number}")
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, lookup: str | None = None) -> DataFrame:
+        """Write the next snapshot; row groups get a Bloom filter on the ``lookup`` column.
+
+        Ids are hashes, so min/max statistics alone would rarely skip anything for a single id.
+        """
         number = max(self._snapshots(), default=0) + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/snapshot={number}")
+        writer = df.write.mode("overwrite")
+        if lookup:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.parquet(f"{self.path}/snapshot={number}")
         return self.read(df.schema)
 
 
