@@ -296,6 +296,15 @@ check("vendor_links", f"select {_IDENTITY_ROW} from vendor_linked")
 check("identity_rows", f"select {_IDENTITY_ROW} from identity")
 check("crm_candidates", f"""select resolved_customer_id, ticket_id, customer_email, customer_phone, name_std,
   {ts('first_seen')}, {ts('last_seen')}, source_customer_id, source_system, {num('confidence_rank')} from crm""")
+check("phone_owners", """select distinct phone, resolved_customer_id from anchors
+where phone is not null and phone <> ''""")
+check("ticket_links", f"""select case way when 'phone' then 'phone' when 'email' then 'email' when 'own' then 'email' end
+    as link, case when way = 'phone' then customer_phone when way is not null then customer_email end as link_value,
+  case way when 'email' then 3 when 'phone' then 2 else 1 end as confidence_rank,
+  {ts('min(created_at)', 'first_seen')}, {ts('max(created_at)', 'last_seen')}, count(*) as tickets,
+  count(*) filter (where priority = 'critical') as critical,
+  {num("sum(date_diff('hour', created_at, resolved_at))", 'hours')}, count(resolved_at) as timed,
+  {arr("list_sort(list('crm:' || ticket_id))", 'ticket_ids')} from ticket_way group by 1, 2, 3""")
 check("clv_by_resolved", f"select resolved_customer_id, {num('clv_idr')} from clv")
 check("clv_by_resolved_faithful", f"select resolved_customer_id, {num('clv_idr')} from clv_faithful")
 check("customer_keys", """select scid as source_customer_id, resolved_customer_id, identity_confidence from (

@@ -533,6 +533,20 @@ def _(w):
     return identity.crm_candidates(w.table("silver_tickets"), w.anchors())
 
 
+@query("phone_owners")
+def _(w):
+    return identity.phone_owners(w.anchors())
+
+
+@query("ticket_links")
+def _(w):
+    """Tickets summed per linking email or phone; with ``phone_owners`` it replaces the list of pairs."""
+    return w.model("ticket_links").select(
+        "link", "link_value", "confidence_rank", "first_seen", "last_seen", "tickets", "critical", "hours", "timed",
+        "ticket_ids",
+    ).withColumn("ticket_ids", F.sort_array("ticket_ids"))
+
+
 @query("identity_rows")
 def _(w):
     return identity.identity_rows(w.anchors(), w.vendors(), w.table("silver_tickets"))
