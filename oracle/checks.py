@@ -304,7 +304,8 @@ check("ticket_links", f"""select case way when 'phone' then 'phone' when 'email'
   {ts('min(created_at)', 'first_seen')}, {ts('max(created_at)', 'last_seen')}, count(*) as tickets,
   count(*) filter (where priority = 'critical') as critical,
   {num("sum(date_diff('hour', created_at, resolved_at))", 'hours')}, count(resolved_at) as timed,
-  {arr("list_sort(list('crm:' || ticket_id))", 'ticket_ids')} from ticket_way group by 1, 2, 3""")
+  {arr("coalesce(list_sort(list('crm:' || ticket_id) filter (where way is not null)), [])", 'ticket_ids')}
+from ticket_way group by 1, 2, 3""")
 check("clv_by_resolved", f"select resolved_customer_id, {num('clv_idr')} from clv")
 check("clv_by_resolved_faithful", f"select resolved_customer_id, {num('clv_idr')} from clv_faithful")
 check("customer_keys", """select scid as source_customer_id, resolved_customer_id, identity_confidence from (

@@ -168,6 +168,7 @@ def contacts(tickets: DataFrame, arrays: bool = True) -> DataFrame:
     """Tickets summarised per (email, phone); everything later works on these few rows."""
     scid = scoped("crm", F.col("ticket_id"))
     hours = T.hours_between(F.col("created_at"), F.col("resolved_at"))
+    reachable = not_blank(F.col("customer_email")) | not_blank(F.col("customer_phone"))
     named = F.when(F.col("customer_name").isNotNull(), F.struct("created_at", scid.alias("scid"), "customer_name"))
     return tickets.groupBy("customer_email", "customer_phone").agg(
         F.min("created_at").alias("first_seen"),
@@ -177,7 +178,7 @@ def contacts(tickets: DataFrame, arrays: bool = True) -> DataFrame:
         F.sum(hours).alias("hours"),
         F.count(hours).alias("timed"),
         F.max(named).alias("named"),
-        *([F.collect_set(scid).alias("ticket_ids")] if arrays else []),
+        *([F.collect_set(F.when(reachable, scid)).alias("ticket_ids")] if arrays else []),
     )
 
 
@@ -220,13 +221,14 @@ def ticket_links(tickets: DataFrame, anchors: DataFrame, arrays: bool = True) ->
     """Ticket figures per linking email or phone; tickets that reach nobody form the NULL link.
 
     Stored as a table of its own, because both the customers and their support figures need it.
-    The lists of ids and contacts are only there for the lists in the customer table.
+    The lists of ids and contacts are only there for the lists in the customer table, so the NULL
+    link, which may be large, collects none.
     """
-    email, phone = F.col("customer_email"), F.col("customer_phone")
+    email, phone, linked = F.col("customer_email"), F.col("customer_phone"), F.col("link").isNotNull()
     lists = [
-        F.flatten(F.collect_list("ticket_ids")).alias("ticket_ids"),
-        F.collect_set(F.when(not_blank(email), email)).alias("emails"),
-        F.collect_set(F.when(not_blank(phone), phone)).alias("phones"),
+        F.flatten(F.collect_list(F.when(linked, F.col("ticket_ids")))).alias("ticket_ids"),
+        F.collect_set(F.when(linked & not_blank(email), email)).alias("emails"),
+        F.collect_set(F.when(linked & not_blank(phone), phone)).alias("phones"),
     ] if arrays else []
     return _routed_contacts(tickets, anchors, arrays).groupBy("link", "link_value", "confidence_rank").agg(
         F.min("first_seen").alias("first_seen"),
