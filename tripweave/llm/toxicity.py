@@ -4,8 +4,8 @@ A document is a bag of sentences. A sentence is toxic with probability ``sigmoid
 the document is toxic if any sentence is: ``1 - prod(1 - p)`` (noisy-or). Weights are fitted from document labels
 alone, and the fitted sentence probabilities locate the offending sentences.
 
-A word's weight is the sum over its features: the lower-cased word and its prefixes of 3 to 6 letters. Features are
-those that differ most between the classes by document counts.
+A word's weight is the sum over its features: the lower-cased word and its prefixes of 3 to 6 letters. A sentence
+counts each of its words once. Features are those that differ most between the classes by document counts.
 
 Nulls and empty texts have no sentence, hence score 0. Repeated rows get equal scores. Without labels of both
 classes every score is 0. Extra columns pass through; those named like an output are replaced.
@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,9 @@ SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
 PREFIXES = (3, 4, 5, 6)
 PER_CLASS = 4_000  # labelled documents of each class to fit on
-FEATURES = 20_000  # features kept, by chi-square
+FEATURES = 5_000  # features kept, by chi-square
 LEAST_DOCS = 3
+LEAST_CHI = 10.83  # one in a thousand under equal shares
 OUTPUT = "struct<score:double, spans:array<struct<start:int, end:int, p:double>>>"
 _ARROW = pa.struct([("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())])))])
 
@@ -46,6 +48,11 @@ class NoisyOrModel:
     weights: dict[str, float] = field(default_factory=dict)
 
 
+def words_of(sentence: str) -> list[str]:
+    """The different words of a sentence, in order."""
+    return list(dict.fromkeys(WORD.findall(sentence.lower())))
+
+
 class _WordWeights(dict):
     """Weight of a word, remembered for a bounded number of words."""
 
@@ -72,7 +79,7 @@ def score_text(text: str | None, model: NoisyOrModel, words: _WordWeights, repor
     plain, rest, total, found = 0, [], 0.0, []
     weight = words.__getitem__
     for m in SENTENCE.finditer(text or ""):
-        z = sum(map(weight, WORD.findall(m.group().lower())))
+        z = sum(map(weight, words_of(m.group())))
         if z == 0.0:
             plain += 1
         else:
@@ -124,13 +131,13 @@ def select_features(counts: DataFrame, n_toxic: int, n_clean: int, most: int = F
     held = (a + b).cast("double")
     chi = gap * gap * n / (held * (F.lit(n) - held + 0.5) * float(n_toxic) * float(n_clean))
     best = (
-        counts.filter(held >= LEAST_DOCS).withColumn("chi", chi).filter("chi > 6")
+        counts.filter(held >= LEAST_DOCS).withColumn("chi", chi).filter(F.col("chi") > LEAST_CHI)
         .orderBy(F.desc("chi"), "feature").limit(most)
     )
     return [r["feature"] for r in best.select("feature").collect()]
 
 
-def bags(sample: DataFrame, names: list[str]) -> list:
+def bags(sample: DataFrame, names: list[str]) -> pa.Table:
     """Per sampled document: its class, how many sentences hold no chosen feature, and the features of the others."""
     index = sample.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(names)})
 
@@ -140,7 +147,7 @@ def bags(sample: DataFrame, names: list[str]) -> list:
             plain, kept = [], []
             for text in batch.column(0).to_pylist():
                 sentences = [
-                    [known[f] for w in WORD.findall(m.group().lower()) for f in features_of(w) if f in known]
+                    [known[f] for w in words_of(m.group()) for f in features_of(w) if f in known]
                     for m in SENTENCE.finditer(text)
                 ]
                 kept.append([s for s in sentences if s])
@@ -150,21 +157,19 @@ def bags(sample: DataFrame, names: list[str]) -> list:
                 names=["y", "plain", "kept"],
             )
 
-    return sample.select("text", "y").mapInArrow(read, "y int, plain long, kept array<array<int>>").collect()
+    return sample.select("text", "y").mapInArrow(read, "y int, plain long, kept array<array<int>>").toArrow()
 
 
-def fit_weights(rows: list, names: list[str], steps: int = 400, rate: float = 0.1, l2: float = 1e-4) -> NoisyOrModel:
+def fit_weights(rows: pa.Table, names: list[str], steps: int = 200, rate: float = 0.2, l2: float = 1e-4) -> NoisyOrModel:
     """Maximum likelihood of the noisy-or under an L2 penalty, by Adam over all sampled bags."""
-    y = np.array([r["y"] for r in rows], float)
-    plain = np.array([r["plain"] for r in rows], float)
-    doc, sent, feat, s = [], [], [], 0
-    for i, r in enumerate(rows):
-        for ids in r["kept"]:
-            doc.append(i)
-            sent.extend([s] * len(ids))
-            feat.extend(ids)
-            s += 1
-    doc, sent, feat = np.array(doc, int), np.array(sent, int), np.array(feat, int)
+    y = rows["y"].to_numpy().astype(float)
+    plain = rows["plain"].to_numpy().astype(float)
+    kept = pa.concat_arrays(rows["kept"].chunks)
+    sentences = kept.flatten()
+    doc = np.repeat(np.arange(len(y)), pc.list_value_length(kept).to_numpy(zero_copy_only=False))
+    s = len(sentences)
+    sent = np.repeat(np.arange(s), pc.list_value_length(sentences).to_numpy(zero_copy_only=False))
+    feat = sentences.flatten().to_numpy(zero_copy_only=False)
     theta = np.zeros(len(names) + 1)
     theta[-1] = -4.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
