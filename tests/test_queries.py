@@ -7,8 +7,8 @@ from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF
-
-QUERIES, CHECKS = queries(), oracle_sql()
+from oracle.checks import CHECKS
+from tripweave.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def duck():
 
 
 def test_names():
-    assert set(CHECKS) <= set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(CHECKS) <= set(oracle_sql()) <= set(queries())
     assert set(QUERIES) - set(CHECKS) == {"route_travelers_approx"}
 
 
