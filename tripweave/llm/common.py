@@ -72,6 +72,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return texts.join(F.broadcast(picked), "_id").select("text", "y")
 
 
+HINT_WORDS = 1 << 17  # of 64 bits
+
+
+def with_hint(df: DataFrame, key: str, ids: DataFrame, name: str = "maybe") -> DataFrame:
+    """Append a flag that is true for all rows whose ``key`` is among ``ids`` (one column), and for few others.
+
+    A bitmap of hashed ids is broadcast, of at most ``HINT_WORDS`` rows, whatever the number of ids. It spares most
+    rows a shuffle; an exact join has to follow.
+    """
+    only = ids.columns[0]
+    spot = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(HINT_WORDS * 64))
+    bits = (
+        ids.select(spot(only).alias("s")).groupBy(F.expr("cast(s div 64 as int)").alias("_w"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("_bits"))
+    )
+    marked = df.withColumn("_s", spot(key)).withColumn("_w", F.expr("cast(_s div 64 as int)")).join(F.broadcast(bits), "_w", "left")
+    flag = F.coalesce(F.expr("(_bits & shiftleft(1L, cast(_s % 64 as int))) <> 0"), F.lit(False))
+    return marked.withColumn(name, flag).drop("_w", "_s", "_bits")
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash, elementwise."""
     h = h ^ (h >> np.uint64(33))

@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+from tripweave.llm.decontaminate import op4_decontamination
+from tripweave.llm.html import op2_html_extraction
+from tripweave.llm.jaccard import op9_jaccard_join
 from tripweave.llm.language import op10_language_id
+from tripweave.llm.licenses import op8_license_scan
+from tripweave.llm.mixture import op6_mixture
+from tripweave.llm.nearest import OP5_SQL, op5_nearest
+from tripweave.llm.quality import op7_quality
 from tripweave.llm.toxicity import op1_toxicity
+from tripweave.llm.urls import OP3_SQL, op3_url_filter
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_url_filter": op3_url_filter,
+    "op4_decontamination": op4_decontamination,
+    "op5_nearest": op5_nearest,
+    "op6_mixture": op6_mixture,
+    "op7_quality": op7_quality,
+    "op8_license_scan": op8_license_scan,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS = {"op3_url_filter": OP3_SQL, "op5_nearest": OP5_SQL}
