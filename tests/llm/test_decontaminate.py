@@ -24,8 +24,8 @@ def brute(docs, items):
             if not len(w):
                 continue
             want = Counter(shingle_hashes(w, 5).tolist())
-            for a in range(-len(w) + 1, len(own)):
-                window = own[max(0, a) : a + len(w)]
+            for a in range(max(0, len(own) - len(w)) + 1):
+                window = own[a : a + len(w)]
                 similarity = de.weighted_jaccard(Counter(shingle_hashes(window, 5).tolist()), want)
                 if similarity >= 0.75:
                     out[d, i] = max(similarity, out.get((d, i), 0))

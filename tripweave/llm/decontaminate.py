@@ -6,9 +6,10 @@ an item is filed under every block value within ``RADIUS // BLOCKS`` bits of its
 item within ``RADIUS`` bits of a window shares a block entry with it. Candidates within the radius are then compared
 by the exact weighted Jaccard similarity of their shingles (sum of smaller counts over sum of larger ones).
 
-A window that shares no shingle with an item has similarity 0 to it, so windows are only laid where a shingle of the
-document is one of an item: at the item's place, for every shared shingle. No window that can reach the threshold is
-left out by this. Radius 24 of 64 bits is over four standard deviations beyond what similarity 0.75 gives.
+Of all windows of n words, only those are fingerprinted that start at a shingle of some item of n words and hold
+enough such shingles for the threshold. This leaves no match out: a window that reaches the threshold can be moved
+right to its first shared shingle without losing one. A document shorter than an item is one window. Radius 24 of 64
+bits is over four standard deviations beyond what similarity 0.75 gives.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; shingles have five of them; shorter texts are one shingle. Null and
 empty texts and items match nothing. Several equal items are all reported. Repeated rows give repeated results; extra
@@ -60,7 +61,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str]]):
         memo = WordHashes()
         self.items = []  # id, words, shingle counts, fingerprint
-        self.places: dict[int, set[tuple[int, int]]] = {}  # shingle -> (place in the item, the item's words)
+        self.sizes: dict[int, set[int]] = {}  # shingle -> words of the items that hold it
         self.blocks: dict[tuple[int, int, int], list[int]] = {}  # words, block, value -> items
         masks = _near_values(RADIUS // BLOCKS)
         for item_id, text in items:
@@ -71,20 +72,19 @@ class ItemIndex:
             mark = simhash(shingles)
             k = len(self.items)
             self.items.append((item_id, len(words), Counter(shingles.tolist()), mark))
-            for at, h in enumerate(shingles.tolist()):
-                self.places.setdefault(h, set()).add((at, len(words)))
+            for h in shingles.tolist():
+                self.sizes.setdefault(h, set()).add(len(words))
             for block, value in enumerate(np.array([mark]).view(np.uint8).tolist()):
                 for mask in masks:
                     self.blocks.setdefault((len(words), block, value ^ mask), []).append(k)
-        self.known = np.sort(np.fromiter(self.places, np.uint64, len(self.places)))
+        self.known = np.sort(np.fromiter(self.sizes, np.uint64, len(self.sizes)))
         self.filter = np.zeros(1 << 16, bool)
         self.filter[(self.known >> np.uint64(48)).astype(np.int64)] = True
         # Items shorter than a shingle: their one shingle is that of their own size.
         self.widths = sorted({min(SIZE, n) for _, n, _, _ in self.items})
 
-    def windows(self, words: np.ndarray) -> set[tuple[int, int, int]]:
-        """``(first word, last word + 1, item's words)`` of windows laid around shared shingles."""
-        found = set()
+    def windows(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``(first word, last word + 1, item's words)`` of windows that may reach the threshold, by first word."""
         for width in self.widths:
             if len(words) < width:
                 continue
@@ -92,11 +92,19 @@ class ItemIndex:
             at = np.flatnonzero(self.filter[(shingles >> np.uint64(48)).astype(np.int64)])
             near = np.searchsorted(self.known, shingles[at])
             at = at[self.known[np.minimum(near, len(self.known) - 1)] == shingles[at]]
+            places: dict[int, list[int]] = {}
             for p in at.tolist():
-                for place, size in self.places[int(shingles[p])]:
+                for size in self.sizes[int(shingles[p])]:
                     if min(SIZE, size) == width:
-                        found.add((max(0, p - place), min(len(words), p - place + size), size))
-        return found
+                        places.setdefault(size, []).append(p)
+            for size, found in sorted(places.items()):
+                there = np.array(found)
+                starts = np.unique(np.minimum(there, max(0, len(words) - size)))
+                ends = np.minimum(len(words), starts + size)
+                own, held = size - width + 1, ends - starts - width + 1
+                shared = np.searchsorted(there, ends - width, side="right") - np.searchsorted(there, starts)
+                able = shared * (1 + THRESHOLD) >= THRESHOLD * (own + held)
+                yield from zip(starts[able].tolist(), ends[able].tolist(), [size] * int(able.sum()))
 
     def candidates(self, mark: np.uint64, size: int) -> list[int]:
         """Items of ``size`` words whose fingerprints are within the radius, by the block index."""
@@ -106,7 +114,7 @@ class ItemIndex:
     def matches(self, words: np.ndarray) -> list[dict]:
         """Each matched item once, at the window most like it."""
         best: dict[int, tuple[float, int, int]] = {}
-        for start, end, size in sorted(self.windows(words)):
+        for start, end, size in self.windows(words):
             shingles = shingle_hashes(words[start:end], SIZE)
             own = None
             for k in self.candidates(simhash(shingles), size):
