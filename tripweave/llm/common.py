@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +72,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return texts.join(F.broadcast(picked), "_id").select("text", "y")
 
 
-HINT_WORDS = 1 << 17  # of 64 bits
+HINT_WORDS = 1 << 18  # of 64 bits
 
 
 def with_hint(df: DataFrame, key: str, ids: DataFrame, name: str = "maybe") -> DataFrame:
@@ -115,23 +115,55 @@ class WordHashes(dict):
         return value
 
 
-def word_hashes(text: str, memo: WordHashes) -> np.ndarray:
+def word_hashes(text: str | bytes, memo: WordHashes) -> np.ndarray:
     """Hashes of the words of a text, A-Z lower-cased; words are split at ASCII white space only."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+    raw = text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")
+    words = raw.lower().split()
     return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
 
+def _rolled(words: np.ndarray, width: int) -> np.ndarray:
+    h = words[: len(words) - width + 1].copy()
+    for k in range(1, width):
+        h *= _MIX
+        h += words[k : len(words) - width + 1 + k]
+    h += np.uint64(width)
+    return mix64(h)
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` words, by position; of the whole sequence if it is shorter."""
-    n = len(words)
-    if n == 0:
-        return words
-    width = min(size, n)
-    h = np.full(n - width + 1, width, np.uint64)
-    for k in range(width):
-        h = mix64(h * _MIX + words[k : n - width + 1 + k])
-    return h
-
-
-def spans(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
-    return (m.span() for m in pattern.finditer(text))
+    return _rolled(words, min(size, len(words))) if len(words) else words
+
+
+WORDS_AT_ONCE = 400_000
+
+
+def shingled(texts: pa.Array, size: int, memo: WordHashes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The words of each text, and its shingles by position, both hashed; empty for null and empty texts.
+
+    Texts are hashed together, a bounded number of words at a time (or one text that has more), as array operations
+    cost the same for few elements.
+    """
+    get = memo.__getitem__
+    none = np.empty(0, np.uint64)
+
+    def together(group: list[list[bytes]], total: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        flat = np.fromiter((get(w) for words in group for w in words), np.uint64, total)
+        rolled = _rolled(flat, size) if total >= size else none
+        at = 0
+        for words in group:
+            own = flat[at : at + len(words)]
+            yield own, rolled[at : at + len(words) - size + 1] if len(words) >= size else shingle_hashes(own, size)
+            at += len(words)
+
+    group: list[list[bytes]] = []
+    total = 0
+    for raw in texts.cast(pa.binary()).to_pylist():
+        words = raw.lower().split() if raw else []
+        if group and total + len(words) > WORDS_AT_ONCE:
+            yield from together(group, total)
+            group, total = [], 0
+        group.append(words)
+        total += len(words)
+    yield from together(group, total)

@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import WORD_PATTERN, WordHashes, shingle_hashes, stored, table, without, word_hashes
+from tripweave.llm.common import WORD_PATTERN, WordHashes, shingle_hashes, shingled, stored, table, without, word_hashes
 
 SIZE = 5
 THRESHOLD = 0.75
@@ -83,12 +83,15 @@ class ItemIndex:
         # Items shorter than a shingle: their one shingle is that of their own size.
         self.widths = sorted({min(SIZE, n) for _, n, _, _ in self.items})
 
-    def windows(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """``(first word, last word + 1, item's words)`` of windows that may reach the threshold, by first word."""
+    def windows(self, words: np.ndarray, full: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``(first word, last word + 1, item's words)`` of windows that may reach the threshold, by first word.
+
+        ``full`` has the document's shingles by position.
+        """
         for width in self.widths:
             if len(words) < width:
                 continue
-            shingles = shingle_hashes(words, width)
+            shingles = full if width == SIZE else shingle_hashes(words, width)
             at = np.flatnonzero(self.filter[(shingles >> np.uint64(48)).astype(np.int64)])
             near = np.searchsorted(self.known, shingles[at])
             at = at[self.known[np.minimum(near, len(self.known) - 1)] == shingles[at]]
@@ -111,10 +114,10 @@ class ItemIndex:
         filed = {k for block, value in enumerate(np.array([mark]).view(np.uint8).tolist()) for k in self.blocks.get((size, block, value), ())}
         return [k for k in filed if int(mark ^ self.items[k][3]).bit_count() <= RADIUS]
 
-    def matches(self, words: np.ndarray) -> list[dict]:
+    def matches(self, words: np.ndarray, full: np.ndarray) -> list[dict]:
         """Each matched item once, at the window most like it."""
         best: dict[int, tuple[float, int, int]] = {}
-        for start, end, size in self.windows(words):
+        for start, end, size in self.windows(words, full):
             shingles = shingle_hashes(words[start:end], SIZE)
             own = None
             for k in self.candidates(simhash(shingles), size):
@@ -133,7 +136,7 @@ def _matcher(shared: Broadcast):
     def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index, memo = ItemIndex(shared.value), WordHashes()
         for texts in batches:
-            yield pa.array([index.matches(word_hashes(x, memo)) if x and index.items else [] for x in texts.to_pylist()], _ARROW)
+            yield pa.array([index.matches(*x) if index.items else [] for x in shingled(texts, SIZE, memo)], _ARROW)
 
     return look
 

@@ -173,15 +173,19 @@ def compile_trees(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> ContextTr
 def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_language: int = PER_LANGUAGE) -> ContextTrees | None:
     """Trees from at most ``per_language`` whole documents of each language outside the held-out fold.
 
-    The ids with the smallest hashes are taken, so reruns agree; they alone are broadcast (languages are few).
+    The ids with the smallest hashes are taken, so reruns agree; they alone are broadcast (languages are few). Hashes
+    are even, so a cut at twice the wanted share leaves few rows to rank, however many a language has.
     """
     from pyspark.sql import Window
 
     usable = docs.select(F.col("doc_id").alias("_id"), "lang", "text").filter(
         F.col("_id").isNotNull() & F.col("lang").isNotNull() & ~is_fold(F.col("_id"), folds, held_out) & (F.length("text") > 0)
     )
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id"))
-    picked = usable.select("_id", "lang").withColumn("nth", nth).filter(F.col("nth") <= per_language).select("_id", "lang").distinct()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)), "_id"))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    low = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) * F.col("n") < 2.0 * per_language * (1 << 30)
+    few = usable.select("_id", "lang").join(sizes, "lang").filter(low)
+    picked = few.withColumn("nth", nth).filter(F.col("nth") <= per_language).select("_id", "lang").distinct()
     sample = stored(usable.select("_id", "lang", "text").join(F.broadcast(picked), ["_id", "lang"]).select("lang", "text"), "language-sample")
     found = gram_counts(sample).toArrow()
     if not found.num_rows:
