@@ -186,7 +186,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "te
 
 def op8_license_scan(spark, sf_dir):
     """One row per license notice or text found in a document."""
-    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text")).filter(F.size("licenses") > 0)
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.explode("licenses").alias("l")).select(
         "doc_id", "l.license", "l.coverage", F.col("l.start").alias("start_char"), F.col("l.end").alias("end_char"), F.col("l.words").alias("n_words")
     )
