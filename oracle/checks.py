@@ -50,6 +50,7 @@ check("source_row_counts", " union all ".join(
     for t in ("customers", "hotel_bookings", "flights", "experiences", "tickets")
 ))
 check("land_tickets_file", f"select {_TICKET_RAW} from fx_tickets")
+check("land_api_pages", f"select {_FLIGHT_RAW} from fx_flights")
 check("bronze_typed_scan", f"select {_HOTEL_ROW}, {day('ingest_date')} from fx_hotel_bookings")
 check("clustered_write_readback", f"select {_CUSTOMER_ROW}, {day('ingest_date')} from fx_customers")
 check("land_replace_partition", f"""select {day('ingest_date')}, count(*) as row_count,
@@ -198,9 +199,9 @@ check("check_failures_all", " union all ".join(
            "from fx_hotel_bookings")
 check("check_identity_fan_out", " union all ".join(
     f"""select '{c}' as link, max(n) as largest, count(*) filter (where n > 1) as shared_values
-from (select {c}, count(*) as n from anchors where {c} is not null group by {c})""" for c in ("email", "phone")
+from (select {c}, count(*) as n from people where {c} is not null group by {c})""" for c in ("email", "phone")
 ))
-check("check_unresolved_tickets", "select count(*) as tickets from crm where resolved_customer_id is null")
+check("check_unresolved_tickets", "select count(*) as tickets from records where owner is null and ticket_id is not null")
 check("check_postal_city", f"""select s.customer_id, s.city, s.postal_code from s_customers s
 join (select {title('n_name')} as city, '1' || (n_nationkey % 10) as prefix from nation) p on p.city = s.city
 where not starts_with(s.postal_code, p.prefix)""")
@@ -210,7 +211,7 @@ where not starts_with(s.postal_code, p.prefix)""")
 check("norm_email", " union all ".join(
     f"select {k} as record_id, {email(c)} as email from {t}"
     for t, k, c in (("fx_customers", "customer_id", "email"), ("fx_flights", "booking_ref", "email"),
-                    ("fx_tickets", "ticket_id", "customer_email"))
+                    ("fx_experiences", "booking_ref", "email"), ("fx_tickets", "ticket_id", "customer_email"))
 ))
 check("norm_phone", " union all ".join(
     f"select {k} as record_id, {phone(c)} as phone from {t}"
@@ -221,21 +222,28 @@ check("norm_extra_sentinels", f"""select customer_id, {phone('raw', more_sentine
   {name('full_name')} as full_name from (
   select customer_id, full_name, case phone when 'TIDAK ADA' then 'N/A' when '000-000-0000' then 'unknown' else phone end as raw
   from fx_customers)""")
+_EVERY = """select booking_id, amount_idr, payment_method, booking_status from fx_hotel_bookings
+  union all select booking_ref, amount_idr, payment_method, booking_status from fx_flights
+  union all select booking_ref, amount_idr, payment_method, booking_status from fx_experiences"""
 check("norm_amount", f"""select booking_id, {hundreds('amount_idr')} as from_number,
   case booking_status when 'tidak_hadir' then null when 'confirmed' then {hundreds('amount_idr * 100')}
-    else {hundreds('amount_idr')} end as from_text from fx_hotel_bookings""")
+    else {hundreds('amount_idr')} end as from_text from every_booking""", every_booking=_EVERY)
 check("norm_name", f"select customer_id, {name('full_name')} as full_name from fx_customers")
-check("title_case", f"""select booking_id, {title('hotel_name')} as hotel_name, {title('hotel_city')} as hotel_city,
-  {title('room_type')} as room_type from fx_hotel_bookings""")
+check("title_case", " union all ".join(
+    f"select {k} as booking_id, '{c}' as field, {title(c)} as text from {t}"
+    for t, k, columns in (("fx_hotel_bookings", "booking_id", "hotel_name hotel_city room_type"), ("fx_flights", "booking_ref", "airline"),
+                          ("fx_experiences", "booking_ref", "experience_name city")) for c in columns.split()
+))
 check("parse_ts", """select booking_id, strftime(case month(booking_ts) when 1 then booking_ts - interval 7 hour
   when 4 then date_trunc('day', booking_ts) when 5 then date_trunc('day', booking_ts)
   when 6 then date_trunc('day', booking_ts) when 8 then null else booking_ts end, '%Y-%m-%d %H:%M:%S') as parsed_ts
 from fx_hotel_bookings""")
 check("parse_ts_id", "select booking_id, strftime(check_in_date, '%Y-%m-%d') as parsed_day from fx_hotel_bookings")
 check("norm_payment", f"""select booking_id, {payment('payment_method')} as payment_method,
-  case when payment_method = 'Bank Transfer (BRI)' then payment_method else {payment('payment_method')} end
-    as payment_lenient from fx_hotel_bookings""")
-check("norm_status", f"select booking_ref, {status('booking_status')} as booking_status from fx_flights")
+  case when lower(payment_method) in ('bank transfer (bca)', 'bank transfer (mandiri)', 'bank transfer (bri)', 'bank transfer (bni)')
+    then {payment("replace(replace(payment_method, '(', ''), ')', '')")} else {payment('payment_method')} end
+    as payment_lenient from every_booking""", every_booking=_EVERY)
+check("norm_status", f"select booking_id, {status('booking_status')} as booking_status from every_booking", every_booking=_EVERY)
 check("norm_counts", """select booking_id, coalesce(guests, 1) as people from fx_hotel_bookings
 union all select booking_ref, case when participants > 0 then participants else 1 end from fx_experiences""")
 check("strip_mojibake", """select ticket_id, trim(regexp_replace(body, '[ÂâÃãÄäÅå]', '', 'g')) as body
@@ -283,34 +291,42 @@ check("fact_bookings", f"""select booking_id, resolved_customer_id, identity_con
 from fact""")
 check("mart_customer_clv", f"select {_MART_ROW} from mart")
 check("mart_route_monthly", f"select {_ROUTE_ROW} from routes")
-
-check("email_universe", "select email, resolved_customer_id from emails_all")
-check("app_anchors", f"""select resolved_customer_id, customer_id, email, phone, name_std, address_city, address_province,
-  address_postal_code, {ts('first_seen')}, {ts('last_seen')}, source_customer_id, source_system,
-  {num('confidence_rank')} from anchors""")
-check("vendor_grouped", f"select email, {ts('first_seen')}, {ts('last_seen')} from vendors")
-_IDENTITY_ROW = f"""resolved_customer_id, source_customer_id, source_system, {num('confidence_rank')}, {ts('first_seen')},
-  {ts('last_seen')}, email, phone, name_std, address_city, address_province, address_postal_code"""
-check("vendor_identities", f"select {_IDENTITY_ROW} from vendor_alone")
-check("vendor_links", f"select {_IDENTITY_ROW} from vendor_linked")
-check("identity_rows", f"select {_IDENTITY_ROW} from identity")
-check("crm_candidates", f"""select resolved_customer_id, ticket_id, customer_email, customer_phone, name_std,
-  {ts('first_seen')}, {ts('last_seen')}, source_customer_id, source_system, {num('confidence_rank')} from crm""")
-check("phone_owners", """select distinct phone, resolved_customer_id from anchors
-where phone is not null and phone <> ''""")
-check("ticket_links", f"""select case way when 'phone' then 'phone' when 'email' then 'email' when 'own' then 'email' end
-    as link, case when way = 'phone' then customer_phone when way is not null then customer_email end as link_value,
-  case way when 'email' then 3 when 'phone' then 2 else 1 end as confidence_rank,
-  {ts('min(created_at)', 'first_seen')}, {ts('max(created_at)', 'last_seen')}, count(*) as tickets,
-  count(*) filter (where priority = 'critical') as critical,
-  {num("sum(date_diff('hour', created_at, resolved_at))", 'hours')}, count(resolved_at) as timed,
-  {arr("coalesce(list_sort(list('crm:' || ticket_id) filter (where way is not null)), [])", 'ticket_ids')}
-from ticket_way group by 1, 2, 3""")
-check("clv_by_resolved", f"select resolved_customer_id, {num('clv_idr')} from clv")
-check("clv_by_resolved_faithful", f"select resolved_customer_id, {num('clv_idr')} from clv_faithful")
-check("customer_keys", """select scid as source_customer_id, resolved_customer_id, identity_confidence from (
-  select resolved_customer_id, identity_confidence, unnest(source_customer_ids) as scid from dim)
-where scid not like 'crm:%'""")
+check("route_travelers_approx", "select _pk, booking_count, 1 as within from routes")
+
+check("email_universe", f"""select distinct email, {rcid('email')} as resolved_customer_id from (
+  select email from people union all select email from vendor_feed union all select customer_email from s_tickets)
+where email <> ''""")
+_STAMPS = f"{ts('first_at', 'first_seen')}, {ts('last_at', 'last_seen')}"
+_ADDRESS = "person as name_std, city as address_city, province as address_province, postal_code as address_postal_code"
+check("app_anchors", f"""select owner as resolved_customer_id, substr(source_key, 5) as customer_id, email, phone, {_ADDRESS},
+  {_STAMPS}, source_key as source_customer_id, system as source_system, {num('strength', 'confidence_rank')}
+from records where system = 'app_oltp'""")
+check("vendor_grouped", f"""select email, {ts('min(booking_ts)', 'first_seen')}, {ts('max(booking_ts)', 'last_seen')}
+from vendor_feed group by email""")
+_IDENTITY_ROW = f"""owner as resolved_customer_id, source_key as source_customer_id, system as source_system,
+  {num('strength', 'confidence_rank')}, {_STAMPS}, email, phone, {_ADDRESS}"""
+check("vendor_identities", f"select {_IDENTITY_ROW} from records where system = 'vendor_api' and strength = 1")
+check("vendor_links", f"select {_IDENTITY_ROW} from records where system = 'vendor_api' and strength = 3")
+check("identity_rows", f"select {_IDENTITY_ROW} from records")
+check("crm_candidates", f"""select owner as resolved_customer_id, ticket_id, email as customer_email, phone as customer_phone,
+  person as name_std, {_STAMPS}, source_key as source_customer_id, system as source_system,
+  {num('strength', 'confidence_rank')} from records where system = 'crm'""")
+check("phone_owners", "select phone, owner as resolved_customer_id from phone_book")
+check("ticket_links", f"""select * exclude (p) from (select strength = 2 as p, case when strength = 2 then 'phone' when email <> '' then 'email' end as link,
+  case when strength = 2 then phone when email <> '' then email end as link_value, strength as confidence_rank,
+  {ts('min(first_at)', 'first_seen')}, {ts('max(last_at)', 'last_seen')}, count(*) as tickets,
+  count(*) filter (t.priority = 'critical') as critical,
+  {num("sum(date_diff('hour', t.created_at, t.resolved_at))", 'hours')}, count(t.resolved_at) as timed
+from one_each join s_tickets t using (ticket_id) group by all)""",
+      one_each="select distinct ticket_id, strength, email, phone, first_at, last_at from records where system = 'crm'")
+check("clv_by_resolved", f"select resolved_customer_id, {num('clv_idr')} from dim")
+check("clv_by_resolved_faithful", f"""select d.resolved_customer_id, {num('coalesce(sum(idr), 0)', 'clv_idr')} from dim d left join (
+  select {rcid('v.email')} as owner, amount_idr as idr from vendor_feed v left join people p on p.email = v.email
+  where booking_status = 'completed'
+  union all select p.owner, h.amount_idr from s_hotels h join people p using (customer_id) where booking_status = 'completed') x
+on x.owner = d.resolved_customer_id group by d.resolved_customer_id""")
+check("customer_keys", """select distinct r.source_key as source_customer_id, r.owner as resolved_customer_id, d.identity_confidence
+from records r join dim d on d.resolved_customer_id = r.owner where r.system <> 'crm'""")
 check("loyalty_tier", f"""select resolved_customer_id, {num('clv_idr')}, {num('dormant_days')}, loyalty_tier from dim""")
 check("bookings_unified", f"select source_customer_id, booking_id, source, {_BOOKING_ROW} from unified")
 check("placeholder_ids", """select u.booking_id,
@@ -318,16 +334,19 @@ check("placeholder_ids", """select u.booking_id,
   coalesce(f.identity_confidence, 'placeholder') as identity_confidence
 from unified u join fact f on f.booking_id = u.booking_id""")
 check("bookings_agg", f"""select resolved_customer_id, {num('clv_idr')}, completed_count, cancelled_count, no_show_count,
-  booking_count, {ts('last_booking_ts')}, distinct_booking_types, most_recent_booking_type from per_customer""")
+  booking_count, {ts('last_booking_ts')}, distinct_booking_types, newest.kind as most_recent_booking_type
+from figures where booking_count > 0""")
 check("support_agg", f"""select resolved_customer_id, critical_ticket_count, {dec('avg_resolution_hours')},
-  {num('has_support_ticket')} from support""")
+  {num('has_support_ticket')} from figures where has_support_ticket = 1 and resolved_customer_id is not null""")
 check("churn_score", f"select resolved_customer_id, {dec('churn_risk_score')} from mart")
 check("recommended_action", "select resolved_customer_id, recommended_action from mart")
 
 # Reachability over shared phones; UNION drops repeated pairs, so the recursion ends.
 CHECKS["identity_components"] = query(
-    """select e.email, coalesce(min(r.reached), e.email) as component_email from emails_all e
+    """select e.email, coalesce(min(r.reached), e.email) as component_email from every_email e
 left join reach r on r.origin = e.email group by e.email""",
+    every_email="""select email from people union select email from vendor_feed
+  union select customer_email from s_tickets where customer_email <> ''""",
     pairs="""select distinct email, phone from (select email, phone from s_customers
   union all select customer_email, customer_phone from s_tickets)
   where email is not null and email <> '' and phone is not null and phone <> ''""",
@@ -350,12 +369,14 @@ qualify row_number() over (partition by l_orderkey, l_partkey order by l_shipdat
 
 # ---- executive overview -------------------------------------------------------------------
 
-_KPIS = """select (select count(*) from dim) as total_customers,
-  (select round_even(avg(clv_idr), 0) from dim where clv_idr > 0) as avg_clv,
-  (select coalesce(sum(amount_idr), 0) from fact where status = 'completed') as total_revenue,
-  (select count(*) from dim where loyalty_tier = 'churn_risk') as churn_risk_count,
-  (select count(*) from s_tickets where status in ('open', 'in_progress')) as open_tickets,
-  (select count(*) from s_tickets where status in ('open', 'in_progress') and priority = 'critical') as critical_tickets"""
+# Tickets that wait, by priority; customers and bookings each give their own figures, one row in all.
+_KPIS = """select total_customers, avg_clv, churn_risk_count, total_revenue, coalesce(sum(n), 0) as open_tickets,
+    coalesce(sum(n) filter (priority = 'critical'), 0) as critical_tickets
+  from (select count(*) as total_customers, round_even(avg(nullif(greatest(clv_idr, 0), 0)), 0) as avg_clv,
+      count_if(loyalty_tier = 'churn_risk') as churn_risk_count from dim)
+  cross join (select coalesce(sum(idr), 0) as total_revenue from (select sum(amount_idr) as idr from fact where status = 'completed'))
+  left join (select priority, count(*) as n from s_tickets where status in ('open', 'in_progress') group by priority) on true
+  group by all"""
 check("exec_kpi_summary", f"""select total_customers, {dec('avg_clv')}, {num('total_revenue')}, churn_risk_count, open_tickets,
   critical_tickets from kpis""", kpis=_KPIS)
 check("exec_churn_pct", f"""select total_customers, churn_risk_count,
@@ -382,7 +403,8 @@ check("city_revenue_map", f"""select c.city, province, lat, lng, total_revenue,
 from city_sums c join places p on p.city = c.city""", city_sums=_CITY_SUMS,
       places="""select * from (values ('Kuta', -8.7::double, 115.2::double, 'Bali'), ('Ubud', -8.5, 115.3, 'Bali'),
   ('Lombok', -8.6, 116.3, 'Nusa Tenggara Barat'), ('Labuan Bajo', -8.5, 119.9, 'Nusa Tenggara Timur'),
-  ('Jakarta', -6.2, 106.8, 'DKI Jakarta'), ('Surabaya', -7.3, 112.8, 'Jawa Timur')) as p(city, lat, lng, province)""")
+  ('Jakarta', -6.2, 106.8, 'DKI Jakarta'), ('Surabaya', -7.3, 112.8, 'Jawa Timur'),
+  ('Yogyakarta', -7.8, 110.4, 'DI Yogyakarta')) as p(city, lat, lng, province)""")
 
 # ---- customer explorer --------------------------------------------------------------------
 
@@ -436,10 +458,11 @@ from (select d.*, m.clv_idr as mart_clv_idr, m.* exclude (resolved_customer_id,
   from dim d left join mart m on m.resolved_customer_id = d.resolved_customer_id)""")
 check("customer_360_bookings", f"""select resolved_customer_id, booking_id, {_BOOKING_ROW} from fact
 where resolved_customer_id is not null""")
-check("customer_360_tickets", f"""select c.resolved_customer_id, {_TICKET_ROW} from s_tickets t join chosen c
-  on list_contains(c.emails, t.customer_email) or list_contains(c.phones, t.customer_phone)""",
-      chosen="""select * from explorer where has_support_ticket = 1
-  order by clv_idr desc nulls last, resolved_customer_id limit 1""")
+_CONTACT_HITS = """select c.resolved_customer_id, t.* from (select resolved_customer_id, unnest(emails) as e from dim) c
+    join s_tickets t on t.customer_email = c.e
+  union select c.resolved_customer_id, t.* from (select resolved_customer_id, unnest(phones) as p from dim) c
+    join s_tickets t on t.customer_phone = c.p"""
+check("customer_360_tickets", f"select resolved_customer_id, {_TICKET_ROW} from hits", hits=_CONTACT_HITS)
 _PER_TYPE = """select resolved_customer_id, booking_type, count(*) as n from fact
   where resolved_customer_id is not null group by resolved_customer_id, booking_type"""
 check("customer_type_gap", """select resolved_customer_id, count(*) as distinct_booking_types,
@@ -458,10 +481,7 @@ check("customer_recent_bookings", f"""select resolved_customer_id, booking_id, b
 check("customer_recent_tickets", f"""select resolved_customer_id, ticket_id, subject, status, priority, category, channel,
   {ts('created_at')}, {ts('resolved_at')}, agent_name, body from (select * from hits qualify row_number() over (
     partition by resolved_customer_id order by created_at desc nulls last, ticket_id) <= 20)""",
-      owners_e="select resolved_customer_id, unnest(emails) as e from dim",
-      owners_p="select resolved_customer_id, unnest(phones) as p from dim",
-      hits="""select o.resolved_customer_id, t.* from owners_e o join s_tickets t on t.customer_email = o.e
-  union select o.resolved_customer_id, t.* from owners_p o join s_tickets t on t.customer_phone = o.p""")
+      hits=_CONTACT_HITS)
 check("identity_panel", """select resolved_customer_id, i - 1 as position, emails[i] as email, phones[i] as phone,
   source_customer_ids[i] as source_customer_id, source_systems[i] as source_system from (
   select *, unnest(range(1, len(emails) + 1)) as i from dim)""")
@@ -469,23 +489,25 @@ check("identity_panel", """select resolved_customer_id, i - 1 as position, email
 # ---- routes -------------------------------------------------------------------------------
 
 
-def _routes_table(where: str = "true") -> str:
-    return f"""select route_key, route_type, origin, destination, city, {num('sum(booking_count)', 'booking_count')},
-  {num('sum(unique_travelers)', 'unique_travelers')}, {num('sum(amount_idr_total)', 'amount_idr_total')},
-  {num('sum(amount_idr_total) // greatest(sum(booking_count), 1)', 'amount_idr_avg')},
-  {dec('avg(cancel_rate)', 'cancel_rate')}, {dec('avg(no_show_rate)', 'no_show_rate')},
-  min(holiday_window) as peak_holiday, {dec('avg(business_class_share)', 'business_class_share')}
-from routes where {where} group by route_key, route_type, origin, destination, city
-order by sum(amount_idr_total) desc nulls last, route_type, route_key limit 50"""
+# Figures of a route over its months: whole numbers add up, rates are means.
+_ADDED = {n: num(f"sum({n})", n) for n in ("booking_count", "unique_travelers", "amount_idr_total")}
+_MEANS = {n: dec(f"avg({n})", n) for n in ("cancel_rate", "no_show_rate", "business_class_share")}
+_ROUTE_IDS = "route_type, route_key, origin, destination, city"
+
+
+def _routes_table(kind: str = "%") -> str:
+    sums = f"""select {_ROUTE_IDS}, min(holiday_window) as peak_holiday, {', '.join([*_ADDED.values(), *_MEANS.values()])}
+from routes where route_type like '{kind}' group by all"""
+    return f"""select *, amount_idr_total // greatest(booking_count, 1) as amount_idr_avg from ({sums})
+qualify row_number() over (order by amount_idr_total desc nulls last, route_type, route_key) <= 50"""
 
 
 check("route_table", _routes_table())
-check("route_table_flights", _routes_table("route_type = 'flight'"))
-check("route_monthly_trend", f"""select {day('year_month')}, label as route_key, {num('sum(amount_idr_total)', 'amount_idr_total')},
-  {num('sum(booking_count)', 'booking_count')} from (select r.*, case when t.route_key is null then 'Other'
-    else r.route_key end as label from routes r left join top_routes t on t.route_key = r.route_key) x
-group by x.year_month, label""", top_routes="""select route_key from routes group by route_key
-  order by sum(amount_idr_total) desc nulls last, route_key limit 5""")
+check("route_table_flights", _routes_table("flight"))
+check("route_monthly_trend", f"""select {day('year_month')}, if(place <= 5, route_key, 'Other') as route_key,
+  {_ADDED['amount_idr_total']}, {_ADDED['booking_count']}
+from (select *, dense_rank() over (order by whole desc nulls last, route_key) as place
+  from (select *, sum(amount_idr_total) over (partition by route_key) as whole from routes)) group by all""")
 check("route_holiday_comparison", f"""select holiday_window, {num('sum(amount_idr_total)', 'total_revenue')},
   {num('sum(booking_count)', 'booking_count')} from routes where holiday_window <> '' group by holiday_window""")
 check("route_business_class", f"""select route_key, {dec('avg(business_class_share)', 'business_class_share')},
@@ -500,3 +522,15 @@ check("stream_upsert_silver", f"select {_TICKET_ROW} from s_tickets")
 check("stream_replay", f"select {_TICKET_ROW} from s_tickets")
 check("stream_dedupe", f"""select distinct email, flight_number, {ts('departure_ts')}, {num('amount_idr')}, 1 as kept_rows
 from c_flights""")
+check("stream_dedupe_hotels", f"""select distinct customer_id, lower(hotel_name) as hotel_name, {day('check_in_date')},
+  {num('amount_idr')}, 1 as kept_rows from c_hotels""")
+check("stream_dedupe_experiences", f"""select distinct email, lower(experience_name) as experience_name, {day('activity_date')},
+  {num('amount_idr')}, 1 as kept_rows from c_experiences""")
+
+# ---- daily runs ---------------------------------------------------------------------------
+
+check("daily_run_gold", f"select {_MART_ROW} from mart")
+check("daily_run_amended", f"""select f.booking_id, f.resolved_customer_id, f.identity_confidence, f.booking_type,
+  if(l.booking_id is null, f.status, 'cancelled') as status, {num('f.amount_idr', 'amount_idr')}
+from fact f left join (select booking_id from fx_hotel_bookings
+  where ingest_date between date '2026-05-01' and date '2026-05-31') l on l.booking_id = f.booking_id""")
