@@ -26,10 +26,26 @@ def _iso(expr: str) -> str:
     return f"replace(substr(cast({expr} as varchar(30)), 1, 19), ' ', 'T') || '+07:00'"
 
 
-_PAYMENT = (
-    "case k % 6 when 0 then 'bank transfer bca' when 1 then 'Bank Transfer Mandiri' "
-    "when 2 then 'Bank Transfer (BRI)' when 3 then 'QRIS' when 4 then ' GoPay ' else 'COD' end as payment_method"
-)
+def _cases(on: str, values: list[str], otherwise: str) -> str:
+    """The n-th value where ``on`` is n."""
+    return f"case {on} " + " ".join(f"when {i} then {v}" for i, v in enumerate(values)) + f" else {otherwise} end"
+
+
+# The booking type is k modulo 3, so values are chosen by the whole part of k / 3: every type meets every value.
+_J = "cast(floor(k / 3) as bigint)"
+_PAYMENT = _cases(f"{_J} % 10", [
+    "'bank transfer bca'", "'Bank Transfer Mandiri'", "' bank transfer BRI'", "'BANK TRANSFER BNI'", "'Bank Transfer (BRI)'",
+    "'bank transfer (bca)'", "'Bank Transfer (Mandiri)'", "'QRIS'", "' GoPay '",
+], "'COD'") + " as payment_method"
+_TITLED = [f"'{t} ' || c_name" for t in (
+    "Bpk.", "IBU", "sdr.", "H.", "drs.", "Dr.", "DRG.", "Ir.", "tgk.", "Dt.", "R.", "r.a."
+)] + [f"c_name || ', {d}'" for d in (
+    "S.Kom.", "s.ip.", "S.FARM.", "S.Ked.", "s.sos.", "S.Psi.", "S.H.", "S.E.", "M.Kom.", "m.m.", "M.T. "
+)]
+_NAME = _cases("c_custkey % 32", [
+    *_TITLED, "''", "' dr.  ' || c_name || ' wijaya'", "' dr.  ' || c_name || ' wijaya'", "upper(c_name)", "'bpk ' || c_name",
+], "c_name")
+_BODY = _cases("event_id % 5", ["'JosÃ kamar bau rokok '", "' Ânda telat Å'", "'ÄäãÃ'", "'bersih'"], "null")
 _STATUS = (
     "case k % 8 when 0 then 'batal' when 1 then 'selesai' when 2 then 'tidak_hadir' when 3 then ' Completed ' "
     "when 4 then 'cancelled' when 5 then 'COMPLETED' when 6 then 'confirmed' else 'selesai' end as booking_status"
@@ -74,10 +90,7 @@ select 'CST-' || {_padded('c_custkey', 6)} as customer_id,
        when 3 then '812' || {_padded('c_custkey', 8)}
        when 4 then 'TIDAK ADA' when 5 then '000-000-0000' when 6 then '12345' when 7 then ''
        else '0812 ' || {_padded('c_custkey', 8)} end as phone,
-  case c_custkey % 6
-       when 0 then 'Bpk. ' || lower(c_name) when 1 then 'IBU ' || upper(c_name)
-       when 2 then c_name || ', S.Kom.' when 3 then ' dr.  ' || c_name || ' wijaya'
-       when 4 then '' else c_name end as full_name,
+  {_NAME} as full_name,
   ' Jl. Merdeka No. ' || {_text('c_custkey')} || ' ' as address,
   lower(n_name) as city, upper(r_name) as province,
   lpad({_text('c_custkey')}, 7, '1') as postal_code,
@@ -97,7 +110,7 @@ from ({_ORDERS}) fx_orders where k % 3 = 0
 """,
     "flights": f"""
 select 'FLT-' || {_BOOKING_REF} as booking_ref, {_VENDOR_EMAIL},
-  case k % 3 when 0 then 'garuda INDONESIA' when 1 then 'lion air' else 'Citilink' end as airline,
+  case {_J} % 3 when 0 then 'garuda INDONESIA' when 1 then 'lion air' else 'Citilink' end as airline,
   'ga' || {_text('100 + k % 900')} as flight_number,
   case k % 5 when 0 then 'cgk' when 1 then 'SUB' when 2 then 'kno ' when 3 then 'UPG' else 'CGK' end as origin,
   case k % 4 when 0 then 'DPS' when 1 then 'jog' when 2 then 'SIN' else ' dps' end as destination,
@@ -110,7 +123,7 @@ from ({_ORDERS}) fx_orders where k % 3 = 1
     "experiences": f"""
 select 'EXP-' || {_BOOKING_REF} as booking_ref, {_VENDOR_EMAIL},
   'cooking CLASS ' || {_text('k % 12')} as experience_name,
-  case k % 3 when 0 then 'ubud' when 1 then 'LOMBOK' else 'labuan bajo' end as city,
+  case {_J} % 4 when 0 then 'ubud' when 1 then 'LOMBOK' when 2 then ' Yogyakarta' else 'labuan bajo' end as city,
   case k % 4 when 0 then ' Culinary' when 1 then 'DIVING' when 2 then 'trek' else null end as category,
   substr(cast({_MOMENT} + interval '3' day as varchar(30)), 1, 10) as activity_date,
   cast(case when k % 13 = 0 then 0 else k % 4 + 1 end as bigint) as participants,
@@ -124,15 +137,15 @@ select 'TKT-' || {_padded('event_id', 8)} as ticket_id,
   case event_id % 5 when 0 then 'tidak diketahui' when 1 then '0'
        else '0812-' || {_padded('user_id', 8)} end as customer_phone,
   'Ibu Customer ' || {_text('user_id')} as customer_name,
-  ' Refund hotel ' as subject, 'JosÃ kamar bau rokok ' as body,
+  ' ' || event_type || ' hotel ' as subject, {_BODY} as body,
   case event_id % 4 when 0 then 'Open' when 1 then 'in_progress' when 2 then 'resolved' else ' closed' end as status,
   case event_id % 7 when 0 then 'Critical' when 1 then 'high' when 2 then 'low' else 'medium' end as priority,
   'WhatsApp' as channel, {_iso(_TICKET_AT)} as created_at,
   case when event_id % 4 >= 2
        then {_iso(_TICKET_AT + " + (event_id % 72) * interval '1' hour + interval '30' minute")}
        else null end as resolved_at,
-  'Refund' as category, 'agent SATU' as agent_name, cast({_TICKET_AT} as date) as ingest_date
-from {{events}} where event_type = 'error'
+  upper(event_type) || ' ' as category, 'agent SATU' as agent_name, cast({_TICKET_AT} as date) as ingest_date
+from {{events}}
 """,
 }
 
