@@ -30,14 +30,29 @@ def lookup(spark, facts):
 
 
 def test_hot_keys_lists_only_large_ones(facts):
-    assert [r["k"] for r in hot_keys(facts, "k", at_least=1_000).collect()] == ["hot"]
-    assert hot_keys(facts, "k", at_least=ROWS).count() == 0
-    assert hot_keys(facts.limit(0), "k", at_least=1).count() == 0
+    found = hot_keys(facts, "k", parts=30).collect()
+    assert [(r["k"], r["_copies"]) for r in found] == [("hot", 11)]
+    assert hot_keys(facts, "k", parts=1).count() == 0
+    assert hot_keys(facts.limit(0), "k", parts=1_000).count() == 0
+
+
+def test_every_hot_key_is_listed(spark):
+    """Five thousand large keys are all spread; the copies stay within twice the number of parts."""
+    rows = spark.range(200_000).select((F.col("id") % 5_000).cast("string").alias("k"))
+    found = hot_keys(rows, "k", parts=5_001)
+    assert found.count() == 5_000
+    assert found.agg(F.sum("_copies")).first()[0] <= 2 * 5_001
+
+
+def test_rows_without_key_and_id_are_spread(spark, lookup):
+    rows = spark.range(1_000).select(F.lit(None).cast("string").alias("k"), F.lit(None).cast("string").alias("row_id"), "id")
+    got = lookup_join(rows, lookup, "k", "row_id", hot_keys(rows, "k"))
+    assert got.count() == 1_000 and got.filter("v is not null").count() == 0
 
 
 @pytest.mark.parametrize("salted", [False, True])
 def test_lookup_join_equals_plain_join(facts, lookup, salted):
-    hot = hot_keys(facts, "k", at_least=1_000) if salted else None
+    hot = hot_keys(facts, "k", parts=30) if salted else None
     got = lookup_join(facts, lookup, "k", "row_id", hot)
     plain = facts.join(lookup, "k", "left").select("row_id", "k", "v")
     assert got.count() == ROWS
@@ -46,7 +61,7 @@ def test_lookup_join_equals_plain_join(facts, lookup, salted):
 
 def test_lookup_join_keeps_every_match(spark, facts):
     owners = spark.createDataFrame([("hot", "a"), ("hot", "b"), ("k1", "c")], "k string, v string")
-    got = lookup_join(facts, owners, "k", "row_id", hot_keys(facts, "k", at_least=1_000))
+    got = lookup_join(facts, owners, "k", "row_id", hot_keys(facts, "k", parts=30))
     plain = facts.join(owners, "k", "left")
     assert got.count() == plain.count()
     assert got.filter("k = 'hot'").groupBy("v").count().count() == 2
@@ -62,7 +77,7 @@ def test_hot_and_missing_keys_are_spread(spark, facts, lookup):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        joined = lookup_join(facts, lookup, "k", "row_id", hot_keys(facts, "k", at_least=1_000))
+        joined = lookup_join(facts, lookup, "k", "row_id", hot_keys(facts, "k", parts=30))
         sizes = Counter(r[0] for r in joined.select(F.spark_partition_id()).collect())
     finally:
         for k, v in before.items():

@@ -73,7 +73,7 @@ def whole_hundreds(c: Column) -> Column:
 def amount_text(c: Column) -> Column:
     """The same rule for amounts delivered as text, e.g. ``Rp 9.999,50``."""
     trimmed = F.trim(c)
-    bare = F.trim(F.when(trimmed.startswith("Rp"), F.substring(trimmed, 3, 1_000)).otherwise(c))
+    bare = F.trim(F.when(trimmed.startswith("Rp"), F.substr(trimmed, F.lit(3))).otherwise(c))
     plain = F.regexp_replace(F.replace(bare, F.lit("."), F.lit("")), r"(?s),.*$", "")
     return whole_hundreds(F.when(plain.rlike(r"^[+-]?[0-9]+$"), plain.try_cast("bigint")))
 

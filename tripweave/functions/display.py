@@ -18,7 +18,7 @@ def phone(c: Column) -> Column:
     e164 = F.trim(c)
     spaced = F.concat(
         F.substring(e164, 1, 3), F.lit(" "), F.substring(e164, 4, 3), F.lit("-"),
-        F.substring(e164, 7, 4), F.lit("-"), F.substring(e164, 11, 1_000),
+        F.substring(e164, 7, 4), F.lit("-"), F.substr(e164, F.lit(11)),
     )
     complete = e164.startswith("+62") & (F.length(e164) >= 12)
     return F.when(complete, spaced).otherwise(F.coalesce(e164, F.lit("")))

@@ -19,37 +19,30 @@ class SearchFilter:
 
     term: str = ""
     tiers: tuple[str, ...] = ()
-    churn_range: tuple[float, float] | None = None
+    churn_range: tuple[float | None, float | None] = (None, None)
     actions: tuple[str, ...] = ()
     has_ticket: bool = False
-    booking_types: tuple[int, ...] = ()
+    type_range: tuple[int | None, int | None] = (None, None)
     omnichannel: bool = False
 
     def on_figures(self) -> Column:
         """The conditions over columns of the value mart."""
-        parts = []
-        if self.tiers:
-            parts.append(F.col("loyalty_tier").isin(list(self.tiers)))
-        if self.churn_range:
-            parts.append(F.col("churn_risk_score").between(*self.churn_range))
-        if self.actions:
-            parts.append(F.col("recommended_action").isin(list(self.actions)))
-        if self.has_ticket:
-            parts.append(F.col("has_support_ticket") == 1)
-        if self.booking_types:
-            parts.append(F.col("distinct_booking_types") >= self.booking_types[0])
-        if len(self.booking_types) == 2:
-            parts.append(F.col("distinct_booking_types") <= self.booking_types[1])
-        return _all(parts)
+        wanted = {"loyalty_tier": self.tiers, "recommended_action": self.actions}
+        ranges = {"churn_risk_score": self.churn_range, "distinct_booking_types": self.type_range}
+        parts = [F.col(name).isin(list(values)) for name, values in wanted.items() if values]
+        for name, (low, high) in ranges.items():
+            parts += [F.col(name) >= low] if low is not None else []
+            parts += [F.col(name) <= high] if high is not None else []
+        return _all(parts + ([F.col("has_support_ticket") == 1] if self.has_ticket else []))
+
+    def asks_identity(self) -> bool:
+        """Whether any condition is about the customer table."""
+        return bool(self.term) or self.omnichannel
 
     def on_identity(self) -> Column:
         """The conditions over columns of the customer table."""
-        parts = []
-        if self.term:
-            parts.append(matches_term(self.term))
-        if self.omnichannel:
-            parts.append(F.size("source_systems") == OMNICHANNEL_SYSTEMS)
-        return _all(parts)
+        term = [matches_term(self.term)] if self.term else []
+        return _all(term + ([F.size("source_systems") == OMNICHANNEL_SYSTEMS] if self.omnichannel else []))
 
 
 def _all(parts: list[Column]) -> Column:

@@ -5,48 +5,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys with at least this many rows are spread out, the largest MAX_HOT_KEYS of them. The second
-# number is also the proven row bound of the broadcast list of such keys.
-HOT_ROWS = 100_000
-MAX_HOT_KEYS = 1_000
+# A key that holds more than one in so many rows is spread out. No more than PARTS keys can, which
+# is the proven row bound of the broadcast list of such keys.
+PARTS = 2_000
 
 
-def hot_keys(df: DataFrame, key: str, at_least: int = HOT_ROWS) -> DataFrame:
-    """The largest keys of a table that hold ``at_least`` rows each.
+def hot_keys(df: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
+    """Keys with more than a ``parts``-th of all rows that have a key, and over how many tasks to spread each.
 
-    Counts are combined before the shuffle, so it moves one row per key and input task. The list
-    only steers which rows are spread out; no result depends on it, and what a key beyond the
-    list holds is small enough for the run-time splitting of join partitions.
+    Counts are combined before the shuffle, so it moves one row per key and input task. There are
+    fewer than ``parts`` such keys whatever the size of the table, and the copies of all of them add
+    up to at most twice ``parts``. The list only steers which rows are spread out; no result depends
+    on it. What a key beyond the list holds is left to the run-time splitting of join partitions.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.filter(F.col("n") >= at_least).orderBy(F.desc("n"), key).limit(MAX_HOT_KEYS)
-    return largest.select(key, F.lit(True).alias("_hot"))
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    share = F.col("n") * F.lit(parts) / total
+    return counts.filter(share > 1).select(key, F.ceil(share).cast("bigint").alias("_copies"))
 
 
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, row_id: str, hot: DataFrame | None = None, salts: int = 64
-) -> DataFrame:
-    """``facts`` left-joined to ``lookup`` (one row per key) on ``key``.
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, row_id: str, hot: DataFrame | None = None) -> DataFrame:
+    """``facts`` left-joined to ``lookup`` on ``key``.
 
     Rows without a key get a private join value, so they spread over all tasks instead of meeting
-    in one. Rows of a key listed in ``hot`` are spread over ``salts`` tasks, and only the lookup
-    rows of those keys are copied ``salts`` times.
+    in one. Rows of a key listed in ``hot`` are spread over as many tasks as their number asks for,
+    and only the lookup rows of those keys are copied.
     """
+    # A row without an id is spread by its content.
+    own = F.coalesce(F.col(row_id).cast("string"), F.xxhash64(*facts.columns).cast("string"))
     # No lookup key starts with a NUL character, hence these rows stay unmatched as they should.
-    private = F.concat(F.lit("\u0000"), F.col(row_id))
-    spread = facts.withColumn("_key", F.coalesce(F.col(key), private))
+    spread = facts.withColumn("_key", F.coalesce(F.col(key), F.concat(F.lit("\u0000"), own)))
     target = lookup.withColumnRenamed(key, "_key")
     if hot is None:
         return spread.join(target, "_key", "left").drop("_key")
 
     marks = F.broadcast(hot.withColumnRenamed(key, "_key"))
-    is_hot = F.col("_hot").isNotNull()
-    salt = F.when(is_hot, F.pmod(F.xxhash64(row_id), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
-    copies = F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(
-        F.array(F.lit(0).cast("bigint"))
-    )
-    left = spread.join(marks, "_key", "left").withColumn("_salt", salt).drop("_hot")
-    right = target.join(marks, "_key", "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    one = F.lit(1).cast("bigint")
+    copies = F.coalesce("_copies", one)
+    left = spread.join(marks, "_key", "left").withColumn("_salt", F.pmod(F.xxhash64(own), copies)).drop("_copies")
+    right = target.join(marks, "_key", "left").withColumn("_salt", F.explode(F.sequence(one - 1, copies - 1))).drop("_copies")
     return left.join(right, ["_key", "_salt"], "left").drop("_key", "_salt")
 
 

@@ -2,37 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from typing import TYPE_CHECKING
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.sources.tables import SnapshotTable
+from tripweave.operators.dedupe import first_rows
 
+if TYPE_CHECKING:
+    from tripweave.sources.tables import SnapshotTable
+
+
+def same(left: list[str], right: list[str]) -> Column:
+    """All pairs of columns are equal, or both missing."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
 
-def upsert(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Batch rows replace stored rows of the same key; all other stored rows stay.
 
-    A missing key counts as one key of its own, so repeating a batch never adds to it.
+def without_keys(stored: DataFrame, batch: DataFrame, key: str | list[str]) -> DataFrame:
+    """Stored rows that the batch does not replace.
+
+    Several key columns are compared null-safe and identify a row together. A row whose single key
+    is missing has no identity: only an equal row of the batch replaces it, so a batch that is
+    repeated adds nothing and rows of other days stay.
     """
-    return without_keys(stored, batch, key).unionByName(batch)
+    if not isinstance(key, str):
+        names = [f"_replaced_{i}" for i in range(len(key))]
+        replaced = batch.select(*[F.col(k).alias(n) for k, n in zip(key, names)])
+        return stored.join(replaced, same(key, names), "left_anti")
+    replaced = batch.filter(F.col(key).isNotNull()).select(F.col(key).alias("_replaced"))
+    # One pass over the stored rows: keyless ones match nothing here and are compared as a whole next.
+    kept = stored.join(replaced, F.col(key) == F.col("_replaced"), "left_anti")
+    columns = stored.columns
+    names = [f"_replaced_{i}" for i in range(len(columns))]
+    keyless = batch.filter(F.col(key).isNull()).select(*[F.col(c).alias(n) for c, n in zip(columns, names)])
+    is_keyless = kept.filter(F.col(key).isNull()).join(keyless, same(columns, names), "left_anti")
+    return kept.filter(F.col(key).isNotNull()).unionByName(is_keyless)
+
 
+def upsert(stored: DataFrame, batch: DataFrame, key: str | list[str], newest: str | None = None) -> DataFrame:
+    """Batch rows replace stored rows of the same key; all other stored rows stay.
 
-def without_keys(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Stored rows whose key the batch does not have."""
-    replaced = batch.select(F.col(key).alias("_replaced"))
-    return stored.join(replaced, F.col(key).eqNullSafe(F.col("_replaced")), "left_anti")
+    With ``newest``, a row is replaced only by one that is not older by that column, so the result
+    does not depend on the order of batches.
+    """
+    if newest is None:
+        return without_keys(stored, batch, key).unionByName(batch)
+    keys = [key] if isinstance(key, str) else list(key)
+    names = [f"_batch_{i}" for i in range(len(keys))]
+    touched = batch.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    kept = without_keys(stored, batch, key)
+    rivals = stored.join(touched, same(keys, names), "left_semi")
+    if isinstance(key, str):
+        rivals = rivals.filter(F.col(key).isNotNull())
+    every = rivals.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+    has_key = F.lit(True) if not isinstance(key, str) else F.col(key).isNotNull()
+    best = first_rows(every.filter(has_key), keys, [F.col(newest).desc_nulls_last(), F.desc("_new")]).drop("_new")
+    return kept.unionByName(best).unionByName(batch.filter(~has_key))
 
 
-def merge_into(table: SnapshotTable, batch: DataFrame, key: str, full_refresh: bool = False) -> DataFrame:
+def merge_into(
+    table: SnapshotTable, batch: DataFrame, key: str | list[str], full_refresh: bool = False, newest: str | None = None
+) -> DataFrame:
     """Write the upserted table as its next snapshot and return the new content.
 
     ``batch`` holds at most one row per key, as every model of this package guarantees. Running
     the same batch again leaves the content unchanged.
     """
-    after = batch if full_refresh or not table.exists() else upsert(table.read(), batch, key)
-    return table.write(after, lookup=key)
+    after = batch if full_refresh or not table.exists() else upsert(table.read(), batch, key, newest)
+    return table.write(after, lookup=key if isinstance(key, str) else None)
 
 
 def merge_into_catalog(batch: DataFrame, target: str, key: str) -> None:
     """The same upsert for a catalog table whose format supports MERGE; only touched files change."""
-    match = f"{target}.{key} <=> source.{key}"
+    match = f"{target}.{key} = source.{key}"
     batch.alias("source").mergeInto(target, F.expr(match)).whenMatched().updateAll().whenNotMatched().insertAll().merge()

@@ -5,12 +5,12 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.schema import LandedTable
-from tripweave.sources.tables import path_exists
+from tripweave.sources.tables import delete_path
 
 FIRST_DAY = date(2026, 1, 1)
 DEFAULT_WINDOW = ("2026-01-01", "2026-01-02")
@@ -42,7 +42,10 @@ def text_slice(source: DataFrame, table: LandedTable, start: str, end: str) -> D
 
 
 def page(source: DataFrame, table: LandedTable, limit: int = 0, offset: int = 0) -> DataFrame:
-    """One page, newest first; ``limit=0`` returns everything. To read all pages, scan instead."""
+    """One page, newest first; ``limit=0`` returns everything.
+
+    A page is a top-k report: ``offset + limit`` rows meet in one task. To read all pages, scan instead.
+    """
     ordered = source.orderBy(F.col(table.event_time).desc_nulls_last(), F.col(table.key).asc())
     return ordered.offset(offset).limit(limit) if limit else ordered
 
@@ -136,38 +139,32 @@ def read_landed(spark: SparkSession, root: str, table: LandedTable) -> DataFrame
 def append(df: DataFrame, root: str, table: LandedTable, day: str | date) -> int:
     """Append a batch and return how many rows it added.
 
-    Rows are counted in the stored table, of which a count reads file footers only; a batch
-    without its own landing days touches just ``day``.
+    Rows are counted on their way into the files, so the stored table is not read and other writers
+    do not matter.
     """
-    stamped = "ingest_date" in df.columns
-
-    def stored_rows() -> int:
-        if not path_exists(df.sparkSession, root):
-            return 0
-        return partitions(read_landed(df.sparkSession, root, table), None if stamped else day).count()
-
-    before = stored_rows()
-    batch = conform(stamp(df, day), table)
-    clustered(batch, table).write.mode("append").partitionBy("ingest_date").parquet(root)
-    return stored_rows() - before
+    counted = Observation()
+    batch = clustered(conform(stamp(df, day), table), table).observe(counted, F.count(F.lit(1)).alias("rows"))
+    batch.write.mode("append").partitionBy("ingest_date").parquet(root)
+    return counted.get["rows"]
 
 
 def replace_days(df: DataFrame, root: str, table: LandedTable, days: list[str | date]) -> None:
     """Make the given days hold exactly the batch; running it twice equals running it once.
 
-    ``df`` must carry ``ingest_date``. A day without rows in the batch ends up empty.
+    ``df`` must carry ``ingest_date`` and is evaluated once: which days got rows is observed while
+    they are written. The folders of the other days are removed.
     """
-    wanted = [as_day(d) for d in days]
-    batch = conform(df, table).filter(F.col("ingest_date").isin(wanted))
-    # At most one row per requested day reaches the driver, and only the day column is computed.
-    filled = {r[0] for r in batch.select("ingest_date").distinct().collect()}
+    wanted = {as_day(d) for d in days}
+    batch = conform(df, table).filter(F.col("ingest_date").isin(sorted(wanted)))
+    seen = Observation()
+    # A set of at most as many days as were asked for.
+    watched = clustered(batch, table).observe(seen, F.collect_set("ingest_date").alias("days"))
     (
-        clustered(batch, table).write.mode("overwrite")
+        watched.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date").parquet(root)
     )
-    for day in wanted:
-        if day not in filled:
-            replace_day(df.sparkSession.createDataFrame([], table.schema), root, table, day)
+    for day in sorted(wanted - set(seen.get["days"])):
+        delete_path(df.sparkSession, f"{root.rstrip('/')}/ingest_date={day.isoformat()}")
 
 
 def replace_day(df: DataFrame, root: str, table: LandedTable, day: str | date) -> None:

@@ -27,6 +27,7 @@ CITIES = [
     ("Labuan Bajo", -8.5, 119.9, "Nusa Tenggara Timur"),
     ("Jakarta", -6.2, 106.8, "DKI Jakarta"),
     ("Surabaya", -7.3, 112.8, "Jawa Timur"),
+    ("Yogyakarta", -7.8, 110.4, "DI Yogyakarta"),
 ]
 
 GAZETTEER_SCHEMA = T.StructType(

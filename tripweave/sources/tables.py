@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripweave.operators.upsert import upsert
+
 
 def _list_names(spark: SparkSession, path: str) -> list[str]:
     """Entry names of a folder on whatever file system the path belongs to; empty if absent."""
@@ -23,13 +25,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 class SnapshotTable:
     """A table whose every write is a complete new snapshot folder.
 
     Readers take the newest snapshot whose job committed, so a write that dies half-way, or one
-    that reads the table it replaces, never harms the current content.
+    that reads the table it replaces, never harms the current content. The newest ``KEPT``
+    committed snapshots stay, for readers that began before the last write; older ones go.
     """
 
+    KEPT = 2
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -65,6 +76,8 @@ class SnapshotTable:
             writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
             writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.parquet(f"{self.path}/snapshot={number}")
+        for old in self._snapshots()[: -self.KEPT]:
+            delete_path(self.spark, f"{self.path}/snapshot={old}")
         return self.read(df.schema)
 
 
@@ -72,8 +85,10 @@ class MonthlyTable:
     """A keyed table stored by the month of its event time, so that an upsert rewrites few months.
 
     Only months that hold a row of the batch, or a stored row the batch replaces, are read and
-    written; all others keep their files. Replaced files are gone, so a DataFrame read before an
-    upsert has to be read again; tables that are served while they change belong in a
+    written; all others keep their files. The new content of those months is first stored beside
+    the table, and only then put in place; a run that dies in between is completed by the next
+    reader or writer from that copy. Replaced files are gone, so a DataFrame read before an upsert
+    has to be read again; tables that are served while they change belong in a
     :class:`SnapshotTable`.
     """
 
@@ -85,16 +100,28 @@ class MonthlyTable:
         self.key = key
         self.event_time = event_time
         self.schema = schema
+        self._stored_schema = T.StructType([*schema.fields, T.StructField(self.MONTH, T.StringType())])
+
+    # Beside the table: the rows to put in place, and then the months they replace ("*" for all), whose
+    # commit makes the pair valid.
+    @property
+    def _pending_rows(self) -> str:
+        return f"{self.path}__pending/rows"
+
+    @property
+    def _pending_months(self) -> str:
+        return f"{self.path}__pending/months"
 
     def exists(self) -> bool:
+        self._finish()
         return bool(_list_names(self.spark, self.path))
 
     def _stored(self) -> DataFrame:
-        stored_schema = T.StructType([*self.schema.fields, T.StructField(self.MONTH, T.StringType())])
-        return self.spark.read.schema(stored_schema).parquet(self.path)
+        return self.spark.read.schema(self._stored_schema).parquet(self.path)
 
     def read(self, months: list[str] | None = None) -> DataFrame:
         """The whole table, or only some of its months."""
+        self._finish()
         rows = self._stored()
         if months is not None:
             rows = rows.filter(F.col(self.MONTH).isin(months))
@@ -104,44 +131,55 @@ class MonthlyTable:
         month = F.coalesce(F.date_format(self.event_time, "yyyy-MM"), F.lit("none"))
         return df.select(*self.schema.fieldNames()).withColumn(self.MONTH, month)
 
-    def _write(self, df: DataFrame) -> None:
-        (
-            df.hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.MONTH)
-            .parquet(self.path)
+    def _prepare(self, df: DataFrame, months: list[str]) -> None:
+        """Store the new content of some months beside the table; the second write commits it."""
+        delete_path(self.spark, f"{self.path}__pending")
+        df.hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key).write.parquet(self._pending_rows)
+        self.spark.createDataFrame([(m,) for m in months], f"{self.MONTH} string").coalesce(1).write.parquet(
+            self._pending_months
         )
 
+    def _finish(self) -> None:
+        """Put prepared months in place. Doing it again changes nothing, so it may die anywhere."""
+        if not path_exists(self.spark, f"{self._pending_months}/_SUCCESS"):
+            return
+        months = _values(self.spark.read.parquet(self._pending_months), self.MONTH)
+        rows = self.spark.read.schema(self._stored_schema).parquet(self._pending_rows)
+        writer = rows.sortWithinPartitions(self.MONTH, self.key).write.mode("overwrite").partitionBy(self.MONTH)
+        if months == ["*"]:
+            writer.parquet(self.path)
+        else:
+            writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+            for month in sorted(set(months) - set(_values(rows, self.MONTH))):
+                delete_path(self.spark, f"{self.path}/{self.MONTH}={month}")
+        delete_path(self.spark, f"{self.path}__pending")
+
     def replace_all(self, df: DataFrame) -> None:
         """Static overwrite: keys absent from ``df`` disappear."""
-        rows = self._with_month(df).hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key)
-        rows.write.mode("overwrite").partitionBy(self.MONTH).parquet(self.path)
+        self._prepare(self._with_month(df), ["*"])
+        self._finish()
 
-    def upsert(self, batch: DataFrame) -> list[str]:
+    def upsert(self, batch: DataFrame, newest: str | None = None) -> list[str]:
         """Batch rows replace stored rows of the same key; returns the months rewritten.
 
         Running it twice equals running it once. ``batch`` is read several times and must not
-        depend on this table; pass a stored one.
+        depend on this table; pass a stored one. With ``newest``, a row is replaced only by one
+        that is not older by that column. Rows without a key are replaced by equal rows only.
         """
         new = self._with_month(batch)
         # Month lists hold at most one row per month of the table's life.
-        new_months = _values(new, self.MONTH)
+        months = _values(new, self.MONTH)
         if not self.exists():
-            self._write(new)
-            return new_months
+            self._prepare(new, ["*"])
+            self._finish()
+            return months
         stored = self._stored()
-        keys = new.select(F.col(self.key).alias("_new_key"))
-        same_key = F.col(self.key).eqNullSafe(F.col("_new_key"))
-        replaced = stored.select(self.key, self.MONTH).join(keys, same_key, "left_semi")
-        left_behind = sorted(set(_values(replaced, self.MONTH)) - set(new_months))
-        months = new_months + left_behind
-        kept = stored.filter(F.col(self.MONTH).isin(months)).join(keys, same_key, "left_anti")
-        emptied = set(left_behind)
-        if left_behind:  # rows moved to another month; see which of theirs keep others
-            emptied -= set(_values(kept.filter(F.col(self.MONTH).isin(left_behind)), self.MONTH))
-        self._write(kept.unionByName(new))
-        for month in emptied:
-            empty = self.spark.createDataFrame([], self.schema)
-            empty.write.mode("overwrite").parquet(f"{self.path}/{self.MONTH}={month}")
+        keys = new.filter(F.col(self.key).isNotNull()).select(F.col(self.key).alias("_new_key"))
+        replaced = stored.select(self.key, self.MONTH).join(keys, F.col(self.key) == F.col("_new_key"), "left_semi")
+        months = sorted({*months, *_values(replaced, self.MONTH)})
+        after = upsert(stored.filter(F.col(self.MONTH).isin(months)), new, self.key, newest)
+        self._prepare(after, months)
+        self._finish()
         return months
 
 
