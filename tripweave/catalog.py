@@ -20,7 +20,8 @@ from tripweave.operators.skew import not_blank
 from tripweave.operators.upsert import merge_into, upsert
 from tripweave.plans import facts, identity, marts, quality, serving, silver
 from tripweave.plans.build import Warehouse
-from tripweave.schema import CUSTOMERS, EXPERIENCES, FLIGHTS, GOLD_KEYS, HOTELS, LANDED, SILVER_KEYS, TICKETS
+from tripweave.plans.daily import DailyJob
+from tripweave.schema import CUSTOMERS, EXPERIENCES, FLIGHTS, GOLD_KEYS, HOTELS, LANDED, SILVER_KEYS, TICKETS, LandedTable
 from tripweave.sources import landing
 from tripweave.sources.reference_data import gazetteer, holiday_calendar
 from tripweave.sources.tables import MonthlyTable, SnapshotTable
@@ -80,6 +81,7 @@ def scratch(w: Warehouse, name: str) -> str:
 # ---- landing ------------------------------------------------------------------------------
 
 SLICE = ("2026-02-01", "2026-11-01")
+API_PAGE = 1_000
 
 
 @query("land_customers_slice")
@@ -124,6 +126,20 @@ def _(w):
     return w.spark.read.schema(TICKETS.schema).json(folder)
 
 
+@query("land_api_pages")
+def _(w):
+    """Flights delivered as saved API pages, one JSON object for each."""
+    folder = scratch(w, "api-pages")
+    rows = w.landed("flights").select(*FLIGHTS.payload)
+    pages = -(-rows.count() // API_PAGE) or 1
+    page = F.pmod(F.xxhash64("booking_ref"), F.lit(pages)).cast("int").alias("page")
+    # A page holds about API_PAGE rows, whatever the size of the table.
+    data = rows.groupBy(page).agg(F.collect_list(F.struct(*FLIGHTS.payload)).alias("data"))
+    envelope = F.to_json(F.struct(F.size("data").alias("total"), "data"), {"ignoreNullFields": "false"})
+    data.select("page", envelope.alias("value")).write.partitionBy("page").text(folder)
+    return landing.page_files(w.spark, folder, FLIGHTS)
+
+
 @query("bronze_typed_scan")
 def _(w):
     path = scratch(w, "typed")
@@ -351,9 +367,10 @@ def _(w):
 @query("norm_email")
 def _(w):
     customers = w.landed("customers").select("customer_id", "email")
-    flights = w.landed("flights").select(F.col("booking_ref").alias("customer_id"), "email")
     tickets = w.landed("tickets").select(F.col("ticket_id").alias("customer_id"), F.col("customer_email").alias("email"))
-    rows = customers.unionByName(flights).unionByName(tickets)
+    rows = customers.unionByName(tickets)
+    for name in ("flights", "experiences"):
+        rows = rows.unionByName(w.landed(name).select(F.col("booking_ref").alias("customer_id"), "email"))
     return rows.select(F.col("customer_id").alias("record_id"), C.email(F.col("email")).alias("email"))
 
 
@@ -379,6 +396,14 @@ def _(w):
     )
 
 
+def _all_bookings(w: Warehouse, *columns: str) -> DataFrame:
+    """Columns that all three kinds of landed bookings have, under one id."""
+    out = w.landed("hotel_bookings").select("booking_id", *columns)
+    for name in ("flights", "experiences"):
+        out = out.unionByName(w.landed(name).select(F.col("booking_ref").alias("booking_id"), *columns))
+    return out
+
+
 @query("norm_amount")
 def _(w):
     """Amounts as numbers and as the texts sources write: grouped, with decimals, with another prefix."""
@@ -391,7 +416,7 @@ def _(w):
         .when(F.col("booking_status") == "confirmed", F.concat(amount.cast("string"), F.lit(".00")))
         .otherwise(amount.cast("string"))
     )
-    return w.landed("hotel_bookings").select(
+    return _all_bookings(w, "amount_idr", "booking_status").select(
         "booking_id", C.whole_hundreds(amount).alias("from_number"), C.amount_text(text).alias("from_text")
     )
 
@@ -403,10 +428,14 @@ def _(w):
 
 @query("title_case")
 def _(w):
-    return w.landed("hotel_bookings").select(
-        "booking_id", C.title_case(F.col("hotel_name")).alias("hotel_name"),
-        C.title_case(F.col("hotel_city")).alias("hotel_city"), C.title_case(F.col("room_type")).alias("room_type"),
-    )
+    texts = [("hotel_bookings", "booking_id", ["hotel_name", "hotel_city", "room_type"]),
+             ("flights", "booking_ref", ["airline"]), ("experiences", "booking_ref", ["experience_name", "city"])]
+    out = None
+    for name, key, columns in texts:
+        for c in columns:
+            one = w.landed(name).select(F.col(key).alias("booking_id"), F.lit(c).alias("field"), C.title_case(F.col(c)).alias("text"))
+            out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("parse_ts")
@@ -442,7 +471,7 @@ def _(w):
 
 @query("norm_payment")
 def _(w):
-    return w.landed("hotel_bookings").select(
+    return _all_bookings(w, "payment_method").select(
         "booking_id", C.payment_method(F.col("payment_method")).alias("payment_method"),
         C.payment_method(F.col("payment_method"), strict=False).alias("payment_lenient"),
     )
@@ -450,7 +479,9 @@ def _(w):
 
 @query("norm_status")
 def _(w):
-    return w.landed("flights").select("booking_ref", C.booking_status(F.col("booking_status")).alias("booking_status"))
+    return _all_bookings(w, "booking_status").select(
+        "booking_id", C.booking_status(F.col("booking_status")).alias("booking_status")
+    )
 
 
 @query("norm_counts")
@@ -542,9 +573,8 @@ def _(w):
 def _(w):
     """Tickets summed per linking email or phone; with ``phone_owners`` it replaces the list of pairs."""
     return w.model("ticket_links").select(
-        "link", "link_value", "confidence_rank", "first_seen", "last_seen", "tickets", "critical", "hours", "timed",
-        "ticket_ids",
-    ).withColumn("ticket_ids", F.sort_array("ticket_ids"))
+        "link", "link_value", "confidence_rank", "first_seen", "last_seen", "tickets", "critical", "hours", "timed"
+    )
 
 
 @query("identity_rows")
@@ -610,10 +640,9 @@ def _(w):
 
 @query("route_travelers_approx")
 def _(w):
-    """Estimated travellers per route and month; the estimate has no exact counterpart in SQL."""
-    return marts.mart_route_monthly(
-        w.table("fact_bookings"), holiday_calendar(w.spark), approximate_travelers=True
-    ).select("_pk", "booking_count", "unique_travelers")
+    """Whether the estimated travellers of each route and month are within 15 % of the exact ones, or within two."""
+    estimated = marts.mart_route_monthly(w.table("fact_bookings"), holiday_calendar(w.spark), approximate_travelers=True)
+    return marts.travelers_within(w.table("mart_route_monthly"), estimated)
 
 
 @query("identity_components")
@@ -721,7 +750,7 @@ SEARCHES = {
     "customer_search_churn": SearchFilter(churn_range=(0.2, 0.6)),
     "customer_search_actions": SearchFilter(actions=("reactivate", "cross_sell")),
     "customer_search_ticket": SearchFilter(has_ticket=True),
-    "customer_search_types": SearchFilter(booking_types=(1, 2)),
+    "customer_search_types": SearchFilter(type_range=(1, 2)),
     "customer_search_omnichannel": SearchFilter(omnichannel=True),
 }
 SORTS = {
@@ -740,7 +769,7 @@ for _name, _sort in SORTS.items():
 
 @query("customer_search_count")
 def _(w):
-    where = SearchFilter(tiers=("gold",), has_ticket=True, booking_types=(2,))
+    where = SearchFilter(tiers=("gold",), has_ticket=True, type_range=(2, None))
     return serving.customer_search_count(w.table("mart_customer_clv"), w.table("dim_customer"), where)
 
 
@@ -765,12 +794,6 @@ def _(w):
 # ---- one customer -------------------------------------------------------------------------
 
 
-def _supported_customer(w: Warehouse) -> str:
-    """Hex id of the most valuable customer with a support ticket, as picked from the search list."""
-    top = _search(w, SearchFilter(has_ticket=True), limit=1).first()
-    return top["rcid_hex"] if top else ""
-
-
 @query("customer_360_profile")
 def _(w):
     return serving.customer_profile(w.table("dim_customer"), w.table("mart_customer_clv"))
@@ -783,7 +806,7 @@ def _(w):
 
 @query("customer_360_tickets")
 def _(w):
-    return serving.customer_tickets(w.table("dim_customer"), w.table("silver_tickets"), _supported_customer(w))
+    return serving.customer_tickets(w.table("dim_customer"), w.table("silver_tickets"))
 
 
 @query("customer_type_gap")
@@ -849,18 +872,57 @@ def _(w):
     return serving.business_class(w.table("mart_route_monthly"))
 
 
+# ---- daily runs ---------------------------------------------------------------------------
+
+HALF_YEAR = "2026-07-01"
+
+
+def _landed_job(w: Warehouse, name: str) -> DailyJob:
+    """A job with all landed tables in place."""
+    job = DailyJob(w.spark, scratch(w, name), w.as_of)
+    for table in LANDED:
+        rows = landing.conform(w.landed(table), LANDED[table])
+        landing.clustered(rows, LANDED[table]).write.partitionBy("ingest_date").parquet(job.bronze_path(table))
+    return job
+
+
+def _run_all(job: DailyJob) -> dict[str, DataFrame]:
+    """Two runs that cover the days before and after the middle of the year."""
+    job.run(["2025-12-01", "2026-06-30"])
+    return job.run([HALF_YEAR, "2027-12-31"])
+
+
+@query("daily_run_gold")
+def _(w):
+    """The value mart after two incremental runs; it equals one build over everything."""
+    return _run_all(_landed_job(w, "daily-gold"))["mart_customer_clv"]
+
+
+@query("daily_run_amended")
+def _(w):
+    """The booking fact after two runs and a third one over a month whose hotels came again as cancelled."""
+    job = _landed_job(w, "daily-amended")
+    _run_all(job)
+    days = [f"2026-05-{d:02d}" for d in range(1, 32)]
+    again = landing.partitions(w.landed("hotel_bookings"), days).withColumn("booking_status", F.lit("BATAL"))
+    job.land("hotel_bookings", again, days)
+    return job.run(days)["fact_bookings"].select(
+        "booking_id", "resolved_customer_id", "identity_confidence", "booking_type", "status", "amount_idr"
+    )
+
+
 # ---- streams ------------------------------------------------------------------------------
 
 
-def _ticket_files(w: Warehouse, name: str) -> str:
+def _json_files(w: Warehouse, rows: DataFrame, name: str) -> str:
     folder = f"{scratch(w, name)}/files"
-    w.landed("tickets").write.json(folder, timestampFormat="yyyy-MM-dd HH:mm:ss")
+    rows.write.json(folder, timestampFormat="yyyy-MM-dd HH:mm:ss")
     return folder
 
 
 @query("stream_land_tickets")
 def _(w):
-    files = _ticket_files(w, "stream-land")
+    files = _json_files(w, w.landed("tickets"), "stream-land")
     target = f"{scratch(w, 'stream-land-table')}"
     stream = ingest.file_stream(w.spark, files, TICKETS)
     ingest.land_stream(stream, TICKETS, f"{target}/table", f"{target}/progress").awaitTermination()
@@ -869,42 +931,62 @@ def _(w):
 
 @query("stream_upsert_silver")
 def _(w):
-    files = _ticket_files(w, "stream-upsert")
+    files = _json_files(w, w.landed("tickets"), "stream-upsert")
     base = scratch(w, "stream-upsert-table")
     schema = silver.silver_tickets(w.landed("tickets")).schema
     table = MonthlyTable(w.spark, f"{base}/table", "ticket_id", "created_at", schema)
     stream = ingest.file_stream(w.spark, files, TICKETS, files_per_batch=2)
-    ingest.upsert_stream(stream, silver.silver_tickets, table.upsert, f"{base}/progress").awaitTermination()
+
+    def write(rows: DataFrame) -> None:
+        table.upsert(rows, newest="created_at")
+
+    ingest.upsert_stream(stream, silver.silver_tickets, write, f"{base}/progress").awaitTermination()
     return table.read()
 
 
 @query("stream_replay")
 def _(w):
-    """The same files ingested twice, the second time without any memory of the first."""
-    files = _ticket_files(w, "stream-replay")
+    """Current tickets, then older versions of them that come late, then the current ones again from the start."""
+    current = w.landed("tickets")
+    older = current.withColumns({"created_at": F.lit("2025-06-01T08:00:00+07:00"), "status": F.lit("Open")})
     base = scratch(w, "stream-replay-table")
     table = SnapshotTable(w.spark, f"{base}/table")
 
     def write(rows: DataFrame) -> None:
-        merge_into(table, rows, "ticket_id")
+        merge_into(table, rows, "ticket_id", newest="created_at")
 
-    for attempt in ("first", "second"):
+    folders = [_json_files(w, rows, "stream-replay") for rows in (current, older)]
+    for step, files in enumerate([*folders, folders[0]]):
         stream = ingest.file_stream(w.spark, files, TICKETS)
-        ingest.upsert_stream(stream, silver.silver_tickets, write, f"{base}/{attempt}").awaitTermination()
+        ingest.upsert_stream(stream, silver.silver_tickets, write, f"{base}/progress-{step}").awaitTermination()
     return table.read()
 
 
-@query("stream_dedupe")
-def _(w):
-    """Flights with re-submissions suppressed across micro-batches, as distinct near-duplicate keys."""
-    base = scratch(w, "stream-dedupe")
-    w.landed("flights").write.json(f"{base}/files")
-    keys = ["email", "flight_number", "departure_ts", "amount_idr"]
-    stream = ingest.flight_keys(ingest.file_stream(w.spark, f"{base}/files", FLIGHTS))
+def _first_seen(w: Warehouse, source: LandedTable, keyed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Near-duplicate keys with the number of rows let through: re-submissions across micro-batches are held back."""
+    files = _json_files(w, w.landed(source.name), "stream-dedupe")
+    base = scratch(w, "stream-dedupe-table")
+    stream = keyed(ingest.file_stream(w.spark, files, source))
+    keys = [c for c in stream.columns if c != "booking_ts"]
+    # The inputs come in no order of time, so the delay spans all of it.
     kept = ingest.first_seen_stream(stream, "booking_ts", keys, "400 days")
     (
         kept.writeStream.format("parquet").option("path", f"{base}/table")
         .option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination()
     )
-    out = w.spark.read.parquet(f"{base}/table")
-    return out.groupBy(*keys).agg(F.count(F.lit(1)).alias("kept_rows"))
+    return w.spark.read.schema(stream.schema).parquet(f"{base}/table").groupBy(*keys).agg(F.count(F.lit(1)).alias("kept_rows"))
+
+
+@query("stream_dedupe")
+def _(w):
+    return _first_seen(w, FLIGHTS, ingest.flight_keys)
+
+
+@query("stream_dedupe_hotels")
+def _(w):
+    return _first_seen(w, HOTELS, ingest.hotel_keys)
+
+
+@query("stream_dedupe_experiences")
+def _(w):
+    return _first_seen(w, EXPERIENCES, ingest.experience_keys)

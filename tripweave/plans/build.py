@@ -24,7 +24,10 @@ DEPENDENCIES = {
     "silver_tickets": [],
     "vendor_emails": ["silver_flight_bookings", "silver_experience_bookings"],
     "ticket_links": ["silver_tickets", "silver_customers"],
-    "dim_customer": ["silver_customers", "silver_hotel_bookings", "vendor_emails", "ticket_links"],
+    "customer_records": ["silver_customers", "silver_tickets", "vendor_emails"],
+    "dim_customer": [
+        "silver_customers", "silver_hotel_bookings", "vendor_emails", "ticket_links", "customer_records",
+    ],
     "fact_bookings": [
         "silver_customers", "silver_hotel_bookings", "silver_flight_bookings", "silver_experience_bookings",
         "vendor_emails",
@@ -60,12 +63,15 @@ class Warehouse:
         t = {dep: self.table(dep) for dep in DEPENDENCIES[name]}
         if name == "vendor_emails":
             return identity.vendor_grouped(t["silver_flight_bookings"], t["silver_experience_bookings"])
+        if name == "customer_records":
+            return identity.customer_records(self.anchors(), t["vendor_emails"], t["silver_tickets"])
         if name == "ticket_links":
             return identity.ticket_links(t["silver_tickets"], self.anchors())
         if name == "dim_customer":
-            return identity.dim_customer(
+            people = identity.dim_customer(
                 t["silver_customers"], t["silver_hotel_bookings"], t["vendor_emails"], t["ticket_links"], self.as_of
             )
+            return identity.with_lists(people, t["customer_records"])
         if name == "fact_bookings":
             return facts.fact_bookings(self.bookings(), self.customer_keys())
         if name == "mart_customer_clv":

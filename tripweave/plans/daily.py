@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripweave.operators.upsert import merge_into
 from tripweave.plans import facts, identity, marts, quality, silver
@@ -24,6 +25,13 @@ _EVENT_TIME = {
 }
 
 
+def _one_of(c: Column, values: list) -> Column:
+    """Null-safe membership, never NULL."""
+    known = [v for v in values if v is not None]
+    found = F.coalesce(c.isin(known), F.lit(False)) if known else F.lit(False)
+    return found | c.isNull() if None in values else found
+
+
 class DailyJob:
     """Tables under one root folder.
 
@@ -79,26 +87,34 @@ class DailyJob:
             identity.vendor_grouped(t["silver_flight_bookings"], t["silver_experience_bookings"])
         )
         links = self._snapshot("stage", "ticket_links").write(identity.ticket_links(t["silver_tickets"], anchors))
-        fact_months = self._update_fact(t, delivered, identity.customer_keys(anchors, vendors), full_refresh)
+        fact_months, months = self._update_fact(t, delivered, identity.customer_keys(anchors, vendors), full_refresh)
 
         def gold(name: str, plan: DataFrame) -> None:
             t[name] = merge_into(self._snapshot("gold", name), plan, GOLD_KEYS[name], full_refresh)
 
         # Dormancy moves with the date, so every customer changes with every run.
-        gold(
-            "dim_customer",
-            identity.dim_customer(t["silver_customers"], t["silver_hotel_bookings"], vendors, links, self.as_of),
+        records = self._snapshot("stage", "customer_records").write(
+            identity.customer_records(anchors, vendors, t["silver_tickets"])
         )
+        people = identity.dim_customer(t["silver_customers"], t["silver_hotel_bookings"], vendors, links, self.as_of)
+        gold("dim_customer", identity.with_lists(people, records))
         support = identity.support_agg(identity.ticket_summaries(links, anchors))
         gold("mart_customer_clv", marts.mart_customer_clv(t["dim_customer"], t["fact_bookings"], support))
-        # A route's month depends on the bookings of that month only.
-        gold("mart_route_monthly", marts.mart_route_monthly(fact_months, self.calendar))
+        # A route's month depends on the bookings of that month only, so the rows of rewritten months
+        # are replaced as a whole. Their text key may be missing and takes no part.
+        routes = self._snapshot("gold", "mart_route_monthly")
+        fresh = marts.mart_route_monthly(fact_months, self.calendar)
+        if not full_refresh and months is not None and routes.exists():
+            first_days = [None if m == "none" else date.fromisoformat(f"{m}-01") for m in months]
+            kept = routes.read().filter(~_one_of(F.col("year_month"), first_days))
+            fresh = kept.unionByName(fresh)
+        t["mart_route_monthly"] = routes.write(fresh, lookup=GOLD_KEYS["mart_route_monthly"])
         return t
 
     def _update_fact(
         self, t: dict[str, DataFrame], delivered: dict[str, DataFrame], keys: DataFrame, full_refresh: bool
-    ) -> DataFrame:
-        """Bring the fact table up to date and return the bookings of all months it rewrote.
+    ) -> tuple[DataFrame, list[str] | None]:
+        """Bring the fact table up to date; returns the bookings of the months it rewrote, and those months.
 
         Bookings are resolved anew only if they were delivered now or their source key changed
         hands since the last run.
@@ -115,7 +131,9 @@ class DailyJob:
         rebuild = full_refresh or before is None
         bookings = unified(t)
         if not rebuild:
-            bookings = facts.bookings_to_resolve(bookings, unified(delivered), facts.moved_keys(before, keys))
+            moved = self._snapshot("stage", "moved_keys").write(facts.moved_keys(before, keys))
+            # Without a moved key no earlier booking has to be looked at.
+            bookings = unified(delivered) if moved.isEmpty() else facts.bookings_to_resolve(bookings, unified(delivered), moved)
         updates = self._snapshot("batch", "fact_bookings").write(facts.fact_bookings(bookings, keys))
         table = self._monthly("gold/fact_bookings", GOLD_KEYS["fact_bookings"], "booking_ts", updates)
         months = None
@@ -124,7 +142,7 @@ class DailyJob:
         else:
             months = table.upsert(updates)
         t["fact_bookings"] = table.read()
-        return table.read(months)
+        return table.read(months), months
 
     def checks(self, tables: dict[str, DataFrame], days: list[str | date]) -> DataFrame:
         """All check summaries of a run; a failing check is reported, it does not stop anything."""

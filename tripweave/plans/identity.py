@@ -164,11 +164,10 @@ def identity_rows(anchors: DataFrame, vendors: DataFrame, tickets: DataFrame) ->
 # ---- support tickets, summarised ----------------------------------------------------------
 
 
-def contacts(tickets: DataFrame, arrays: bool = True) -> DataFrame:
-    """Tickets summarised per (email, phone); everything later works on these few rows."""
+def contacts(tickets: DataFrame) -> DataFrame:
+    """Tickets summarised per (email, phone); everything later works on these few rows of fixed width."""
     scid = scoped("crm", F.col("ticket_id"))
     hours = T.hours_between(F.col("created_at"), F.col("resolved_at"))
-    reachable = not_blank(F.col("customer_email")) | not_blank(F.col("customer_phone"))
     named = F.when(F.col("customer_name").isNotNull(), F.struct("created_at", scid.alias("scid"), "customer_name"))
     return tickets.groupBy("customer_email", "customer_phone").agg(
         F.min("created_at").alias("first_seen"),
@@ -178,11 +177,10 @@ def contacts(tickets: DataFrame, arrays: bool = True) -> DataFrame:
         F.sum(hours).alias("hours"),
         F.count(hours).alias("timed"),
         F.max(named).alias("named"),
-        *([F.collect_set(F.when(reachable, scid)).alias("ticket_ids")] if arrays else []),
     )
 
 
-def _routed_contacts(tickets: DataFrame, anchors: DataFrame, arrays: bool) -> DataFrame:
+def _routed_contacts(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
     """Contacts with the value that links them to customers.
 
     ``link`` is ``email`` when the email is an app customer's or nothing better is known, ``phone``
@@ -195,7 +193,7 @@ def _routed_contacts(tickets: DataFrame, anchors: DataFrame, arrays: bool) -> Da
     contact_id = F.concat_ws(
         "\u0001", F.coalesce("customer_email", F.lit("")), F.coalesce("customer_phone", F.lit(""))
     )
-    rows = contacts(tickets, arrays).withColumns({"email": F.col("customer_email"), "contact_id": contact_id})
+    rows = contacts(tickets).withColumns({"email": F.col("customer_email"), "contact_id": contact_id})
     rows = lookup_join(
         rows, known_emails, "email", "contact_id",
         hot_keys(tickets.select(F.col("customer_email").alias("email")), "email"),
@@ -217,20 +215,12 @@ def _routed_contacts(tickets: DataFrame, anchors: DataFrame, arrays: bool) -> Da
     )
 
 
-def ticket_links(tickets: DataFrame, anchors: DataFrame, arrays: bool = True) -> DataFrame:
+def ticket_links(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
     """Ticket figures per linking email or phone; tickets that reach nobody form the NULL link.
 
     Stored as a table of its own, because both the customers and their support figures need it.
-    The lists of ids and contacts are only there for the lists in the customer table, so the NULL
-    link, which may be large, collects none.
     """
-    email, phone, linked = F.col("customer_email"), F.col("customer_phone"), F.col("link").isNotNull()
-    lists = [
-        F.flatten(F.collect_list(F.when(linked, F.col("ticket_ids")))).alias("ticket_ids"),
-        F.collect_set(F.when(linked & not_blank(email), email)).alias("emails"),
-        F.collect_set(F.when(linked & not_blank(phone), phone)).alias("phones"),
-    ] if arrays else []
-    return _routed_contacts(tickets, anchors, arrays).groupBy("link", "link_value", "confidence_rank").agg(
+    return _routed_contacts(tickets, anchors).groupBy("link", "link_value", "confidence_rank").agg(
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
         F.sum("tickets").alias("tickets"),
@@ -238,7 +228,6 @@ def ticket_links(tickets: DataFrame, anchors: DataFrame, arrays: bool = True) ->
         F.sum("hours").alias("hours"),
         F.sum("timed").alias("timed"),
         F.max("named").alias("named"),
-        *lists,
     )
 
 
@@ -327,29 +316,40 @@ def customer_keys(anchors: DataFrame, vendors: DataFrame) -> DataFrame:
     return app.unionByName(vendor)
 
 
-def exploded_keys(dim: DataFrame) -> DataFrame:
-    """The same mapping read back from the id arrays of a stored customer table."""
-    return dim.select(
-        F.explode("source_customer_ids").alias("source_customer_id"), "resolved_customer_id", "identity_confidence"
-    )
+LISTS = {"emails": "email", "phones": "phone", "source_customer_ids": "source_customer_id"}
 
 
-def _one(c: Column) -> Column:
-    return F.when(not_blank(c), F.array(c)).otherwise(F.array().cast("array<string>"))
+def customer_records(anchors: DataFrame, vendors: DataFrame, tickets: DataFrame) -> DataFrame:
+    """Membership: one row per source record and customer, with the contacts of the record."""
+    return identity_rows(anchors, vendors, tickets).select("resolved_customer_id", "source_customer_id", "email", "phone")
 
 
-def dim_customer(
-    customers: DataFrame, hotels: DataFrame, vendors: DataFrame, links: DataFrame, as_of: str, arrays: bool = True
-) -> DataFrame:
-    """One row per resolved customer.
+def with_lists(dim: DataFrame, records: DataFrame) -> DataFrame:
+    """The customer table with the sorted lists of emails, phones and source ids of each customer.
+
+    ``records`` is the membership table (:func:`customer_records`), one row per source record and
+    customer. The lists are made from its different values at the very end, so no list passes
+    through a join but the last one. A customer with very many records has one very long row, as
+    the list form asks for; the membership table holds the same without that.
+    """
+    def all_of(name: str) -> Column:
+        return F.sort_array(F.collect_set(F.when(not_blank(F.col(name)), F.col(name))))
+
+    lists = records.filter(F.col("resolved_customer_id").isNotNull()).groupBy("resolved_customer_id").agg(
+        *[all_of(source).alias(name) for name, source in LISTS.items()]
+    )
+    joined = dim.join(lists, "resolved_customer_id")
+    first = ["resolved_customer_id", "emails", "phones"]
+    middle = ["name_std", "address_city", "address_province", "address_postal_code", "source_customer_ids"]
+    return joined.select(*first, *middle, *[c for c in dim.columns if c not in first + middle])
+
+
+def dim_customer(customers: DataFrame, hotels: DataFrame, vendors: DataFrame, links: DataFrame, as_of: str) -> DataFrame:
+    """One row per resolved customer, without lists; :func:`with_lists` adds those.
 
     ``vendors`` comes from :func:`vendor_grouped` and ``links`` from :func:`ticket_links`. Each
     source is reduced to one row per source key, the rows are united and a single grouping by
     customer id produces every column, the lifetime value included.
-
-    The lists of emails, phones and source ids are values of the row itself, so a customer with
-    very many source records has one very long row. ``arrays=False`` (here and for the links)
-    leaves them out; membership is then read from :func:`identity_rows`, one row per record.
     """
     anchors = app_anchors(customers)
 
@@ -361,9 +361,6 @@ def dim_customer(
     app_rows = anchors.select(
         "resolved_customer_id", "confidence_rank", "first_seen", "last_seen",
         F.lit("app_oltp").alias("source_system"),
-        _one(F.col("email")).alias("emails"),
-        _one(F.col("phone")).alias("phones"),
-        F.array("source_customer_id").alias("source_customer_ids"),
         pick("name_std").alias("name_std"),
         pick("address_city").alias("address_city"),
         pick("address_province").alias("address_province"),
@@ -374,8 +371,6 @@ def dim_customer(
         F.lit(RANK_EMAIL_ONLY).alias("confidence_rank"),
         "first_seen", "last_seen",
         F.lit("vendor_api").alias("source_system"),
-        _one(F.col("email")).alias("emails"),
-        F.array(scoped("vendor", F.col("email"))).alias("source_customer_ids"),
         F.col("completed_idr").alias("clv_idr"),
     )
     hotel_rows = _hotel_value(hotels, anchors)
@@ -386,23 +381,16 @@ def dim_customer(
         F.col("named.scid").alias("source_customer_id"),
         F.col("named.customer_name").alias("value"),
     )
-    crm_lists = ["emails", "phones", F.col("ticket_ids").alias("source_customer_ids")] if arrays else []
     crm_rows = ticket_summaries(links, anchors).select(
         "resolved_customer_id", "confidence_rank", "first_seen", "last_seen",
         F.lit("crm").alias("source_system"),
-        *crm_lists,
         F.when(F.col("named").isNotNull(), crm_name).alias("name_std"),
     )
     rows = app_rows
     for part in (vendor_rows, hotel_rows, crm_rows):
         rows = rows.unionByName(part, allowMissingColumns=True)
 
-    def all_of(name: str) -> Column:
-        return F.sort_array(F.array_distinct(F.flatten(F.collect_set(name))))
-
-    lists = ["emails", "phones", "source_customer_ids"] if arrays else []
     grouped = rows.groupBy("resolved_customer_id").agg(
-        *[all_of(name).alias(name) for name in lists],
         F.max("name_std").alias("name_std"),
         F.max("address_city").alias("address_city"),
         F.max("address_province").alias("address_province"),
@@ -415,12 +403,11 @@ def dim_customer(
     )
     dormant = grouped.withColumn("dormant_days", T.days_since(F.col("last_seen"), as_of))
     return dormant.select(
-        "resolved_customer_id", *[name for name in lists if name != "source_customer_ids"],
+        "resolved_customer_id",
         F.col("name_std.value").alias("name_std"),
         F.col("address_city.value").alias("address_city"),
         F.col("address_province.value").alias("address_province"),
         F.col("address_postal_code.value").alias("address_postal_code"),
-        *[name for name in lists if name == "source_customer_ids"],
         "source_systems", "first_seen", "last_seen", "dormant_days",
         confidence_label(F.col("max_rank")).alias("identity_confidence"),
         "clv_idr",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import scoring
 from tripweave.functions import temporal as T
+from tripweave.operators.upsert import same
 
 BOOKING_TYPES = ["hotel", "flight", "experience"]
 
@@ -146,3 +147,12 @@ def mart_route_monthly(fact: DataFrame, calendar: DataFrame, approximate_travele
         "booking_count", "unique_travelers", "amount_idr_total", "amount_idr_avg", "business_class_share",
         "cancel_rate", "no_show_rate", "holiday_window",
     )
+
+
+def travelers_within(exact: DataFrame, estimated: DataFrame, share: float = 0.15, least: int = 2) -> DataFrame:
+    """Whether each route-month's estimated travellers are within ``share`` of the exact ones, or within ``least``."""
+    names = [f"_{k}" for k in _ROUTE_KEYS]
+    right = estimated.select(*[F.col(k).alias(n) for k, n in zip(_ROUTE_KEYS, names)], F.col("unique_travelers").alias("estimate"))
+    gap = F.abs(F.col("estimate") - F.col("unique_travelers"))
+    close = F.coalesce(gap <= F.greatest(F.lit(float(least)), share * F.col("unique_travelers")), F.lit(False))
+    return exact.join(right, same(_ROUTE_KEYS, names), "left").select("_pk", "booking_count", close.alias("within"))

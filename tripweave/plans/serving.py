@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.identity import hex_id, id_from_hex
@@ -109,10 +109,10 @@ def top_customers(dim: DataFrame, limit: int = 10) -> DataFrame:
 def city_revenue_map(routes: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """City value with its position, and relative to the largest city on the map.
 
-    Both sides are one row per city, so the figures compared by the window are few.
+    The largest value is one figure, read by a subquery.
     """
     placed = _by_city(routes).join(gazetteer, "city")
-    largest = F.max("total_revenue").over(Window.partitionBy(F.lit(1)))
+    largest = placed.agg(F.max("total_revenue").alias("largest")).scalar()
     return placed.select(
         "city", "province", "lat", "lng", "total_revenue", "booking_count",
         (F.col("total_revenue") / largest).alias("relative_revenue"),
@@ -126,14 +126,18 @@ _MART_COLUMNS = [
     "dormant_days", "last_booking_ts", "recommended_action", "has_support_ticket", "critical_ticket_count",
     "distinct_booking_types",
 ]
-MAX_BROADCAST_PAGE = 10_000
 _DIM_COLUMNS = ["name_std", "emails", "phones", "source_systems", "identity_confidence"]
 
 
 def _matching(mart: DataFrame, dim: DataFrame, where: SearchFilter) -> DataFrame:
-    """Mart rows that satisfy all conditions; only ids of the customer table take part in the join."""
-    people = dim.filter(where.on_identity()).select(_ID)
-    return mart.select(_ID, *_MART_COLUMNS).filter(where.on_figures()).join(people, _ID, "left_semi")
+    """Mart rows that satisfy all conditions; only ids of the customer table take part in the join.
+
+    The mart has one row per customer, so without a condition on the customer table there is no join.
+    """
+    figures = mart.select(_ID, *_MART_COLUMNS).filter(where.on_figures())
+    if not where.asks_identity():
+        return figures
+    return figures.join(dim.filter(where.on_identity()).select(_ID), _ID, "left_semi")
 
 
 def customer_search(
@@ -141,11 +145,10 @@ def customer_search(
 ) -> DataFrame:
     """The first ``limit`` matching customers with their contact lists.
 
-    The page is cut first and then completed from the customer table, whose long rows are not
-    shuffled. A page of ordinary size is broadcast; its row bound is ``limit``.
+    The page is cut first and then completed from the customer table. Spark's size check decides
+    whether the page is broadcast.
     """
-    found = _matching(mart, dim, where).orderBy(*sort_order(sort_by)).limit(limit)
-    page = F.broadcast(found) if limit <= MAX_BROADCAST_PAGE else found
+    page = _matching(mart, dim, where).orderBy(*sort_order(sort_by)).limit(limit)
     full = dim.select(_ID, *_DIM_COLUMNS).join(page, _ID).orderBy(*sort_order(sort_by)).limit(limit)
     return full.select(
         _ID, hex_id(F.col(_ID)).alias("rcid_hex"), "name_std", *_MART_COLUMNS, "emails", "phones", "source_systems",
@@ -201,13 +204,16 @@ def _contact_points(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
 def customer_tickets(dim: DataFrame, tickets: DataFrame, rcid_hex: str | None = None) -> DataFrame:
     """Tickets carrying any email or any phone of a customer, newest first.
 
-    The either-or condition is two equality joins whose union is made distinct.
+    The either-or condition is two equality joins whose union is made distinct. Contact points with
+    many tickets are spread; a shared one shows its tickets once per owner, as the list asks for.
     """
-    emails, phones = _contact_points(_of_customer(dim, rcid_hex))
-    hits = (
-        tickets.join(emails, "customer_email").select(_ID, *tickets.columns)
-        .unionByName(tickets.join(phones, "customer_phone").select(_ID, *tickets.columns))
-    )
+    parts = []
+    for point, owners in zip(("customer_email", "customer_phone"), _contact_points(_of_customer(dim, rcid_hex))):
+        keyed = tickets.filter(not_blank(F.col(point))).withColumn("_point", F.col(point))
+        owned = owners.withColumnRenamed(point, "_point")
+        held = lookup_join(keyed, owned, "_point", "ticket_id", hot_keys(keyed, "_point"))
+        parts.append(held.filter(F.col(_ID).isNotNull()).select(_ID, *tickets.columns))
+    hits = parts[0].unionByName(parts[1])
     return hits.dropDuplicates([_ID, "ticket_id"]).orderBy(_ID, *_newest("created_at", "ticket_id"))
 
 
@@ -262,24 +268,27 @@ def recent_tickets(dim: DataFrame, tickets: DataFrame, k: int = 20) -> DataFrame
 
     Each email and each phone first keeps its own newest ``k``; a customer's newest ``k`` are among
     those, so no contact point shared by many ever meets all of its tickets with all of its owners.
+    Ranking moves ids and times only; texts are fetched for the winners.
     """
     newest = _newest("created_at", "ticket_id")
     kept = ["ticket_id", "subject", "status", "priority", "category", "channel", "created_at", "resolved_at",
             "agent_name", "body"]
     parts = []
     for point, owners in zip(("customer_email", "customer_phone"), _contact_points(dim)):
-        keyed = tickets.filter(not_blank(F.col(point))).select(point, *kept)
+        keyed = tickets.filter(not_blank(F.col(point))).select(point, "ticket_id", "created_at")
         held = lookup_join(owners, first_rows(keyed, [point], newest, k), point, _ID, hot_keys(owners, point))
-        parts.append(held.filter(F.col("ticket_id").isNotNull()).select(_ID, *kept))
+        parts.append(held.filter(F.col("ticket_id").isNotNull()).select(_ID, "ticket_id", "created_at"))
     hits = parts[0].unionByName(parts[1]).dropDuplicates([_ID, "ticket_id"])
-    return first_rows(hits, [_ID], newest, k)
+    winners = first_rows(hits, [_ID], newest, k).select(_ID, "ticket_id")
+    return winners.join(tickets.select(*kept), "ticket_id").select(_ID, *kept)
 
 
 def identity_panel(dim: DataFrame) -> DataFrame:
     """One line per email, with the phone, source id and system at the same position."""
-    zipped = F.arrays_zip("emails", "phones", "source_customer_ids", "source_systems")
-    lines = dim.select(_ID, F.size("emails").alias("n"), F.posexplode(zipped).alias("position", "line"))
-    return lines.filter(F.col("position") < F.col("n")).select(
+    lists = ["emails", "phones", "source_customer_ids", "source_systems"]
+    cut = dim.select(_ID, *[F.slice(name, F.lit(1), F.size("emails")).alias(name) for name in lists])
+    lines = cut.select(_ID, F.posexplode(F.arrays_zip(*lists)).alias("position", "line"))
+    return lines.select(
         _ID, "position", F.col("line.emails").alias("email"), F.col("line.phones").alias("phone"),
         F.col("line.source_customer_ids").alias("source_customer_id"),
         F.col("line.source_systems").alias("source_system"),
