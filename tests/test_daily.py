@@ -14,7 +14,7 @@ from tripweave.plans import facts
 from tripweave.plans.daily import DailyJob
 from tripweave.schema import FLIGHTS, GOLD_KEYS, LANDED, SILVER_KEYS
 from tripweave.sources import landing
-from tripweave.sources.tables import MonthlyTable
+from tripweave.sources.tables import MonthlyTable, SnapshotTable, delete_path, path_exists
 from test_functions import CASES
 
 DAYS = ["2026-03-01", "2026-03-02", "2026-03-03", "2026-04-01"]
@@ -93,10 +93,92 @@ def test_late_customer_resolves_earlier_bookings(spark, tables, tmp_path):
     assert second["fact_bookings"].filter("resolved_customer_id is not null").count() == mine.count() > 0
 
 
-def test_upsert_treats_missing_keys_as_one(spark):
-    rows = versions = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
-    out = upsert(rows, versions, "k")
-    assert out.count() == 2
+def test_rows_without_key_are_replaced_by_equal_rows_only(spark):
+    shape = "k string, v int"
+    rows = spark.createDataFrame([(None, 1), (None, 5), (None, None), ("a", 2)], shape)
+    assert content(upsert(rows, rows, "k")) == content(rows)
+    batch = spark.createDataFrame([(None, 1), (None, 7), ("a", 3)], shape)
+    got = sorted((tuple(r) for r in upsert(rows, batch, "k").collect()), key=str)
+    assert got == [("a", 3), (None, 1), (None, 5), (None, 7), (None, None)]
+
+
+def test_several_key_columns_identify_a_row_together(spark):
+    shape = "kind string, city string, v int"
+    rows = spark.createDataFrame([("hotel", None, 1), ("hotel", "Ubud", 2), (None, None, 3)], shape)
+    batch = spark.createDataFrame([("hotel", None, 10)], shape)
+    got = sorted((tuple(r) for r in upsert(rows, batch, ["kind", "city"]).collect()), key=str)
+    assert got == [("hotel", "Ubud", 2), ("hotel", None, 10), (None, None, 3)]
+
+
+def test_older_versions_do_not_replace_newer_ones(spark):
+    shape = "k string, at int, v int"
+    rows = spark.createDataFrame([("a", 5, 1), ("b", 1, 2), ("c", 9, 3), (None, 1, 4)], shape)
+    batch = spark.createDataFrame([("a", 4, 10), ("b", 2, 20), ("c", 9, 30), ("d", 1, 40), (None, 1, 4)], shape)
+    got = sorted((tuple(r) for r in upsert(rows, batch, "k", newest="at").collect()), key=str)
+    assert got == [("a", 5, 1), ("b", 2, 20), ("c", 9, 30), ("d", 1, 40), (None, 1, 4)]
+
+
+def test_monthly_table_keeps_rows_without_key(spark, tmp_path):
+    first, table = months(spark, str(tmp_path / "t"), [(None, "2026-01-05", 1), (None, None, 2), ("a", "2026-01-06", 3)])
+    table.upsert(first)
+    batch, _ = months(spark, str(tmp_path / "t"), [(None, "2026-02-05", 4), (None, "2026-01-05", 1)])
+    for _ in range(2):
+        table.upsert(batch)
+        assert sorted((r["v"] for r in table.read().collect())) == [1, 2, 3, 4]
+
+
+def test_killed_write_is_completed_by_the_next_reader(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    first, table = months(spark, path, [("a", "2026-01-05", 1), ("b", "2026-01-06", 2), ("c", "2026-02-05", 3)])
+    table.upsert(first)
+    batch, again = months(spark, path, [("a", "2026-02-07", 10)])
+
+    def die(self):
+        # As if the job had died after clearing the month it was about to fill.
+        if path_exists(self.spark, f"{self._pending_months}/_SUCCESS"):
+            delete_path(self.spark, f"{self.path}/stored_month=2026-01")
+            raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(MonthlyTable, "_finish", die)
+        with pytest.raises(RuntimeError):
+            again.upsert(batch)
+    _, reader = months(spark, path, [])
+    assert sorted((r["k"], r["v"]) for r in reader.read().collect()) == [("a", 10), ("b", 2), ("c", 3)]
+    assert not path_exists(spark, f"{path}__pending")
+
+
+def test_only_two_snapshots_stay(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    for i in range(4):
+        table.write(spark.createDataFrame([(i,)], "v int"))
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["snapshot=3", "snapshot=4"]
+    assert table.read().first()["v"] == 3
+
+
+def test_two_runs_with_missing_keys_equal_one_build(spark, tables, tmp_path):
+    """Bookings without an id, city or time of the first run survive the second one."""
+
+    def job(name):
+        out = DailyJob(spark, str(tmp_path / name), AS_OF)
+        for table in LANDED:
+            rows = landing.partitions(tables.landed(table), DAYS)
+            if table == "hotel_bookings":
+                odd = F.crc32("booking_id") % 4
+                rows = rows.withColumns({
+                    "booking_id": F.when(odd != 0, F.col("booking_id")), "hotel_city": F.when(odd != 1, F.col("hotel_city")),
+                    "booking_ts": F.when(odd != 2, F.col("booking_ts")),
+                })
+            out.land(table, rows, DAYS)
+        return out
+
+    whole = {name: content(df) for name, df in job("whole").run(DAYS).items()}
+    parts = job("parts")
+    parts.run(DAYS[:2])
+    after = parts.run(DAYS[2:])
+    for name in ("silver_hotel_bookings", "fact_bookings", "mart_route_monthly", "mart_customer_clv"):
+        assert content(after[name]) == whole[name], name
+    assert after["mart_route_monthly"].filter("_pk is null").count() > 0
 
 
 def months(spark, path, rows):

@@ -12,7 +12,7 @@ from tripweave.plans import silver
 from tripweave.schema import CUSTOMERS, FLIGHTS, HOTELS, TICKETS
 from tripweave.sources import landing
 from tripweave.sources.reference_data import gazetteer
-from tripweave.sources.tables import SnapshotTable
+from tripweave.sources.tables import MonthlyTable, SnapshotTable
 from tripweave.streaming import ingest
 
 
@@ -166,6 +166,43 @@ def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     assert deliver("b.json", later) == {"T1": "closed", "T2": "open"}
 
 
+def test_late_older_version_does_not_replace_the_newer_one(spark, tmp_path):
+    table = MonthlyTable(spark, str(tmp_path / "table"), "ticket_id", "created_at",
+                         silver.silver_tickets(spark.createDataFrame([], TICKETS.schema)).schema)
+
+    def deliver(name, status, day):
+        files = tmp_path / name
+        files.mkdir()
+        row = {"ticket_id": "T1", "status": status, "created_at": f"2026-03-0{day}T08:00:00+07:00"}
+        (files / "x.json").write_text(json.dumps(row))
+        write = lambda rows: table.upsert(rows, newest="created_at")
+        stream = ingest.file_stream(spark, str(files), TICKETS)
+        ingest.upsert_stream(stream, silver.silver_tickets, write, str(tmp_path / f"progress-{name}")).awaitTermination()
+        return [r["status"] for r in table.read().collect()]
+
+    assert deliver("a", "closed", 2) == ["closed"]
+    assert deliver("b", "open", 1) == ["closed"]
+    assert deliver("c", "reopened", 3) == ["reopened"]
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+    for i, day in enumerate(("2026-01-01", "2026-06-01", "2026-06-02", "2026-01-02")):
+        row = {"booking_ref": f"F{i}", "email": f"{i}@x.id", "flight_number": "ga1", "amount_idr": 1_000,
+               "departure_ts": "2026-03-01T00:00:00+07:00", "booking_ts": f"{day}T00:00:00+07:00"}
+        (files / f"{i}.json").write_text(json.dumps(row))
+        os.utime(files / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = ingest.flight_keys(ingest.file_stream(spark, str(files), FLIGHTS, files_per_batch=1))
+    kept = ingest.first_seen_stream(stream, "booking_ts", ["email"], "10 days")
+    query = (
+        kept.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3 and ingest.late_rows(query) == 1
+
+
 def test_resubmissions_are_dropped_across_micro_batches(spark, tmp_path):
     files, progress, out = tmp_path / "files", str(tmp_path / "progress"), str(tmp_path / "out")
     files.mkdir()

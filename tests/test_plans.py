@@ -57,10 +57,12 @@ def test_top_lists_keep_only_the_top(tables):
 
 def test_search_does_not_shuffle_contact_lists(spark, tables):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # A page of ten rows passes Spark's size check, the customer table does not.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8192")
     try:
         where = SearchFilter(tiers=("gold",), omnichannel=True)
-        plan = executed(serving.customer_search(tables.table("mart_customer_clv"), tables.table("dim_customer"), where))
+        mart, dim = tables.table("mart_customer_clv"), tables.table("dim_customer")
+        plan = executed(serving.customer_search(mart, dim, where, limit=10))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "PushedFilters: [IsNotNull(loyalty_tier), EqualTo(loyalty_tier,gold)" in plan
@@ -69,6 +71,18 @@ def test_search_does_not_shuffle_contact_lists(spark, tables):
     assert any("ReadSchema: struct<resolved_customer_id:string,source_systems" in line for line in people)
 
 
+def test_search_without_identity_conditions_needs_no_semi_join(tables):
+    mart, dim = tables.table("mart_customer_clv"), tables.table("dim_customer")
+    assert "LeftSemi" not in executed(serving.customer_search(mart, dim, SearchFilter(tiers=("gold",))))
+    assert "Join" not in executed(serving.customer_search_count(mart, dim, SearchFilter(has_ticket=True)))
+
+
+def test_recent_tickets_rank_without_texts(tables):
+    plan = executed(serving.recent_tickets(tables.table("dim_customer"), tables.table("silver_tickets")))
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "body" in line]
+    assert len(scans) == 1
+
+
 def test_pages_keep_only_the_page(tables):
     plan = executed(landing.page(tables.landed("flights"), FLIGHTS, limit=10, offset=20))
     assert "TakeOrderedAndProject" in plan
