@@ -78,6 +78,22 @@ def test_uneven_sources(spark, monkeypatch, bucket, slots):
     assert all(b == set(range(len(b))) for b in blocks.values())
 
 
+@pytest.mark.parametrize("slots", [3, 64])
+def test_small_sources_beside_a_hot_one(spark, slots):
+    ready(spark)
+    rows = [(k, "w " * 500, "hot") for k in range(200)] + [(300 + k, "x " * 45, "mid") for k in range(40)]
+    rows += [(400, "a b c d e f g", "tiny"), (401, "one", "least"), (402, "a b c", None), (403, "", "none")]
+    rows += [(500 + k, "y " * 11, f"z{k % 7}") for k in range(70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    check(mixture.taken(df, slots=slots).collect(), 0.5)
+    placed, pieces = mixture.full_mix(df, slots=slots)
+    pieces = pieces.collect()
+    targets = {r["nth"]: r["target"] for r in placed.collect()}
+    assert {p["nth"] for p in pieces} == {n for n, t in targets.items() if t > 0}
+    # A slot holds one block only.
+    assert len({(p["slot"], p["nth"], p["block"]) for p in pieces}) == len({p["slot"] for p in pieces})
+
+
 def test_slots_follow_the_shares(spark):
     ready(spark)
     targets = spark.createDataFrame([(0, 50.0), (1, 0.0), (2, 30.0), (3, 20.0)], "nth long, target double")

@@ -6,6 +6,10 @@ whole mix and with a count that stays within a few slots of its share. The r-th
 of the source's words: its documents in a shuffled order, cut into blocks of equally many words; after the last
 document a second pass in another order begins. A mix takes two passes at most.
 
+The slots settle the order; the number of words is a source's rounded target, whatever the length of a block. The last
+block of a source is cut where its target ends, slots beyond that are left out, and blocks that got no slot follow at
+the end of the mix.
+
 Targets: sources in code point order (null last) weigh 3, 1, 2, repeating, and share 150% of all words. A target stops
 at twice its source's words, and the excess is shared again by weight until none is above.
 
@@ -126,12 +130,28 @@ def numbered_shares(targets: DataFrame, total: float) -> DataFrame:
     return ends.select("nth", F.when(lo < 1e-12, 0.0).otherwise(lo).alias("lo"), F.when(F.col("nth") == last, 1.5).otherwise(F.col("hi")).alias("hi"))
 
 
-def mix(docs: DataFrame, text: str = "text", share: float = SHARE, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def settled(plan: DataFrame, quotas: DataFrame, slots: int) -> DataFrame:
+    """The schedule with as many blocks of each source as its ``(nth, blocks)`` says.
+
+    Slots of a source beyond its blocks are left out; its blocks without a slot, which are few, get slots at the end.
+    """
+    plan = stored(plan, "schedule")
+    had = plan.groupBy("nth").agg(F.count("*").alias("had"))
+    late = (
+        quotas.join(had, "nth", "left").withColumn("had", F.coalesce("had", F.lit(0))).filter("had < blocks")
+        .select(F.col("nth").alias("of"), F.explode(F.sequence(F.col("had"), F.col("blocks") - 1)).alias("block"))
+    )
+    late = numbered(late, F.col("of"), F.col("block")).select((F.col("nth") + slots).alias("slot"), F.col("of").alias("nth"), "block")
+    in_time = plan.join(quotas, "nth").filter("block < blocks").select("slot", "nth", "block")
+    return stored(in_time.unionByName(late), "settled")
+
+
+def full_mix(docs: DataFrame, text: str = "text", share: float = SHARE, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
     """The mixed documents, and the mix itself.
 
     The first table has a row for each document: ``doc_id, source, size, source_size, target`` and where it starts in
-    the passes over its source. The second has the pieces of the mix: ``slot, nth, doc_id, from_word, words`` and the
-    document's starts.
+    the passes over its source. The second has the pieces of the mix: ``slot, nth, doc_id, from_word, words``, the
+    document's starts, and whether the block is ``whole`` or the shorter last one of its source.
     """
     sizes = stored(
         docs.select("doc_id", "source", size_of(F.col(text)).alias("size"), F.xxhash64(text).alias("mark")), "sizes"
@@ -140,29 +160,39 @@ def mix(docs: DataFrame, text: str = "text", share: float = SHARE, slots: int =
     sums = targets.agg(F.sum("target"), F.sum("source_size")).first()
     rows = sizes.count()
     words = max(1, ceil((sums[0] or 0.0) / slots))
-    plan = schedule(docs.sparkSession, targets, round((sums[0] or 0.0) / words))
+    points = round((sums[0] or 0.0) / words)
+    quotas = targets.filter("target > 0").select("nth", F.greatest(F.round("target"), F.lit(1.0)).cast("long").alias("quota"))
+    quotas = quotas.withColumn("blocks", F.expr(f"(quota + {words - 1}) div {words}"))
+    plan = settled(schedule(docs.sparkSession, targets, points), quotas.select("nth", "blocks"), points)
     placed = sizes.join(targets.select(F.col("source").alias("s"), "nth", "source_size", "target"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     placed = stored(shuffled_offsets(placed, rows), "placed")
-    # No source has more blocks than two passes, and none but scheduled ones are cut.
-    ends = plan.groupBy("nth").agg(F.count("*").alias("blocks"))
+    # No quota is above two passes, and no words beyond it are cut.
     passes = F.explode(F.array(*[F.struct((F.col(f"start_{k}") + (k - 1) * F.col("source_size")).alias("at")) for k in range(1, PASSES + 1)]))
     stretches = (
-        placed.filter("size > 0").join(ends, "nth").withColumn("at", passes).withColumn("at", F.col("at.at"))
-        .filter(F.col("at") < F.col("blocks") * words)
+        placed.filter("size > 0").join(quotas, "nth").withColumn("at", passes).withColumn("at", F.col("at.at"))
+        .filter(F.col("at") < F.col("quota"))
         .withColumn("block", F.explode(F.sequence(
             F.expr(f"at div {words}"), F.least(F.expr(f"(at + size - 1) div {words}"), F.col("blocks") - 1)
         )))
     )
-    first, end = F.greatest("at", F.col("block") * words), F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * words)
+    first, edge = F.greatest("at", F.col("block") * words), (F.col("block") + 1) * words
+    end = F.least(F.col("at") + F.col("size"), edge, F.col("quota"))
     pieces = stretches.select(
-        "nth", "block", "doc_id", "mark", "start_1", "start_2", "size", (first - F.col("at")).alias("from_word"), (end - first).alias("words")
+        "nth", "block", "doc_id", "mark", "start_1", "start_2", "size", (first - F.col("at")).alias("from_word"),
+        (end - first).alias("words"), (edge <= F.col("quota")).alias("whole"),
     ).join(plan, ["nth", "block"])
     return placed, pieces
 
 
-def taken(docs: DataFrame, text: str = "text") -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", share: float = SHARE, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+    """``full_mix`` in blocks of equal length only, without the shorter last block of a source."""
+    placed, pieces = full_mix(docs, text, share, slots)
+    return placed, pieces.filter("whole").drop("whole")
+
+
+def taken(docs: DataFrame, text: str = "text", slots: int = SLOTS) -> DataFrame:
     """``(doc_id, size, source_size, target, taken, source)``: the words the mix takes of each document."""
-    placed, pieces = mix(docs, text)
+    placed, pieces = full_mix(docs, text, slots=slots)
     # Two documents of a source never start at the same words, unless they are empty.
     key = ["nth", "start_1", "start_2"]
     sums = pieces.groupBy(*key).agg(F.sum("words").alias("taken"))
