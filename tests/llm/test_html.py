@@ -44,6 +44,18 @@ def test_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("times", [1, 20, 400])
+def test_lead_and_title_of_long_pages(times):
+    body = "<p>The text goes on, line by line, to its end. It says more, then less.</p>" * times
+    text = " ".join(["The text goes on, line by line, to its end. It says more, then less."] * times)
+    lead = "A lead, in short, that says what follows. It ends here, now, too."
+    page = f"<body><div class=lead><p>{lead}</p></div><div class=text>{body}</div></body>"
+    assert html.main_text(page) == f"{lead} {text}"
+    page = f"<body><h1>Title</h1><div class=lead><p>{lead}</p></div><h2>Part</h2><div class=body>{body}</div></body>"
+    assert html.main_text(page) == f"Title {lead} Part {text}"
+    assert html.main_text(f"<body><h1>Title</h1><div class=body>{body}</div></body>") == f"Title {text}"
+
+
 def test_edge_cases(spark):
     ready(spark)
     pages = spark.createDataFrame([(None, None, 5, "a"), (1, "<p>x</p>" * 20_000, 6, "b"), (1, "<p>y", 7, "c"), (1, "<p>y", 7, "c")], "page_id long, html string, n_chars int, Text string")

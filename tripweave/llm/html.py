@@ -4,8 +4,8 @@ A page is read as a sequence of text blocks, each with its root-to-leaf path of
 inline elements don't count). Per path, text length and punctuation are summed and divided by the number of blocks;
 both ratios are smoothed along the page, fused by multiplication, lowered by the share of link text, and compared
 with a share of their mean. The chosen paths locate the content node: the lowest element that holds (nearly) all
-chosen text, or the ``article`` or ``main`` around it. Its blocks make the text, without those of boilerplate
-elements and of link lists.
+chosen text, or the ``article`` or ``main`` around it. Its blocks, the chosen ones outside it and the headings before
+or between these make the text, without blocks of boilerplate elements and of link lists.
 
 Null, empty and text-free pages give an empty text. Unclosed and stray tags are tolerated. Repeated rows give
 repeated results. Extra columns pass through; those named like an output are replaced. Whole pages are read.
@@ -179,7 +179,7 @@ def path_scores(blocks: list[Block]) -> np.ndarray:
 
 
 def content_blocks(page: _Page) -> list[Block]:
-    """Blocks of the content node, in page order."""
+    """Blocks of chosen paths and of the content node, and headings above them, in page order."""
     blocks = [b for b in page.blocks if not b.boilerplate]
     if not blocks:
         return []
@@ -201,7 +201,9 @@ def content_blocks(page: _Page) -> list[Block]:
     if node is None or page.names[node] in ("body", "html"):
         inside = [b for b, own in zip(blocks, chosen) if own or b.heading]
     else:
-        inside = [b for b in blocks if node in b.elements]
+        wanted = [bool(own) or node in b.elements for b, own in zip(blocks, chosen)]
+        last = max(k for k, want in enumerate(wanted) if want)
+        inside = [b for k, b in enumerate(blocks) if wanted[k] or (b.heading and k < last)]
     return [b for b in inside if b.heading or 2 * b.links <= len(b.text) or page.names[b.elements[-1]] == "p"]
 
 
