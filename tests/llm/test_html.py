@@ -39,6 +39,8 @@ def test_given_pages(spark):
     ("<article><p>Text <!-- no --> one.<br>Two <script>var x = '</p>';</script>three.</article><footer>&copy; me</footer>", "Text one. Two three."),
     ("<ARTICLE><P>A<SPAN>b</SPAN>  c<P>D</ARTICLE>", "Ab c D"),
     ("<main><p>&lt;p&gt; &#x41;&eacute;</p></main>", "<p> Aé"),
+    ('<a href="#">hello</a>', ""), ("<b>bold</b>", "bold"), ("<body><nav>menu</nav></body><a href=x>ad</a>", ""),
+    ("<html><body><p>A text, in one line.</p></body></html><a href=x>more</a>", "A text, in one line."),
 ])
 def test_pages(page, text):
     assert html.main_text(page) == text

@@ -204,7 +204,7 @@ def content_blocks(page: _Page) -> list[Block]:
         wanted = [bool(own) or node in b.elements for b, own in zip(blocks, chosen)]
         last = max(k for k, want in enumerate(wanted) if want)
         inside = [b for k, b in enumerate(blocks) if wanted[k] or (b.heading and k < last)]
-    return [b for b in inside if b.heading or 2 * b.links <= len(b.text) or page.names[b.elements[-1]] == "p"]
+    return [b for b in inside if b.heading or 2 * b.links <= len(b.text) or (b.elements and page.names[b.elements[-1]] == "p")]
 
 
 def main_text(html: str | None) -> str:
