@@ -44,6 +44,26 @@ def test_lasso_keeps_few_rules():
     assert (((quality.rule_matrix(x, rules) @ w + b) > 0) == (y > 0)).mean() > 0.98
 
 
+def test_a_capped_sample_keeps_the_prior(spark):
+    ready(spark)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(6_000):
+        y = int(rng.random() < 0.86)
+        marks = rng.binomial(12, 0.3 if y else 0.45)  # the classes overlap
+        rows.append((i, " ".join(["word"] * int(rng.integers(10, 14)) + ["!"] * int(marks)), y))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4).cache()
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    whole, capped = (
+        np.array([r["score"] for r in quality.score(docs, quality.fit(docs, labels, per_class=n)).orderBy("doc_id").collect()])
+        for n in (10_000, 500)
+    )
+    assert whole.mean() == pytest.approx(0.86, abs=0.02)
+    assert capped.mean() == pytest.approx(whole.mean(), abs=0.02)
+    assert np.abs(capped - whole).mean() < 0.05
+    assert ((capped >= 0.3) != (whole >= 0.3)).mean() < 0.03
+
+
 def test_edge_cases(spark):
     ready(spark)
     docs = spark.createDataFrame([(1, None, 2.0), (None, "", 1.0), (3, "abc", 0.0)], "doc_id long, text string, score double")

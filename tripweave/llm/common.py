@@ -53,17 +53,28 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def labelled(labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
+    """``(_id, y)`` of the labelled ids outside the held-out fold, each once with its largest value."""
+    return (
+        labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y"))
+        .filter(F.col("_id").isNotNull() & F.col("y").isin(0, 1) & ~is_fold(F.col("_id"), folds, fold))
+        .groupBy("_id").agg(F.max("y").alias("y"))
+    )
+
+
+def class_weights(labels: DataFrame, label: str, per_class: int, folds: int, fold: int) -> dict[int, float]:
+    """For each class, how many labelled ids one of ``labelled_sample`` stands for; 1 without a cut."""
+    counts = labelled(labels, label, folds, fold).groupBy("y").count().collect()
+    return {r["y"]: max(1.0, r["count"] / per_class) for r in counts}
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, fold: int) -> DataFrame:
     """``(text, y)`` of at most ``per_class`` documents of each class outside the held-out fold.
 
     The rows are those with the smallest hashes of their ids, so reruns agree. At most ``2 * per_class`` ids are
     broadcast; texts are never shuffled. A label repeated for one id counts once, by its largest value.
     """
-    known = (
-        labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y"))
-        .filter(F.col("_id").isNotNull() & F.col("y").isin(0, 1) & ~is_fold(F.col("_id"), folds, fold))
-        .groupBy("_id").agg(F.max("y").alias("y"))
-    )
+    known = labelled(labels, label, folds, fold)
     order = [F.xxhash64("_id"), F.col("_id")]
     picked = known.filter("y = 1").orderBy(*order).limit(per_class).unionByName(
         known.filter("y = 0").orderBy(*order).limit(per_class)

@@ -1,6 +1,7 @@
 """Quality classifier: a sparse ensemble of rules over text statistics.
 
-Small regression trees are boosted on labelled documents; every path from a root to a node becomes a conjunctive rule
+Small regression trees are boosted on labelled documents, a sample of bounded size in which each row weighs as many labels
+as it stands for, so that the shares of the classes don't depend on the size of the table; every path from a root to a node becomes a conjunctive rule
 (``statistic <= cut and ...``). A logistic model with an L1 penalty picks few rules and weighs them. The result is
 compiled to a Spark column expression over the statistics, so scoring is one generated expression per row.
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import is_fold, labelled_sample, stored, table, without
+from tripweave.llm.common import is_fold, class_weights, labelled_sample, stored, table, without
 
 STATISTICS = (
     "chars", "words", "letters", "capitals", "digits", "spaces", "stops", "commas", "marks", "brackets", "newlines",
@@ -141,10 +142,17 @@ def _grow(x: np.ndarray, bins: list[np.ndarray], grad: np.ndarray, hess: np.ndar
         _grow(x, bins, grad, hess, side, features, depth - 1, (*path, Condition(STATISTICS[j], cut, above)), out, step, least)
 
 
-def grow_rules(x: np.ndarray, y: np.ndarray, seed: int = 7) -> list[Rule]:
-    """Paths of boosted trees, each grown on half of the rows and of the statistics."""
+def _quantiles(x: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    if weight.min() == weight.max():
+        return np.quantile(x, at)
+    return np.quantile(x, at, weights=weight, method="inverted_cdf")
+
+
+def grow_rules(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, seed: int = 7) -> list[Rule]:
+    """Paths of boosted trees, each grown on half of the rows and of the statistics; ``weight`` is 1 on average."""
+    weight = np.ones(len(y)) if weight is None else weight
     rng = np.random.default_rng(seed)
-    bins = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
+    bins = [np.unique(_quantiles(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1], weight)) for j in range(x.shape[1])]
     logit, found = np.zeros(len(y)), []
     least = max(3, len(y) // 400)
     for _ in range(TREES):
@@ -153,7 +161,7 @@ def grow_rules(x: np.ndarray, y: np.ndarray, seed: int = 7) -> list[Rule]:
         features = np.sort(rng.permutation(x.shape[1])[: (x.shape[1] + 1) // 2])
         step = np.zeros(len(y))
         paths: list[Rule] = []
-        _grow(x, bins, p - y, p * (1 - p), rows, features, DEPTH, (), paths, step, least)
+        _grow(x, bins, weight * (p - y), weight * p * (1 - p), rows, features, DEPTH, (), paths, step, least)
         found += paths
         logit += 0.3 * step
     return sorted(set(found), key=lambda r: (len(r), sorted((c.statistic, c.cut, c.above) for c in r)))
@@ -169,19 +177,23 @@ def rule_matrix(x: np.ndarray, rules: list[Rule]) -> np.ndarray:
     return out
 
 
-def lasso_logistic(a: np.ndarray, y: np.ndarray, penalty: float = 2e-3, steps: int = 400) -> tuple[float, np.ndarray]:
-    """Accelerated proximal gradient for the mean logistic loss plus ``penalty`` times the L1 norm."""
+def lasso_logistic(
+    a: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, penalty: float = 2e-3, steps: int = 400
+) -> tuple[float, np.ndarray]:
+    """Accelerated proximal gradient for the weighted mean of the logistic loss plus ``penalty`` times the L1 norm."""
     n, d = a.shape
+    weight = np.ones(n) if weight is None else weight
+    heavy = weight.astype(np.float32)
     v = np.ones(d, np.float32)
-    for _ in range(20):  # largest eigenvalue of a'a
-        v = a.T @ (a @ v)
+    for _ in range(20):  # largest eigenvalue of a'a, weighted
+        v = a.T @ (heavy * (a @ v))
         v /= np.linalg.norm(v) + 1e-12
-    rate = 1.0 / (0.25 * float((a @ v) @ (a @ v)) / n + 0.25 + 1e-9)
-    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    rate = 1.0 / (0.25 * float((a @ v) @ (heavy * (a @ v))) / n + 0.25 + 1e-9)
+    share = np.clip((weight * y).mean(), 1e-3, 1 - 1e-3)
     w, b = np.zeros(d), float(np.log(share / (1 - share)))
     zw, zb, t = w.copy(), b, 1.0
     for _ in range(steps):
-        r = 1 / (1 + np.exp(-(a @ zw + zb))) - y
+        r = weight * (1 / (1 + np.exp(-(a @ zw + zb))) - y)
         new = zw - rate * (a.T @ r) / n
         new = np.sign(new) * np.maximum(np.abs(new) - rate * penalty, 0)
         new_b, nt = zb - rate * r.mean(), (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -191,7 +203,7 @@ def lasso_logistic(a: np.ndarray, y: np.ndarray, penalty: float = 2e-3, steps: i
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, per_class: int = PER_CLASS) -> RuleEnsemble:
-    """Learn from at most ``per_class`` labelled documents of each class outside the held-out fold."""
+    """Learn from at most ``per_class`` labelled documents of each class outside the held-out fold, weighted by class."""
     sample = stored(
         with_statistics(labelled_sample(docs, labels, "quality", per_class, folds, held_out)).select("stats.*", "y"),
         "quality-sample",
@@ -200,11 +212,15 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, p
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
         return RuleEnsemble(float(np.log(share / (1 - share))))
+    stands_for = class_weights(labels, "quality", per_class, folds, held_out)
+    weight = np.where(y == 1, stands_for[1], stands_for[0])
+    weight /= weight.mean()
     x = np.column_stack([sample[n].to_numpy() for n in STATISTICS])
-    rules = grow_rules(x, y)
+    rules = grow_rules(x, y, weight)
     if not rules:
-        return RuleEnsemble(float(np.log(y.mean() / (1 - y.mean()))))
-    b, w = lasso_logistic(rule_matrix(x, rules), y)
+        share = float((weight * y).mean())
+        return RuleEnsemble(float(np.log(share / (1 - share))))
+    b, w = lasso_logistic(rule_matrix(x, rules), y, weight)
     return RuleEnsemble(b, [(r, float(v)) for r, v in zip(rules, w) if abs(v) > 1e-6])
 
 
