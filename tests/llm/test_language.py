@@ -83,3 +83,15 @@ def test_edge_cases(spark):
         assert 0 <= score <= 1
         assert lang == ("und" if not text or text[0] == "1" else "en" if text[0] == "h" else "fr")
     assert language.keep_known(df).columns == df.columns and language.keep_known(df).count() == 41
+
+
+def test_short_texts_of_no_sure_language_stay(spark):
+    ready(spark)
+    rows = [(k, "the same words in all of them", f"l{k % 12}") for k in range(120)]
+    rows += [(200, "in", None), (201, "12 ?", None), (202, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = {r["doc_id"]: r for r in language.predict(df, language.fit(df)).collect()}
+    assert judged[200]["lang_pred"] != "und" and judged[200]["score"] < 0.5
+    assert {r["doc_id"] for r in language.keep_known(df).collect()} == {*range(120), 200}
+    bare = df.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in language.keep_known(bare).collect()} == {*range(120), 200}

@@ -245,10 +245,20 @@ def predict(docs: DataFrame, trees: ContextTrees | None, text: str = "text") ->
     return judged.select(*[c for c in docs.columns if c.lower() not in new], *[F.col(f"_judged.{n}").alias(n) for n in new])
 
 
-def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """Documents whose language is recognised with at least ``least`` posterior, with their own columns."""
-    judged = predict(docs.select("*"), fit(docs))
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+def keep_known(docs: DataFrame) -> DataFrame:
+    """Documents that hold a letter, so that they have a language, with their own columns.
+
+    However unsure the language of a short text is, it is no reason to drop it, and neither is a lack of labels.
+    """
+    @F.arrow_udf("boolean")
+    def has_letter(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([bool(x and LETTER.search(x)) for x in texts.to_pylist()], pa.bool_())
+
+    trees = fit(docs)
+    if trees is None:
+        return docs.withColumn("_letter", has_letter("text")).filter("_letter").select(*docs.columns)
+    return predict(docs.select("*"), trees).filter(F.col("lang_pred") != "und").select(*docs.columns)
 
 
 def op10_language_id(spark, sf_dir):
