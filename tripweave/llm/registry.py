@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tripweave.llm.audit import OP12_SQL, op12_filter_audit
 from tripweave.llm.decontaminate import op4_decontamination
 from tripweave.llm.html import op2_html_extraction
 from tripweave.llm.jaccard import op9_jaccard_join
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op12_filter_audit": op12_filter_audit,
 }
 
-CHECKS = {"op3_url_filter": OP3_SQL, "op5_nearest": OP5_SQL}
+CHECKS = {"op3_url_filter": OP3_SQL, "op5_nearest": OP5_SQL, "op12_filter_audit": OP12_SQL}
