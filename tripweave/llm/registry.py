@@ -11,6 +11,7 @@ from tripweave.llm.licenses import op8_license_scan
 from tripweave.llm.mixture import op6_mixture
 from tripweave.llm.nearest import OP5_SQL, op5_nearest
 from tripweave.llm.quality import op7_quality
+from tripweave.llm.spelling import OP13_SQL, op13_spelling_variants
 from tripweave.llm.toxicity import op1_toxicity
 from tripweave.llm.urls import OP3_SQL, op3_url_filter
 
@@ -26,6 +27,12 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
     "op12_filter_audit": op12_filter_audit,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-CHECKS = {"op3_url_filter": OP3_SQL, "op5_nearest": OP5_SQL, "op12_filter_audit": OP12_SQL}
+CHECKS = {
+    "op3_url_filter": OP3_SQL,
+    "op5_nearest": OP5_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_spelling_variants": OP13_SQL,
+}
