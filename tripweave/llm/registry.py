@@ -10,6 +10,7 @@ from tripweave.llm.language import op10_language_id
 from tripweave.llm.licenses import op8_license_scan
 from tripweave.llm.mixture import op6_mixture
 from tripweave.llm.nearest import OP5_SQL, op5_nearest
+from tripweave.llm.packing import op11_packing
 from tripweave.llm.quality import op7_quality
 from tripweave.llm.spelling import OP13_SQL, op13_spelling_variants
 from tripweave.llm.toxicity import op1_toxicity
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op11_packing": op11_packing,
     "op12_filter_audit": op12_filter_audit,
     "op13_spelling_variants": op13_spelling_variants,
 }
