@@ -95,3 +95,22 @@ def test_short_texts_of_no_sure_language_stay(spark):
     assert {r["doc_id"] for r in language.keep_known(df).collect()} == {*range(120), 200}
     bare = df.withColumn("lang", F.lit(None).cast("string"))
     assert {r["doc_id"] for r in language.keep_known(bare).collect()} == {*range(120), 200}
+
+
+def test_numbers_are_no_letters(spark):
+    ready(spark)
+    rows = [(k, "hello my friend" if k % 2 else "bonjour mon ami", "en" if k % 2 else "fr") for k in range(40)]
+    rows += [(50, "½ ² ①", None), (51, "Ⅷ 12", None), (52, "_ 7", None), (53, "ª hello", None), (54, "字", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(df, language.fit(df)).collect()}
+    assert all(judged[k] == ("und", 0.0) for k in (50, 51, 52))
+    assert judged[53][0] == "en" and judged[54][0] in ("en", "fr")
+
+
+def test_many_languages_are_bounded(spark, monkeypatch):
+    ready(spark)
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    rows = [(k, "hello my friend" if k % 2 else "bonjour mon ami", "en" if k % 2 else "fr") for k in range(40)]
+    rows += [(100 + k, "dirty", f"x{k}") for k in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.fit(df).languages == ["en", "fr"]

@@ -6,13 +6,15 @@ context escaped from (n: bytes seen in the context, t: different ones), down to
 frozen after fitting, so the code length of a byte depends on five bytes only: the trees are compiled to one hash
 table per order that holds the length under every language, and a text costs one gather a byte.
 
-Texts that are null or hold no letter are ``und`` with score 0. With no labelled text every document is ``und``.
-Ties go to the language first in code point order. Repeated rows get equal results.
+Texts that are null or hold no letter (``str.isalpha``) are ``und`` with score 0. With no labelled text, so in an empty
+table too, every document is ``und``. Ties go to the language first in code point order. Repeated rows get equal
+results. A long text is coded in segments, so memory does not follow its length. Columns of other names stay; columns
+named like the results give way to them. Of more than ``LANGUAGES`` values of ``lang`` those with most documents are
+learned, so that a column of dirty values costs bounded memory.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,13 +27,17 @@ from tripweave.llm.common import is_fold, stored, table, without
 
 ORDER = 4
 PER_LANGUAGE = 1_500  # labelled documents of each language to fit on
+LANGUAGES = 200  # that are learned at most
 SEGMENT = 1 << 19  # bytes coded at a time, so that memory does not follow the length of a text
-LETTER = re.compile(r"[^\W\d_]")
 OUTPUT = "struct<lang_pred:string, score:double, bits:double>"
 _ARROW = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64())])
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
+
+
 def encode(text: str) -> bytes:
     """The bytes that are modelled: lower-cased, after as many zeros as the longest context."""
     return b"\0" * ORDER + text.lower().encode("utf-8", "surrogatepass")
@@ -173,8 +179,9 @@ def compile_trees(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> ContextTr
 def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_language: int = PER_LANGUAGE) -> ContextTrees | None:
     """Trees from at most ``per_language`` whole documents of each language outside the held-out fold.
 
-    The ids with the smallest hashes are taken, so reruns agree; they alone are broadcast (languages are few). Hashes
-    are even, so a cut at twice the wanted share leaves few rows to rank, however many a language has.
+    The ids with the smallest hashes are taken, so reruns agree; they and a count of each language are broadcast, which
+    ``LANGUAGES`` bounds. Hashes are even, so a cut at twice the wanted share, before any shuffle, leaves few rows to
+    rank, however many a language has.
     """
     from pyspark.sql import Window
 
@@ -182,10 +189,10 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_language: int =
         F.col("_id").isNotNull() & F.col("lang").isNotNull() & ~is_fold(F.col("_id"), folds, held_out) & (F.length("text") > 0)
     )
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)), "_id"))
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     low = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) * F.col("n") < 2.0 * per_language * (1 << 30)
-    few = usable.select("_id", "lang").join(sizes, "lang").filter(low)
-    picked = few.withColumn("nth", nth).filter(F.col("nth") <= per_language).select("_id", "lang").distinct()
+    few = usable.select("_id", "lang").join(F.broadcast(sizes), "lang").filter(low).select("_id", "lang").distinct()
+    picked = few.withColumn("nth", nth).filter(F.col("nth") <= per_language).select("_id", "lang")
     sample = stored(usable.select("_id", "lang", "text").join(F.broadcast(picked), ["_id", "lang"]).select("lang", "text"), "language-sample")
     found = gram_counts(sample).toArrow()
     if not found.num_rows:
@@ -198,7 +205,7 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_language: int =
 def classify(texts: list[str | None], trees: ContextTrees) -> list[dict]:
     """Best language of each text, its posterior under equal priors, and its bits a byte."""
     out: list[dict] = [{"lang_pred": "und", "score": 0.0, "bits": 0.0} for _ in texts]
-    judged = [i for i, x in enumerate(texts) if x and LETTER.search(x)]
+    judged = [i for i, x in enumerate(texts) if has_letter(x)]
     totals = np.zeros((len(texts), len(trees.languages)))
     sizes = np.zeros(len(texts), np.int64)
     room: list[tuple[int, np.ndarray]] = []
@@ -250,14 +257,15 @@ def keep_known(docs: DataFrame) -> DataFrame:
 
     However unsure the language of a short text is, it is no reason to drop it, and neither is a lack of labels.
     """
+
     @F.arrow_udf("boolean")
-    def has_letter(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def letters(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([bool(x and LETTER.search(x)) for x in texts.to_pylist()], pa.bool_())
+            yield pa.array([has_letter(x) for x in texts.to_pylist()], pa.bool_())
 
     trees = fit(docs)
     if trees is None:
-        return docs.withColumn("_letter", has_letter("text")).filter("_letter").select(*docs.columns)
+        return docs.withColumn("_letter", letters("text")).filter("_letter").select(*docs.columns)
     return predict(docs.select("*"), trees).filter(F.col("lang_pred") != "und").select(*docs.columns)
 
 
