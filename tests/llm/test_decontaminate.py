@@ -77,11 +77,14 @@ def test_chunks_of_items_give_the_same(spark, monkeypatch):
 
 def test_edge_cases(spark):
     ready(spark)
-    df = spark.createDataFrame([(None, "a b c d e f", "m"), (1, None, "m"), (2, "clean " * 100_000, "m")], "doc_id long, text string, Matches string")
+    df = spark.createDataFrame([(None, "a b c d e f", "m"), (1, None, "m"), (2, "clean " * 100_000, "m"), (3, "fine", "m")], "doc_id long, text string, Matches string")
     bench = spark.createDataFrame([(1, "a b c d e f"), (None, "clean clean")], "item_id long, text string")
     assert de.keep_clean(df, bench).columns == df.columns
-    assert sorted(r["doc_id"] for r in de.keep_clean(df, bench).collect()) == [1, 2]
-    assert de.keep_clean(df, bench.limit(0)).count() == 3 and de.keep_clean(df.limit(0), bench).count() == 0
+    # An item without an id is an item: the document that holds its text goes.
+    assert sorted(r["doc_id"] for r in de.keep_clean(df, bench).collect()) == [1, 3]
+    found = {(r["doc_id"], m["item_id"]) for r in de.find_matches(df, bench).collect() for m in r["matches"]}
+    assert found == {(None, 1), (2, None)}
+    assert de.keep_clean(df, bench.limit(0)).count() == 4 and de.keep_clean(df.limit(0), bench).count() == 0
 
 
 def test_block_index_finds_all_within_radius():

@@ -12,9 +12,9 @@ right to its first shared shingle without losing one. A document shorter than an
 bits is over four standard deviations beyond what similarity 0.75 gives.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; shingles have five of them; shorter texts are one shingle. Null and
-empty texts and items match nothing. Several equal items are all reported. Repeated rows give repeated results; extra
-columns pass through and those named like the output are replaced. An empty benchmark leaves documents without
-matches. Items are broadcast in chunks of a bounded number of words, one pass over the documents for each chunk.
+empty texts and items match nothing. Several equal items are all reported, one without an id with a null id; of windows
+equally like an item the first is. Repeated rows give repeated results; extra columns pass through and those named like
+the output are replaced. An empty benchmark leaves documents without matches. Texts of any length are searched whole. Items are broadcast in chunks of a bounded number of words, one pass over the documents for each chunk.
 """
 
 from __future__ import annotations
@@ -145,7 +145,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     """Append ``matches``: the benchmark items that a document holds, with the window of each in words."""
     docs = without(docs, "matches")
     items = stored(
-        benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("item_id").isNotNull())
+        benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
         .withColumn("n", F.regexp_count("text", F.lit(WORD_PATTERN))).filter("n > 0"),
         "benchmark-items",
     )
@@ -154,7 +154,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     found = docs.withColumn("matches", F.lit(None).cast(MATCHES))
     for chunk in range(chunks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == chunk).select("item_id", "text").distinct()
-        rows = sorted((r["item_id"], r["text"]) for r in part.collect())
+        rows = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         shared = docs.sparkSession.sparkContext.broadcast(rows)
 
         own = _matcher(shared)(F.col(text))
