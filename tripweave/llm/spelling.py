@@ -41,9 +41,9 @@ SLIP = 199
 RUN = re.compile(f"[a-zÀ-ÿ]{{{LEAST_LENGTH},}}")  # of text whose A-Z are lower-cased
 GROUPS = 16
 LEVELS = (5, 1, 9, 14, 4, 3, 2, 15, 12, 13, 0, 7, 6, 8, 10, 11)  # groups by the levels of the trie, vowels first
-NAMED = 3  # groups in the name of a subtree, at first
+NAMED = 5  # groups in the name of a subtree, at first
 SUBTREE = 200_000  # words that a subtree holds at most, unless all levels are used up
-CROWD = 32  # words of a leaf that are verified one by one
+CROWD = 4  # words of a leaf that are verified one by one
 HELD = 200_000  # words that a task counts before it hands them on
 
 
