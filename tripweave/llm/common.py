@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.session import ensure_checkpoint_dir, prepare, shared_root
+from tripweave.sources.tables import delete_path
 
 ASCII_SPACE = r"\x20\x09-\x0D"
 WORD_PATTERN = rf"[^{ASCII_SPACE}]+"
@@ -38,6 +39,21 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables of one run, each of which can be deleted once its last reader is done."""
+
+    def __init__(self, spark: SparkSession, what: str):
+        self.spark, self.path = spark, f"{shared_root(spark)}/llm/{what}-{uuid.uuid4().hex}"
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete_path(self.spark, f"{self.path}/{name}")
+
+
 def remainder(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(doc_id.cast("string")) % F.lit(folds)
