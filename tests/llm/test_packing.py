@@ -8,6 +8,7 @@ from itertools import combinations_with_replacement
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,6 +19,7 @@ from tripweave.llm.common import ready, table
 
 SF = "/root/testdata/sf0.01"
 TOKENIZER = Tokenizer.from_file(packing.vocabulary_path())
+KNOWN = packing.WordIds(packing.vocabulary_path())
 
 
 def ids_of(text):
@@ -103,12 +105,31 @@ def test_other_lengths(spark, capacity, unit):
     check(docs, packing.packed(df, capacity=capacity, unit=unit).collect(), capacity)
 
 
+def put_together(known, text):
+    """Ids of the text, next to other texts."""
+    texts = [None, "before it.", text, "", "<|endoftext|>", text]
+    out = [np.frombuffer(x, "<u4").tolist() for x in known.encoded(pa.array(texts, pa.string()))]
+    assert out[0] == out[3] == [] and out[4] == [49407] and out[2] == out[5]
+    return out[2]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_words_have_the_ids_of_the_text(text):
-    memo = packing.WordIds(packing.vocabulary_path())
-    ids = b"".join(map(memo.__getitem__, text.encode().split()))
-    assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)[:-1]
+    assert put_together(KNOWN, text) == ids_of(text)[:-1]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("aB1é'’.,;…\u0301\u0338|<> \n\x1f\u00a0İΣst"), max_size=30))
+def test_signs_and_marks(text):
+    assert put_together(KNOWN, text) == ids_of(text)[:-1]
+
+
+def test_few_remembered_words(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    known = packing.WordIds(packing.vocabulary_path())
+    for text in ("a b c d", "d e", "x<|endoftext|>Y e <|startoftext|>z <|ENDOFTEXT|>", "", "it's 3.14, isn't it.", "e \xff f\x1f g"):
+        assert put_together(known, text) == ids_of(text)[:-1]
 
 
 def test_cheapest_pattern_against_all():

@@ -22,11 +22,16 @@ id and the text are read, so further columns of any name do not matter.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import filterfalse
+from unicodedata import is_normalized
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,26 +41,107 @@ CAPACITY = 4_096
 UNIT = 16
 END = 2
 VOCABULARY = "word_bpe_49k.json"
-REMEMBERED = 300_000  # words whose ids a task keeps
+REMEMBERED = 1_000_000  # words whose ids a worker keeps
+TOGETHER = 4_096  # new words that are tokenized as one text
+AT_ONCE = 4 << 20  # bytes of texts, at least, whose words are looked up together
 ROUNDS = 3_000  # patterns that are generated at most; every solution on the way is feasible
 NEAR_BEST = 0.999  # of the linear program's bound, to stop at
 EPSILON = 1e-9
 
 
-class WordIds(dict):
-    """Token ids of a word as little-endian bytes, remembered for a bounded number of words."""
+class WordIds:
+    """Token ids of texts, put together from those of their words, a bounded number of which is remembered.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    The vocabulary lower-cases, drops white space and ends tokens where letters or digits meet signs. So a text's ids
+    are those of its words, one after the other. A text that may hold the name of a special token, in which case
+    matters, is one word.
+    """
 
-        self.encode = Tokenizer.from_file(path).encode
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        self[word] = value = np.array(ids, "<u4").tobytes()
-        return value
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.ids: dict[bytes, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode_batch_fast
+        # For words that the normaliser and the splitting into letters leave as they are, the same without them.
+        letters = Tokenizer(tokenizer.model)
+        letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.encode_letters = letters.encode_batch_fast
+        tokens = tokenizer.get_vocab()
+        self.is_end = np.zeros(max(tokens.values()) + 1, bool)
+        self.is_end[[i for t, i in tokens.items() if t.endswith("</w>")]] = True
+
+    def learn(self, words: list[bytes]) -> None:
+        """Know all of these words, whatever was known before."""
+        new = list(filterfalse(self.ids.__contains__, words))
+        if len(self.ids) + len(new) > REMEMBERED:
+            self.ids.clear()
+            new = words
+        plain, other = [], []
+        for word in new:
+            text = word.decode("utf-8", "replace")
+            # Letters alone become tokens of which only the last one is marked as an end, so they can go as one text.
+            as_is = text.isalpha() and text == text.lower() and is_normalized("NFC", text)
+            (plain if as_is else other).append((word, text))
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at : at + TOGETHER]
+            ids = np.array(self.encode_letters([" ".join(t for _, t in part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(part):
+                other += part
+                continue
+            raw, start = ids.tobytes(), 0
+            for (word, _), end in zip(part, (4 * ends).tolist()):
+                self.ids[word] = raw[start:end]
+                start = end
+        for (word, _), found in zip(other, self.encode([t for _, t in other], add_special_tokens=False)):
+            self.ids[word] = array("I", found.ids).tobytes()
+
+    def encoded(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; of an empty or null one, none."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring(texts, "<|")
+        # Most words with a sign at their end are known without it.
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-z0-9])([,.])", r"\1 \2")
+        words = pc.ascii_split_whitespace(pc.if_else(whole, "", plain))
+        met = words.values.dictionary_encode()
+        names = met.dictionary.cast(pa.binary()).to_pylist()
+        self.learn(names)
+        own = list(map(self.ids.__getitem__, names))
+        ids = np.frombuffer(b"".join(own), "<u4")
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        starts = np.cumsum(sizes) - sizes
+        index, ends = met.indices.to_numpy(), words.offsets.to_numpy()
+        for low, high, special, text in zip(ends[:-1].tolist(), ends[1:].tolist(), whole.to_pylist(), texts):
+            if special:
+                yield array("I", self.encode([text.as_py()], add_special_tokens=False)[0].ids).tobytes()
+                continue
+            at = index[low:high]
+            n = sizes[at]
+            # The places of all ids of the words: each word's start, and so many after it.
+            places = np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield ids[places].tobytes()
+
+
+def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to at least ``size`` bytes, so that repeated words are looked up once."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+@lru_cache(1)
+def word_ids(vocabulary: str) -> WordIds:
+    """What a worker knows of a vocabulary; its tasks share it."""
+    return WordIds(vocabulary_path(vocabulary))
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -67,16 +153,15 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def tokenized(docs: DataFrame, id_column: str, text: str, vocabulary: str, end: int, capacity: int) -> DataFrame:
     """``(doc_id, doc_tokens, pieces, rest, row)``: the CRC-32 of each whole sequence, and the ids beyond them.
 
-    The vocabulary drops white space and no token of it reaches across, so a text's ids are those of its words.
+    A text's ids are put together from those of its words, most of which were met before.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids_of, last, width = WordIds(vocabulary_path(vocabulary)).__getitem__, np.array([end], "<u4").tobytes(), 4 * capacity
-        for batch in batches:
+        known, last, width = word_ids(vocabulary), np.array([end], "<u4").tobytes(), 4 * capacity
+        for batch in joined(batches, AT_ONCE):
             tokens, pieces, rests = [], [], []
-            for raw in batch.column(1).cast(pa.binary()).to_pylist():
-                ids = b"".join(map(ids_of, (raw or b"").split())) + last
+            for ids in known.encoded(batch.column(1)):
+                ids += last
                 full = len(ids) // width
                 tokens.append(len(ids) // 4)
                 pieces.append([crc32(ids[k * width : (k + 1) * width]) for k in range(full)])
