@@ -292,6 +292,10 @@ from fact""")
 check("mart_customer_clv", f"select {_MART_ROW} from mart")
 check("mart_route_monthly", f"select {_ROUTE_ROW} from routes")
 check("route_travelers_approx", "select _pk, booking_count, 1 as within from routes")
+check("route_travelers_merged", """select booking_type as route_type,
+  if(booking_type = 'flight', origin || '-' || destination, city) as route_key,
+  count(distinct date_trunc('month', booking_ts)) as months, count(*) as booking_count,
+  count(distinct resolved_customer_id) as unique_travelers, 1 as within from fact group by all""")
 
 check("email_universe", f"""select distinct email, {rcid('email')} as resolved_customer_id from (
   select email from people union all select email from vendor_feed union all select customer_email from s_tickets)
@@ -329,10 +333,13 @@ check("customer_keys", """select distinct r.source_key as source_customer_id, r.
 from records r join dim d on d.resolved_customer_id = r.owner where r.system <> 'crm'""")
 check("loyalty_tier", f"""select resolved_customer_id, {num('clv_idr')}, {num('dormant_days')}, loyalty_tier from dim""")
 check("bookings_unified", f"select source_customer_id, booking_id, source, {_BOOKING_ROW} from unified")
-check("placeholder_ids", """select u.booking_id,
-  coalesce(f.resolved_customer_id, 'ph_' || substr(md5(u.source_customer_id), 1, 24)) as resolved_customer_id,
-  coalesce(f.identity_confidence, 'placeholder') as identity_confidence
-from unified u join fact f on f.booking_id = u.booking_id""")
+check("placeholder_ids", f"""select booking_id,
+  coalesce(owner, 'ph_' || substr(md5(source_customer_id), 1, 24)) as resolved_customer_id,
+  case when owner in (select owner from people) then 'high' when owner is not null then 'email'
+    when source_customer_id is not null then 'placeholder' end as identity_confidence
+from (select u.booking_id, u.source_customer_id,
+    if(u.source = 'app_oltp', p.owner, {rcid('substr(u.source_customer_id, 8)')}) as owner
+  from unified u left join people p on u.source_customer_id = 'app:' || p.customer_id)""")
 check("bookings_agg", f"""select resolved_customer_id, {num('clv_idr')}, completed_count, cancelled_count, no_show_count,
   booking_count, {ts('last_booking_ts')}, distinct_booking_types, newest.kind as most_recent_booking_type
 from figures where booking_count > 0""")

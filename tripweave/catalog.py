@@ -17,10 +17,11 @@ from tripweave.operators.components import identity_components
 from tripweave.operators.reconcile import latest_scan, total_mismatches
 from tripweave.operators.search import SearchFilter
 from tripweave.operators.skew import not_blank
-from tripweave.operators.upsert import merge_into, upsert
-from tripweave.plans import facts, identity, marts, quality, serving, silver
+from tripweave.operators.upsert import merge_into, same, upsert
+from tripweave.plans import facts, identity, marts, quality, serving, silver, sketches
 from tripweave.plans.build import Warehouse
 from tripweave.plans.daily import DailyJob
+from tripweave.plans.marts import ROUTE_KEYS, route_rows
 from tripweave.schema import CUSTOMERS, EXPERIENCES, FLIGHTS, GOLD_KEYS, HOTELS, LANDED, SILVER_KEYS, TICKETS, LandedTable
 from tripweave.sources import landing
 from tripweave.sources.reference_data import gazetteer, holiday_calendar
@@ -640,9 +641,21 @@ def _(w):
 
 @query("route_travelers_approx")
 def _(w):
-    """Whether the estimated travellers of each route and month are within 15 % of the exact ones, or within two."""
-    estimated = marts.mart_route_monthly(w.table("fact_bookings"), holiday_calendar(w.spark), approximate_travelers=True)
-    return marts.travelers_within(w.table("mart_route_monthly"), estimated)
+    """Whether the stored sketches' travellers of each route and month are within the sketch's error of the exact ones."""
+    estimated = w.route_sketches().withColumn("estimate", F.hll_sketch_estimate("travelers"))
+    exact = w.table("mart_route_monthly")
+    return sketches.within_bound(exact, estimated, ROUTE_KEYS).select("_pk", "booking_count", "within")
+
+
+@query("route_travelers_merged")
+def _(w):
+    """Travellers of each route over all its months, from merged monthly sketches, against exact ones of the fact."""
+    by = ["route_type", "route_key"]
+    merged = sketches.distinct_travelers(w.route_sketches(), *by)
+    exact = route_rows(w.table("fact_bookings")).groupBy(*by).agg(F.countDistinct("resolved_customer_id").alias("unique_travelers"))
+    exact = sketches.within_bound(exact, merged, by)
+    figures = merged.select(*[F.col(k).alias(f"_{k}") for k in by], "months", "booking_count")
+    return exact.join(figures, same(by, [f"_{k}" for k in by])).select(*by, "months", "booking_count", "unique_travelers", "within")
 
 
 @query("identity_components")

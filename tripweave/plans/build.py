@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.plans import facts, identity, marts, silver
+from tripweave.plans import facts, identity, marts, silver, sketches
 from tripweave.session import prepare, shared_root
 from tripweave.sources import fixtures
 from tripweave.sources.reference_data import holiday_calendar
@@ -117,5 +117,12 @@ class Warehouse:
     def customer_keys(self) -> DataFrame:
         return identity.customer_keys(self.anchors(), self.vendors())
 
+    def route_sketches(self) -> DataFrame:
+        """Travellers per route and month as stored sketches."""
+        if "route_sketches" not in self._stored:
+            rows = sketches.route_sketches(self.table("fact_bookings"))
+            self._stored["route_sketches"] = SnapshotTable(self.spark, f"{self.root}/route_sketches").write(rows)
+        return self._stored["route_sketches"]
+
     def support(self) -> DataFrame:
         return identity.support_agg(identity.ticket_summaries(self.table("ticket_links"), self.anchors()))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import scoring
 from tripweave.functions import temporal as T
-from tripweave.operators.upsert import same
 
 BOOKING_TYPES = ["hotel", "flight", "experience"]
 
@@ -101,7 +100,7 @@ def with_holiday(df: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def _routes(fact: DataFrame) -> DataFrame:
+def route_rows(fact: DataFrame) -> DataFrame:
     flight = F.col("booking_type") == "flight"
     rows = fact.select(
         F.col("booking_type").alias("route_type"),
@@ -115,25 +114,20 @@ def _routes(fact: DataFrame) -> DataFrame:
     return rows
 
 
-_ROUTE_KEYS = ["route_type", "route_key", "origin", "destination", "city", "year_month"]
+ROUTE_KEYS = ["route_type", "route_key", "origin", "destination", "city", "year_month"]
 
 
-def mart_route_monthly(fact: DataFrame, calendar: DataFrame, approximate_travelers: bool = False) -> DataFrame:
+def mart_route_monthly(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Bookings and value per route and month.
 
-    Distinct travellers are exact by default: Spark first groups by route and traveller, which
-    spreads a dominating route over all tasks. The approximate form needs one shuffle less.
+    Distinct travellers are exact: Spark first groups by route and traveller, which spreads a dominating route over all
+    tasks. :mod:`tripweave.plans.sketches` holds them in a form that can be merged over months.
     """
     rate = F.count(F.lit(1)).cast("double")
-    travelers = (
-        F.approx_count_distinct("resolved_customer_id")
-        if approximate_travelers
-        else F.countDistinct("resolved_customer_id")
-    )
     premium = _count(F.col("seat_class").isin("business", "first"))
-    grouped = _routes(fact).groupBy(*_ROUTE_KEYS).agg(
+    grouped = route_rows(fact).groupBy(*ROUTE_KEYS).agg(
         F.count(F.lit(1)).alias("booking_count"),
-        travelers.alias("unique_travelers"),
+        F.countDistinct("resolved_customer_id").alias("unique_travelers"),
         F.sum("amount_idr").alias("amount_idr_total"),
         F.expr("sum(amount_idr) div greatest(count(1), 1)").alias("amount_idr_avg"),
         F.when(F.col("route_type") == "flight", premium / rate).alias("business_class_share"),
@@ -148,11 +142,3 @@ def mart_route_monthly(fact: DataFrame, calendar: DataFrame, approximate_travele
         "cancel_rate", "no_show_rate", "holiday_window",
     )
 
-
-def travelers_within(exact: DataFrame, estimated: DataFrame, share: float = 0.15, least: int = 2) -> DataFrame:
-    """Whether each route-month's estimated travellers are within ``share`` of the exact ones, or within ``least``."""
-    names = [f"_{k}" for k in _ROUTE_KEYS]
-    right = estimated.select(*[F.col(k).alias(n) for k, n in zip(_ROUTE_KEYS, names)], F.col("unique_travelers").alias("estimate"))
-    gap = F.abs(F.col("estimate") - F.col("unique_travelers"))
-    close = F.coalesce(gap <= F.greatest(F.lit(float(least)), share * F.col("unique_travelers")), F.lit(False))
-    return exact.join(right, same(_ROUTE_KEYS, names), "left").select("_pk", "booking_count", close.alias("within"))

@@ -7,28 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.operators.upsert import upsert
+from tripweave.sources.files import child_names, delete_path, path_exists
+from tripweave.sources.key_index import KeyIndex
 
 
-def _list_names(spark: SparkSession, path: str) -> list[str]:
-    """Entry names of a folder on whatever file system the path belongs to; empty if absent."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(folder):
-        return []
-    return [status.getPath().getName() for status in fs.listStatus(folder)]
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder with all it holds, if it is there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+BUCKETS = 16  # folders of a table's key index; some hundred thousand keys each are a good size
 
 
 class SnapshotTable:
@@ -46,7 +29,7 @@ class SnapshotTable:
         self.path = path.rstrip("/")
 
     def _snapshots(self) -> list[int]:
-        names = _list_names(self.spark, self.path)
+        names = child_names(self.spark, self.path)
         return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("snapshot="))
 
     def _committed(self) -> int | None:
@@ -85,7 +68,7 @@ class MonthlyTable:
     """A keyed table stored by the month of its event time, so that an upsert rewrites few months.
 
     Only months that hold a row of the batch, or a stored row the batch replaces, are read and
-    written; all others keep their files. The new content of those months is first stored beside
+    written; all others keep their files. An index of keys beside the table tells which those are. The new content of those months is first stored beside
     the table, and only then put in place; a run that dies in between is completed by the next
     reader or writer from that copy. Replaced files are gone, so a DataFrame read before an upsert
     has to be read again; tables that are served while they change belong in a
@@ -94,12 +77,15 @@ class MonthlyTable:
 
     MONTH = "stored_month"
 
-    def __init__(self, spark: SparkSession, path: str, key: str, event_time: str, schema: T.StructType):
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, event_time: str, schema: T.StructType, buckets: int = BUCKETS
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
         self.event_time = event_time
         self.schema = schema
+        self.index = KeyIndex(spark, f"{self.path}__index", buckets)
         self._stored_schema = T.StructType([*schema.fields, T.StructField(self.MONTH, T.StringType())])
 
     # Beside the table: the rows to put in place, and then the months they replace ("*" for all), whose
@@ -114,7 +100,7 @@ class MonthlyTable:
 
     def exists(self) -> bool:
         self._finish()
-        return bool(_list_names(self.spark, self.path))
+        return bool(child_names(self.spark, self.path))
 
     def _stored(self) -> DataFrame:
         return self.spark.read.schema(self._stored_schema).parquet(self.path)
@@ -154,10 +140,30 @@ class MonthlyTable:
                 delete_path(self.spark, f"{self.path}/{self.MONTH}={month}")
         delete_path(self.spark, f"{self.path}__pending")
 
+    def _pairs(self, rows: DataFrame) -> DataFrame:
+        """``(key, month)`` of rows that have a key."""
+        pairs = rows.select(F.col(self.key).cast("string").alias("key"), F.col(self.MONTH).alias("month"))
+        return pairs.filter("key is not null").distinct()
+
+    def _replace(self, rows: DataFrame) -> None:
+        # Without an index the next upsert makes one, so it goes first.
+        self.index.drop()
+        self._prepare(rows, ["*"])
+        self._finish()
+        self.index.rebuild(self._pairs(self._stored()))
+
     def replace_all(self, df: DataFrame) -> None:
         """Static overwrite: keys absent from ``df`` disappear."""
-        self._prepare(self._with_month(df), ["*"])
-        self._finish()
+        self._replace(self._with_month(df))
+
+    def touched_months(self, batch: DataFrame) -> list[str]:
+        """Months that hold a row of the batch, or a stored row with a key of the batch."""
+        new = self._with_month(batch)
+        # Month lists hold at most one row per month of the table's life.
+        months = set(_values(new, self.MONTH))
+        if self.exists() and self.index.exists():
+            months |= set(_values(self.index.months_of(self._pairs(new)), "month"))
+        return sorted(months)
 
     def upsert(self, batch: DataFrame, newest: str | None = None) -> list[str]:
         """Batch rows replace stored rows of the same key; returns the months rewritten.
@@ -167,16 +173,19 @@ class MonthlyTable:
         that is not older by that column. Rows without a key are replaced by equal rows only.
         """
         new = self._with_month(batch)
-        # Month lists hold at most one row per month of the table's life.
-        months = _values(new, self.MONTH)
         if not self.exists():
-            self._prepare(new, ["*"])
-            self._finish()
-            return months
+            self._replace(new)
+            return _values(new, self.MONTH)
         stored = self._stored()
-        keys = new.filter(F.col(self.key).isNotNull()).select(F.col(self.key).alias("_new_key"))
-        replaced = stored.select(self.key, self.MONTH).join(keys, F.col(self.key) == F.col("_new_key"), "left_semi")
-        months = sorted({*months, *_values(replaced, self.MONTH)})
+        if not self.index.exists():
+            self.index.rebuild(self._pairs(stored))
+        pairs = self._pairs(new)
+        known = self.index.months_of(pairs).persist()
+        try:
+            months = sorted({*_values(new, self.MONTH), *_values(known, "month")})
+            self.index.add(pairs, known)
+        finally:
+            known.unpersist()
         after = upsert(stored.filter(F.col(self.MONTH).isin(months)), new, self.key, newest)
         self._prepare(after, months)
         self._finish()
