@@ -7,13 +7,14 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.operators.upsert import merge_into
-from tripweave.plans import facts, identity, marts, quality, silver
+from tripweave.plans import facts, identity, kept, marts, quality, silver
+from tripweave.plans.kept import Figures, KeptFigures
 from tripweave.schema import GOLD_KEYS, LANDED, SILVER_KEYS
 from tripweave.session import prepare
 from tripweave.sources import landing
 from tripweave.sources.reference_data import holiday_calendar
-from tripweave.sources.tables import MonthlyTable, SnapshotTable, path_exists
+from tripweave.sources.files import delete_path, path_exists, touch
+from tripweave.sources.tables import MonthlyTable, SnapshotTable
 
 # Event time that decides the storage month of each cleansed table.
 _EVENT_TIME = {
@@ -25,6 +26,15 @@ _EVENT_TIME = {
 }
 
 
+# Figures that are kept of each table.
+_KEPT: dict[str, tuple[Figures, list[str]]] = {
+    "vendor_emails": (kept.VENDOR_EMAILS, ["silver_flight_bookings", "silver_experience_bookings"]),
+    "hotel_value": (kept.HOTEL_VALUE, ["silver_hotel_bookings"]),
+    "contacts": (kept.CONTACTS, ["silver_tickets"]),
+    "booking_figures": (kept.BOOKINGS, ["fact_bookings"]),
+}
+
+
 def _one_of(c: Column, values: list) -> Column:
     """Null-safe membership, never NULL."""
     known = [v for v in values if v is not None]
@@ -63,66 +73,112 @@ class DailyJob:
     def _monthly(self, path: str, key: str, event_time: str, like: DataFrame) -> MonthlyTable:
         return MonthlyTable(self.spark, f"{self.root}/{path}", key, event_time, like.schema)
 
+    # ---- figures that follow the months a run touches ---------------------------------------
+
+    @property
+    def _unfinished(self) -> str:
+        """Stands while tables and the figures kept of them may differ; found at the start, figures are made anew."""
+        return f"{self.root}/stage/unfinished"
+
+    def _upsert(self, name: str, table: MonthlyTable, batch: DataFrame, full_refresh: bool) -> list[str] | None:
+        """Upsert a batch and note what its months gave to the kept figures; None if the whole table is new."""
+        if full_refresh or not table.exists():
+            table.replace_all(batch)
+            return None
+
+        def watch(rows: DataFrame) -> None:
+            for kept_name, (figures, sources) in _KEPT.items():
+                if name in sources:
+                    self._snapshot("before", f"{kept_name}_{name}").write(figures.of(rows))
+
+        return table.upsert(batch, watch=watch)
+
+    def _kept(self, name: str, tables: dict[str, MonthlyTable], months: dict[str, list[str] | None], anew: bool) -> DataFrame:
+        """The figures of that name after this run."""
+        figures, sources = _KEPT[name]
+        state = KeptFigures(figures, self._snapshot("stage", name))
+        columns = [c for c in tables[sources[0]].schema.fieldNames() if all(c in tables[s].schema.fieldNames() for s in sources)]
+
+        def rows(of: dict[str, list[str] | None]) -> DataFrame:
+            out = None
+            for source in sources:
+                part = tables[source].read(of[source]).select(*columns)
+                out = part if out is None else out.unionByName(part)
+            return out
+
+        everything = rows({s: None for s in sources})
+        if anew or all(months[s] is None for s in sources):
+            return state.rebuild(everything)
+        before = [self._snapshot("before", f"{name}_{s}").read() for s in sources if months[s] is not None]
+        return state.update(before, [rows(months)], everything)
+
     def run(self, days: list[str | date], full_refresh: bool = False) -> dict[str, DataFrame]:
         """One run over the selected days; a full refresh rebuilds from the first day ever.
 
         Returns the silver and gold tables by name. The day range is one widened filter, never a
-        loop over days.
+        loop over days. Figures per vendor email, hotel customer, ticket contact and customer are
+        kept: a run takes back and puts in what the months it rewrote give to them.
         """
         low, high = landing.backfill_window(days, full_refresh)
+        anew = full_refresh or path_exists(self.spark, self._unfinished)
+        touch(self.spark, self._unfinished)
         t: dict[str, DataFrame] = {}
         delivered: dict[str, DataFrame] = {}
+        tables: dict[str, MonthlyTable] = {}
+        months: dict[str, list[str] | None] = {}
         for name, (source, model) in silver.MODELS.items():
             # The batch is stored first: the upsert and the fact table read it again.
             batch = self._snapshot("batch", name).write(model(landing.window(self.bronze(source), low, high)))
-            table = self._monthly(f"silver/{name}", SILVER_KEYS[name], _EVENT_TIME[name], batch)
-            if full_refresh:
-                table.replace_all(batch)
-            else:
-                table.upsert(batch)
-            t[name], delivered[name] = table.read(), batch
+            tables[name] = self._monthly(f"silver/{name}", SILVER_KEYS[name], _EVENT_TIME[name], batch)
+            months[name] = self._upsert(name, tables[name], batch, full_refresh)
+            t[name], delivered[name] = tables[name].read(), batch
 
         anchors = identity.app_anchors(t["silver_customers"])
-        vendors = self._snapshot("stage", "vendor_emails").write(
-            identity.vendor_grouped(t["silver_flight_bookings"], t["silver_experience_bookings"])
-        )
-        links = self._snapshot("stage", "ticket_links").write(identity.ticket_links(t["silver_tickets"], anchors))
-        fact_months, months = self._update_fact(t, delivered, identity.customer_keys(anchors, vendors), full_refresh)
+        vendors = self._kept("vendor_emails", tables, months, anew)
+        spent = self._kept("hotel_value", tables, months, anew)
+        contacts = self._kept("contacts", tables, months, anew)
+        links = self._snapshot("stage", "ticket_links").write(identity.contact_links(contacts, anchors))
+        self._update_fact(t, delivered, identity.customer_keys(anchors, vendors), full_refresh, tables, months)
+        bookings = self._kept("booking_figures", tables, months, anew)
+        delete_path(self.spark, self._unfinished)
 
         def gold(name: str, plan: DataFrame) -> None:
-            t[name] = merge_into(self._snapshot("gold", name), plan, GOLD_KEYS[name], full_refresh)
+            # One narrow pass: the plan holds every customer, as dormancy moves with the date.
+            t[name] = self._snapshot("gold", name).write(plan, lookup=GOLD_KEYS[name])
 
-        # Dormancy moves with the date, so every customer changes with every run.
         records = self._snapshot("stage", "customer_records").write(
             identity.customer_records(anchors, vendors, t["silver_tickets"])
         )
-        people = identity.dim_customer(t["silver_customers"], t["silver_hotel_bookings"], vendors, links, self.as_of)
+        people = identity.customer_rows(t["silver_customers"], spent, vendors, links, self.as_of)
         gold("dim_customer", identity.with_lists(people, records))
         support = identity.support_agg(identity.ticket_summaries(links, anchors))
-        gold("mart_customer_clv", marts.mart_customer_clv(t["dim_customer"], t["fact_bookings"], support))
+        known = marts.kept_booking_figures(bookings).filter(F.col("resolved_customer_id").isNotNull())
+        gold("mart_customer_clv", marts.value_mart(t["dim_customer"], known, support))
         # A route's month depends on the bookings of that month only, so the rows of rewritten months
         # are replaced as a whole. Their text key may be missing and takes no part.
         routes = self._snapshot("gold", "mart_route_monthly")
-        fresh = marts.mart_route_monthly(fact_months, self.calendar)
-        if not full_refresh and months is not None and routes.exists():
-            first_days = [None if m == "none" else date.fromisoformat(f"{m}-01") for m in months]
-            kept = routes.read().filter(~_one_of(F.col("year_month"), first_days))
-            fresh = kept.unionByName(fresh)
+        rewritten = None if anew else months["fact_bookings"]
+        fresh = marts.mart_route_monthly(tables["fact_bookings"].read(rewritten), self.calendar)
+        if rewritten is not None and routes.exists():
+            first_days = [None if m == "none" else date.fromisoformat(f"{m}-01") for m in rewritten]
+            stays = routes.read().filter(~_one_of(F.col("year_month"), first_days))
+            fresh = stays.unionByName(fresh)
         t["mart_route_monthly"] = routes.write(fresh, lookup=GOLD_KEYS["mart_route_monthly"])
         return t
 
     def _update_fact(
-        self, t: dict[str, DataFrame], delivered: dict[str, DataFrame], keys: DataFrame, full_refresh: bool
-    ) -> tuple[DataFrame, list[str] | None]:
-        """Bring the fact table up to date; returns the bookings of the months it rewrote, and those months.
+        self, t: dict[str, DataFrame], delivered: dict[str, DataFrame], keys: DataFrame, full_refresh: bool,
+        tables: dict[str, MonthlyTable], months: dict[str, list[str] | None],
+    ) -> None:
+        """Bring the fact table up to date, and add it and the months that it rewrote to the lists.
 
         Bookings are resolved anew only if they were delivered now or their source key changed
         hands since the last run.
         """
 
-        def unified(tables: dict[str, DataFrame]) -> DataFrame:
+        def unified(sources: dict[str, DataFrame]) -> DataFrame:
             return facts.bookings_unified(
-                tables["silver_hotel_bookings"], tables["silver_flight_bookings"], tables["silver_experience_bookings"]
+                sources["silver_hotel_bookings"], sources["silver_flight_bookings"], sources["silver_experience_bookings"]
             )
 
         key_table = self._snapshot("stage", "customer_keys")
@@ -135,14 +191,9 @@ class DailyJob:
             # Without a moved key no earlier booking has to be looked at.
             bookings = unified(delivered) if moved.isEmpty() else facts.bookings_to_resolve(bookings, unified(delivered), moved)
         updates = self._snapshot("batch", "fact_bookings").write(facts.fact_bookings(bookings, keys))
-        table = self._monthly("gold/fact_bookings", GOLD_KEYS["fact_bookings"], "booking_ts", updates)
-        months = None
-        if rebuild:
-            table.replace_all(updates)
-        else:
-            months = table.upsert(updates)
-        t["fact_bookings"] = table.read()
-        return table.read(months), months
+        tables["fact_bookings"] = self._monthly("gold/fact_bookings", GOLD_KEYS["fact_bookings"], "booking_ts", updates)
+        months["fact_bookings"] = self._upsert("fact_bookings", tables["fact_bookings"], updates, rebuild)
+        t["fact_bookings"] = tables["fact_bookings"].read()
 
     def checks(self, tables: dict[str, DataFrame], days: list[str | date]) -> DataFrame:
         """All check summaries of a run; a failing check is reported, it does not stop anything."""

@@ -180,8 +180,8 @@ def contacts(tickets: DataFrame) -> DataFrame:
     )
 
 
-def _routed_contacts(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Contacts with the value that links them to customers.
+def _routed_contacts(rows: DataFrame, anchors: DataFrame, emails: DataFrame, phones: DataFrame) -> DataFrame:
+    """Contacts with the value that links them to customers; ``emails`` and ``phones`` tell which are hot.
 
     ``link`` is ``email`` when the email is an app customer's or nothing better is known, ``phone``
     when only the phone is an app customer's, NULL when the contact carries neither.
@@ -193,16 +193,16 @@ def _routed_contacts(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
     contact_id = F.concat_ws(
         "\u0001", F.coalesce("customer_email", F.lit("")), F.coalesce("customer_phone", F.lit(""))
     )
-    rows = contacts(tickets).withColumns({"email": F.col("customer_email"), "contact_id": contact_id})
+    rows = rows.withColumns({"email": F.col("customer_email"), "contact_id": contact_id})
     rows = lookup_join(
         rows, known_emails, "email", "contact_id",
-        hot_keys(tickets.select(F.col("customer_email").alias("email")), "email"),
+        hot_keys(emails.select(F.col("customer_email").alias("email")), "email"),
     )
     # Only contacts without a known email go on to the phone lookup.
     bridge = F.when(F.col("email_known").isNull() & not_blank(F.col("customer_phone")), F.col("customer_phone"))
     rows = lookup_join(
         rows.withColumn("phone", bridge), known_phones, "phone", "contact_id",
-        hot_keys(tickets.select(F.col("customer_phone").alias("phone")), "phone"),
+        hot_keys(phones.select(F.col("customer_phone").alias("phone")), "phone"),
     )
     has_email = not_blank(F.col("customer_email"))
     return rows.withColumns(
@@ -220,7 +220,16 @@ def ticket_links(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
 
     Stored as a table of its own, because both the customers and their support figures need it.
     """
-    return _routed_contacts(tickets, anchors).groupBy("link", "link_value", "confidence_rank").agg(
+    return _links(_routed_contacts(contacts(tickets), anchors, tickets, tickets))
+
+
+def contact_links(kept: DataFrame, anchors: DataFrame) -> DataFrame:
+    """The same from stored contacts (:data:`tripweave.plans.kept.CONTACTS`), without looking at tickets again."""
+    return _links(_routed_contacts(kept, anchors, kept, kept))
+
+
+def _links(routed: DataFrame) -> DataFrame:
+    return routed.groupBy("link", "link_value", "confidence_rank").agg(
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
         F.sum("tickets").alias("tickets"),
@@ -266,11 +275,15 @@ def support_agg(summaries: DataFrame) -> DataFrame:
 # ---- customers ----------------------------------------------------------------------------
 
 
-def _hotel_value(hotels: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Completed hotel value per app customer, summed before it is joined."""
-    spent = hotels.filter(F.col("booking_status") == "completed").groupBy("customer_id").agg(
-        F.sum("amount_idr").alias("clv_idr")
-    )
+def hotel_spent(hotels: DataFrame) -> DataFrame:
+    """Completed hotel value per app customer."""
+    done = hotels.filter(F.col("booking_status") == "completed")
+    return done.groupBy("customer_id").agg(F.sum("amount_idr").alias("clv_idr"))
+
+
+def _hotel_value(spent: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Hotel value per resolved customer, summed before it is joined."""
+    spent = spent.select("customer_id", "clv_idr")
     return anchors.select("customer_id", "resolved_customer_id").join(spent, "customer_id").drop("customer_id")
 
 
@@ -292,7 +305,7 @@ def clv_by_resolved(
     everyone = anchors.select("resolved_customer_id", no_value).unionByName(
         ticket_summaries(links, anchors).select("resolved_customer_id", no_value)
     )
-    value = _hotel_value(hotels, anchors).unionByName(
+    value = _hotel_value(hotel_spent(hotels), anchors).unionByName(
         vendor.select(resolved_id(F.col("email")).alias("resolved_customer_id"), "clv_idr")
     )
     return everyone.unionByName(value).groupBy("resolved_customer_id").agg(
@@ -345,9 +358,14 @@ def with_lists(dim: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame, hotels: DataFrame, vendors: DataFrame, links: DataFrame, as_of: str) -> DataFrame:
-    """One row per resolved customer, without lists; :func:`with_lists` adds those.
+    """One row per resolved customer, without lists; :func:`with_lists` adds those."""
+    return customer_rows(customers, hotel_spent(hotels), vendors, links, as_of)
+
+
+def customer_rows(customers: DataFrame, spent: DataFrame, vendors: DataFrame, links: DataFrame, as_of: str) -> DataFrame:
+    """The customer table from figures per source key, so that nothing else looks at bookings or tickets.
 
-    ``vendors`` comes from :func:`vendor_grouped` and ``links`` from :func:`ticket_links`. Each
+    ``spent`` comes from :func:`hotel_spent`, ``vendors`` from :func:`vendor_grouped` and ``links`` from :func:`ticket_links`. Each
     source is reduced to one row per source key, the rows are united and a single grouping by
     customer id produces every column, the lifetime value included.
     """
@@ -373,7 +391,7 @@ def dim_customer(customers: DataFrame, hotels: DataFrame, vendors: DataFrame, li
         F.lit("vendor_api").alias("source_system"),
         F.col("completed_idr").alias("clv_idr"),
     )
-    hotel_rows = _hotel_value(hotels, anchors)
+    hotel_rows = _hotel_value(spent, anchors)
 
     crm_name = F.struct(
         "confidence_rank",

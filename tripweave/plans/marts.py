@@ -40,13 +40,21 @@ def bookings_agg(fact: DataFrame) -> DataFrame:
         *latest,
         *seen,
     )
+    return _booking_figures(grouped, [F.col(f"seen_{t}") for t in BOOKING_TYPES])
+
+
+def kept_booking_figures(kept: DataFrame) -> DataFrame:
+    """The same from the figures that :data:`tripweave.plans.kept.BOOKINGS` keeps."""
+    return _booking_figures(kept, [(F.col(f"count_{t}") > 0).cast("int") for t in BOOKING_TYPES])
+
+
+def _booking_figures(grouped: DataFrame, seen: list[Column]) -> DataFrame:
     # Bookings of one second are told apart by the type's name.
     newest = F.greatest(*[F.struct(F.col(f"latest_{t}").alias("at"), F.lit(t).alias("kind")) for t in BOOKING_TYPES])
     return grouped.select(
         "resolved_customer_id", "clv_idr", "completed_count", "cancelled_count", "no_show_count", "booking_count",
         "last_booking_ts",
-        reduce(lambda a, b: a + b, [F.col(f"seen_{t}") for t in BOOKING_TYPES]).cast("bigint")
-        .alias("distinct_booking_types"),
+        reduce(lambda a, b: a + b, seen).cast("bigint").alias("distinct_booking_types"),
         F.when(newest["at"].isNotNull(), newest["kind"]).alias("most_recent_booking_type"),
     )
 
@@ -57,10 +65,14 @@ def mart_customer_clv(dim: DataFrame, fact: DataFrame, support: DataFrame) -> Da
     All three inputs of the join are keyed by customer, and the two aggregates arrive already
     partitioned that way.
     """
-    known = fact.filter(F.col("resolved_customer_id").isNotNull())
+    return value_mart(dim, bookings_agg(fact.filter(F.col("resolved_customer_id").isNotNull())), support)
+
+
+def value_mart(dim: DataFrame, figures: DataFrame, support: DataFrame) -> DataFrame:
+    """The same from booking figures per customer."""
     joined = (
         dim.select("resolved_customer_id", "dormant_days", "loyalty_tier")
-        .join(bookings_agg(known), "resolved_customer_id", "left")
+        .join(figures, "resolved_customer_id", "left")
         .join(support, "resolved_customer_id", "left")
     )
     counts = [

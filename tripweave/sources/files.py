@@ -27,3 +27,9 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder with all it holds, if it is there."""
     fs, target = _at(spark, path)
     fs.delete(target, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, in place at once."""
+    fs, target = _at(spark, path)
+    fs.create(target, True).close()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,6 @@ from tripweave.operators.upsert import upsert
 from tripweave.sources.files import child_names, delete_path, path_exists
 from tripweave.sources.key_index import KeyIndex
 
-
 BUCKETS = 16  # folders of a table's key index; some hundred thousand keys each are a good size
 
 
@@ -165,12 +166,15 @@ class MonthlyTable:
             months |= set(_values(self.index.months_of(self._pairs(new)), "month"))
         return sorted(months)
 
-    def upsert(self, batch: DataFrame, newest: str | None = None) -> list[str]:
+    def upsert(
+        self, batch: DataFrame, newest: str | None = None, watch: Callable[[DataFrame], object] | None = None
+    ) -> list[str]:
         """Batch rows replace stored rows of the same key; returns the months rewritten.
 
         Running it twice equals running it once. ``batch`` is read several times and must not
         depend on this table; pass a stored one. With ``newest``, a row is replaced only by one
         that is not older by that column. Rows without a key are replaced by equal rows only.
+        ``watch`` is called with the stored rows of those months before any is replaced.
         """
         new = self._with_month(batch)
         if not self.exists():
@@ -186,7 +190,10 @@ class MonthlyTable:
             self.index.add(pairs, known)
         finally:
             known.unpersist()
-        after = upsert(stored.filter(F.col(self.MONTH).isin(months)), new, self.key, newest)
+        touched = stored.filter(F.col(self.MONTH).isin(months))
+        if watch is not None:
+            watch(touched.select(*self.schema.fieldNames()))
+        after = upsert(touched, new, self.key, newest)
         self._prepare(after, months)
         self._finish()
         return months
