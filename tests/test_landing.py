@@ -68,6 +68,19 @@ def test_day_file_reads_json_array_and_tolerates_a_missing_day(spark, tmp_path):
     assert landing.day_file(spark, str(tmp_path), TICKETS, "2026-01-06").count() == 0
 
 
+def test_day_files_read_a_span_of_days_in_one_go(spark, tmp_path):
+    for day, ids in (("20260105", ["T1", "T2"]), ("20260107", ["T3"]), ("20260201", ["T4"])):
+        (tmp_path / f"tickets_{day}.json").write_text(json.dumps([{"ticket_id": i} for i in ids], indent=1))
+    (tmp_path / "tickets_20260106.json.part").write_text("[")
+    (tmp_path / "other_20260106.json").write_text("[")
+    got = landing.day_files(spark, str(tmp_path), TICKETS, "2026-01-05", "2026-02-01")
+    assert got.columns == [*TICKETS.payload, "ingest_date"]
+    assert sorted((r["ticket_id"], str(r["ingest_date"])) for r in got.collect()) == [
+        ("T1", "2026-01-05"), ("T2", "2026-01-05"), ("T3", "2026-01-07")]
+    assert landing.day_files(spark, str(tmp_path), TICKETS, "2026-03-01", "2026-04-01").count() == 0
+    assert landing.day_files(spark, str(tmp_path / "none"), TICKETS, "2026-01-01", "2026-04-01").count() == 0
+
+
 def test_windows():
     assert landing.backfill_window(["2026-03-02", "2026-03-01"]) == (date(2026, 3, 1), date(2026, 3, 3))
     assert landing.backfill_window(["2026-03-01"], full_refresh=True) == (date(2026, 1, 1), date(2026, 3, 2))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tripweave.functions import cleanse as C
 from tripweave.functions import display
+from tripweave.functions import sql as sql_functions
 from tripweave.functions import temporal
 from tripweave.functions.identity import hex_id, resolved_id
 from tripweave.operators.components import identity_components
@@ -24,6 +25,7 @@ from tripweave.plans.daily import DailyJob
 from tripweave.plans.marts import ROUTE_KEYS, route_rows
 from tripweave.schema import CUSTOMERS, EXPERIENCES, FLIGHTS, GOLD_KEYS, HOTELS, LANDED, SILVER_KEYS, TICKETS, LandedTable
 from tripweave.sources import landing
+from tripweave.sources.files import child_names, move_path
 from tripweave.sources.reference_data import gazetteer, holiday_calendar
 from tripweave.sources.tables import MonthlyTable, SnapshotTable
 from tripweave.streaming import ingest
@@ -122,9 +124,20 @@ def _(w):
 
 @query("land_tickets_file")
 def _(w):
-    folder = scratch(w, "ticket-files")
-    w.landed("tickets").hint("rebalance", "ingest_date").write.partitionBy("ingest_date").json(folder)
-    return w.spark.read.schema(TICKETS.schema).json(folder)
+    """Tickets delivered as one JSON array a day, read back for a span of days that has days without a file."""
+    base = scratch(w, "ticket-files")
+    day = F.date_format("ingest_date", "yyyyMMdd")
+    name = F.concat(F.lit(f"{TICKETS.name}_"), day, F.lit(".json")).alias("name")
+    rows = w.landed("tickets")
+    # An array holds about API_PAGE rows; a day of more has several.
+    parts = rows.count() // (API_PAGE * 365) + 1
+    part = F.pmod(F.xxhash64("ticket_id"), F.lit(parts)).alias("part")
+    arrays = rows.groupBy(name, part).agg(F.to_json(F.collect_list(F.struct(*TICKETS.payload))).alias("value"))
+    arrays.drop("part").write.partitionBy("name").text(f"{base}/written")
+    for folder in child_names(w.spark, f"{base}/written"):
+        if folder.startswith("name="):
+            move_path(w.spark, f"{base}/written/{folder}", f"{base}/delivered/{folder.removeprefix('name=')}")
+    return landing.day_files(w.spark, f"{base}/delivered", TICKETS, "2025-12-01", "2027-02-01")
 
 
 @query("land_api_pages")
@@ -885,6 +898,29 @@ def _(w):
     return serving.business_class(w.table("mart_route_monthly"))
 
 
+# ---- SQL functions ------------------------------------------------------------------------
+
+
+@query("sql_functions_people")
+def _(w):
+    """Every text rule called from SQL, over all landed customers."""
+    sql_functions.register(w.spark)
+    w.landed("customers").createOrReplaceTempView("landed_people")
+    return w.spark.sql("""select customer_id, normalize_email(email) as email, normalize_phone(phone) as phone,
+        strip_honorifics(full_name) as full_name, title_case(city) as city,
+        resolved_customer_id(normalize_email(email)) as resolved_customer_id from landed_people""")
+
+
+@query("sql_functions_bookings")
+def _(w):
+    """The booking rules called from SQL, over all landed hotel bookings."""
+    sql_functions.register(w.spark)
+    w.landed("hotel_bookings").createOrReplaceTempView("landed_stays")
+    return w.spark.sql("""select booking_id, normalize_amount_idr(amount_idr) as amount_idr,
+        normalize_payment(payment_method) as payment_method, normalize_status(booking_status) as booking_status
+        from landed_stays""")
+
+
 # ---- daily runs ---------------------------------------------------------------------------
 
 HALF_YEAR = "2026-07-01"

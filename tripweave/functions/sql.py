@@ -1,71 +1,46 @@
 """The cleansing rules as temporary SQL functions, for people who write SQL instead of Python.
 
-Each body is a plain SQL expression, so calls are inlined and stay inside the engine.
+A function's body is the SQL text of the column expression that the models use, so there is one definition of each
+rule; calls are inlined and stay inside the engine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
 
-from tripweave.functions import cleanse as C
-
-
-def _quoted(words) -> str:
-    return ", ".join("'" + w + "'" for w in words)
-
-
-def _choices(words: dict[str, str]) -> str:
-    return " ".join(f"when '{raw}' then '{nice}'" for raw, nice in words.items())
-
-
-def _first(expr: str, pattern: str, replacement: str) -> str:
-    return f"regexp_replace({expr}, r'(?s){pattern}(.*)$', r'{replacement}$1')"
-
-
-def _email() -> str:
-    out = _first("lower(trim(x))", r"\+[^@]*@", "@")
-    for wrong, right in C.MAIL_DOMAIN_FIXES:
-        out = _first(out, rf"@{wrong}\.", f"@{right}.")
-    return f"case when trim(x) <> '' then {out} end"
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
+from tripweave.functions import cleanse as C
+from tripweave.functions.identity import resolved_id
 
-def _phone() -> str:
-    digits = f"regexp_replace(case when x not in ({_quoted(C.PHONE_SENTINELS)}) then x end, '[^0-9]', '')"
-    prefixed = f"regexp_replace({digits}, r'^(?:62|0)(.*)$|^(.{{10,}})$', r'+62$1$2')"
-    return f"nullif(regexp_replace({prefixed}, '^[0-9]+$', ''), '')"
+#: Name, type of the argument and rule of each function.
+RULES: dict[str, tuple[str, Callable[[Column], Column]]] = {
+    "normalize_email": ("string", C.email),
+    "normalize_phone": ("string", C.phone),
+    "normalize_amount_idr": ("bigint", C.whole_hundreds),
+    "strip_honorifics": ("string", C.person_name),
+    "title_case": ("string", C.title_case),
+    "normalize_payment": ("string", C.payment_method),
+    "normalize_status": ("string", C.booking_status),
+    "resolved_customer_id": ("string", resolved_id),
+}
 
 
-def _name() -> str:
-    titles = "|".join(t.replace(".", r"\.") for t in C.TITLES)
-    degrees = rf"s\.({'|'.join(C.BACHELOR_DEGREES)})\.|m\.({'|'.join(C.MASTER_DEGREES)})\."
-    untitled = rf"regexp_replace(lower(trim(x)), r'^({titles})\s+', '')"
-    bare = rf"regexp_replace({untitled}, r',\s*({degrees})\s*$', '')"
-    return f"case when trim(x) <> '' then trim(initcap(trim({bare}))) end"
+def _body(spark: SparkSession, argument: str, rule: Callable[[Column], Column]) -> tuple[str, str]:
+    """Result type and SQL text of a rule over a column ``x``."""
+    one = spark.range(0).select(F.lit(None).cast(argument).alias("x")).select(rule(F.col("x")).alias("y"))
+    expression = one._jdf.queryExecution().analyzed().expressions().head().child()
+    return expression.dataType().sql().lower(), expression.sql()
 
 
-def functions() -> dict[str, tuple[str, str, str]]:
+def functions(spark: SparkSession | None = None) -> dict[str, tuple[str, str, str]]:
     """Name to (argument type, result type, body); the argument is called ``x``."""
-    return {
-        "normalize_email": ("string", "string", _email()),
-        "normalize_phone": ("string", "string", _phone()),
-        "normalize_amount_idr": (
-            "bigint", "bigint", "case when x <> 0 then cast(bround(x / 100.0D) * 100 as bigint) end"
-        ),
-        "strip_honorifics": ("string", "string", _name()),
-        "title_case": ("string", "string", "trim(initcap(trim(x)))"),
-        "normalize_payment": (
-            "string", "string", f"case lower(trim(x)) {_choices(C.BANK_TRANSFERS)} else trim(initcap(trim(x))) end"
-        ),
-        "normalize_status": (
-            "string", "string", f"case lower(trim(x)) {_choices(C.STATUS_WORDS)} else lower(trim(x)) end"
-        ),
-        "resolved_customer_id": (
-            "string", "string", "concat('rc_', substring(md5(lower(trim(x))), 1, 24))"
-        ),
-    }
+    spark = spark or SparkSession.active()
+    return {name: (argument, *_body(spark, argument, rule)) for name, (argument, rule) in RULES.items()}
 
 
 def register(spark: SparkSession) -> list[str]:
-    for name, (argument, result, body) in functions().items():
+    for name, (argument, result, body) in functions(spark).items():
         spark.sql(f"create or replace temporary function {name}(x {argument}) returns {result} return {body}")
-    return list(functions())
+    return list(RULES)

@@ -33,3 +33,12 @@ def touch(spark: SparkSession, path: str) -> None:
     """An empty file, in place at once."""
     fs, target = _at(spark, path)
     fs.create(target, True).close()
+
+
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file or folder within one file system; the folder above the target is made if needed."""
+    fs, old = _at(spark, path)
+    _, new = _at(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {path} to {target}")

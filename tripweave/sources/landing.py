@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.schema import LandedTable
-from tripweave.sources.tables import delete_path
+from tripweave.sources.files import child_names, delete_path
 
 FIRST_DAY = date(2026, 1, 1)
 DEFAULT_WINDOW = ("2026-01-01", "2026-01-02")
@@ -83,6 +84,23 @@ def day_file(spark: SparkSession, folder: str, table: LandedTable, day: str | da
         return spark.createDataFrame([], payload)
 
 
+def day_files(spark: SparkSession, folder: str, table: LandedTable, low: str | date, high: str | date) -> DataFrame:
+    """The daily JSON-array files of the days from ``low`` up to ``high`` in one read, with the day of each row's file.
+
+    Only files of these days are opened, in parallel; days without a file are empty.
+    """
+    payload = T.StructType([f for f in table.schema.fields if f.name != "ingest_date"])
+    first, last = f"{as_day(low):%Y%m%d}", f"{as_day(high):%Y%m%d}"
+    named = re.compile(rf"{re.escape(table.name)}_(\d{{8}})\.json")
+    days = {name: m.group(1) for name in child_names(spark, folder) if (m := named.fullmatch(name))}
+    paths = [f"{folder.rstrip('/')}/{name}" for name, day in sorted(days.items()) if first <= day < last]
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*payload.fields, T.StructField("ingest_date", T.DateType())]))
+    rows = spark.read.schema(payload).option("multiLine", True).json(paths)
+    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), rf"{table.name}_(\d{{8}})\.json", 1), "yyyyMMdd")
+    return rows.select(*payload.fieldNames(), day.alias("ingest_date"))
+
+
 def page_files(spark: SparkSession, path: str, table: LandedTable) -> DataFrame:
     """Rows of saved API pages, each a JSON object ``{total, limit, offset, data: [rows]}``."""
     payload = T.StructType([f for f in table.schema.fields if f.name != "ingest_date"])
