@@ -26,6 +26,7 @@ from tripweave.plans.marts import ROUTE_KEYS, route_rows
 from tripweave.schema import CUSTOMERS, EXPERIENCES, FLIGHTS, GOLD_KEYS, HOTELS, LANDED, SILVER_KEYS, TICKETS, LandedTable
 from tripweave.sources import landing
 from tripweave.sources.files import child_names, move_path
+from tripweave.sources.first_seen import FirstSeenTable, near_key
 from tripweave.sources.reference_data import gazetteer, holiday_calendar
 from tripweave.sources.tables import MonthlyTable, SnapshotTable
 from tripweave.streaming import ingest
@@ -898,6 +899,48 @@ def _(w):
     return serving.business_class(w.table("mart_route_monthly"))
 
 
+# ---- near-duplicates across runs ----------------------------------------------------------
+
+
+@query("dedupe_across_runs")
+def _(w):
+    """Hotel bookings taken in by four runs, the newest days first and one of them twice; equals one run over all."""
+    landed = w.landed("hotel_bookings")
+    table = FirstSeenTable(w.spark, scratch(w, "first-hotels"), "booking_id", "booking_ts", silver.hotel_rows(landed).schema)
+    for low, high in (("2026-08-01", "2027-12-31"), ("2025-12-01", "2026-04-01"), ("2026-04-01", "2026-08-01"), ("2025-12-01", "2026-04-01")):
+        table.add(silver.hotel_rows(landing.window(landed, low, high)), silver.same_stay())
+    return table.read()
+
+
+@query("dedupe_across_stream")
+def _(w):
+    """Flights from a stream in no order of time; nothing is too late."""
+    landed = w.landed("flights")
+    files = _json_files(w, landed, "first-flights")
+    base = scratch(w, "first-flights-table")
+    table = FirstSeenTable(w.spark, f"{base}/table", "booking_ref", "booking_ts", silver.flight_rows(landed).schema)
+    stream = ingest.file_stream(w.spark, files, FLIGHTS, files_per_batch=4)
+    write = lambda rows: table.add(rows, silver.same_flight())
+    ingest.upsert_stream(stream, silver.flight_rows, write, f"{base}/progress").awaitTermination()
+    return table.read()
+
+
+@query("dedupe_accounts")
+def _(w):
+    """Experience bookings that came, that are kept and that are listed as re-submissions; no row is unaccounted for."""
+    landed = w.landed("experiences")
+    rows = silver.experience_rows(landed)
+    table = FirstSeenTable(w.spark, scratch(w, "first-experiences"), "booking_ref", "booking_ts", rows.schema)
+    for low, high in (("2026-06-01", "2027-12-31"), ("2025-12-01", "2026-06-01")):
+        table.add(silver.experience_rows(landing.window(landed, low, high)), silver.same_activity())
+    counts = [(rows.select("booking_ref", near_key(silver.same_activity())).distinct(), "came"), (table.read(), "kept"), (table.others.read(), "others")]
+    out = None
+    for df, name in counts:
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("what"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---- SQL functions ------------------------------------------------------------------------
 
 

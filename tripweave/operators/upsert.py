@@ -40,11 +40,14 @@ def without_keys(stored: DataFrame, batch: DataFrame, key: str | list[str]) -> D
     return kept.filter(F.col(key).isNotNull()).unionByName(is_keyless)
 
 
-def upsert(stored: DataFrame, batch: DataFrame, key: str | list[str], newest: str | None = None) -> DataFrame:
+def upsert(
+    stored: DataFrame, batch: DataFrame, key: str | list[str], newest: str | Column | None = None
+) -> DataFrame:
     """Batch rows replace stored rows of the same key; all other stored rows stay.
 
     With ``newest``, a row is replaced only by one that is not older by that column, so the result
-    does not depend on the order of batches.
+    does not depend on the order of batches. Another order of preference may be given instead, as a
+    sort expression such as ``F.col("id").asc()``.
     """
     if newest is None:
         return without_keys(stored, batch, key).unionByName(batch)
@@ -56,8 +59,9 @@ def upsert(stored: DataFrame, batch: DataFrame, key: str | list[str], newest: st
     if isinstance(key, str):
         rivals = rivals.filter(F.col(key).isNotNull())
     every = rivals.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+    order = F.col(newest).desc_nulls_last() if isinstance(newest, str) else newest
     has_key = F.lit(True) if not isinstance(key, str) else F.col(key).isNotNull()
-    best = first_rows(every.filter(has_key), keys, [F.col(newest).desc_nulls_last(), F.desc("_new")]).drop("_new")
+    best = first_rows(every.filter(has_key), keys, [order, F.desc("_new")]).drop("_new")
     return kept.unionByName(best).unionByName(batch.filter(~has_key))
 
 

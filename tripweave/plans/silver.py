@@ -50,9 +50,9 @@ def _content_order(rows: DataFrame, key: str) -> list[Column]:
     return [F.xxhash64(*[c for c in rows.columns if c != key]).asc()]
 
 
-def silver_hotel_bookings(landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True) -> DataFrame:
-    """Hotel bookings without re-submissions of the same stay at nearly the same price."""
-    rows = _cleansed(
+def hotel_rows(landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True) -> DataFrame:
+    """Cleansed hotel bookings, re-submissions included."""
+    return _cleansed(
         landed,
         HOTELS,
         {
@@ -66,12 +66,20 @@ def silver_hotel_bookings(landed: DataFrame, source_tz: str | None = None, stric
             "booking_ts": _naive("booking_ts", source_tz),
         },
     )
-    same_stay = ["customer_id", F.trim(F.lower("hotel_name")), "check_in_date", "amount_idr"]
-    return first_rows(rows, same_stay, [F.col("booking_id").asc()])
 
 
-def silver_flight_bookings(landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True) -> DataFrame:
-    rows = _cleansed(
+def same_stay() -> list[Column]:
+    return [F.col("customer_id"), F.trim(F.lower("hotel_name")), F.col("check_in_date"), F.col("amount_idr")]
+
+
+def silver_hotel_bookings(landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True) -> DataFrame:
+    """Hotel bookings without re-submissions of the same stay at nearly the same price."""
+    return first_rows(hotel_rows(landed, source_tz, strict_payment), same_stay(), [F.col("booking_id").asc()])
+
+
+def flight_rows(landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True) -> DataFrame:
+    """Cleansed flight bookings, re-submissions included."""
+    return _cleansed(
         landed,
         FLIGHTS,
         {
@@ -90,13 +98,19 @@ def silver_flight_bookings(landed: DataFrame, source_tz: str | None = None, stri
             "booking_ts": T.timestamp(F.col("booking_ts"), source_tz),
         },
     )
-    return first_rows(rows, ["email", "flight_number", "departure_ts", "amount_idr"], [F.col("booking_ref").asc()])
 
 
-def silver_experience_bookings(
-    landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True
-) -> DataFrame:
-    rows = _cleansed(
+def same_flight() -> list[Column]:
+    return [F.col(c) for c in ("email", "flight_number", "departure_ts", "amount_idr")]
+
+
+def silver_flight_bookings(landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True) -> DataFrame:
+    return first_rows(flight_rows(landed, source_tz, strict_payment), same_flight(), [F.col("booking_ref").asc()])
+
+
+def experience_rows(landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True) -> DataFrame:
+    """Cleansed experience bookings, re-submissions included."""
+    return _cleansed(
         landed,
         EXPERIENCES,
         {
@@ -112,8 +126,16 @@ def silver_experience_bookings(
             "booking_ts": T.timestamp(F.col("booking_ts"), source_tz),
         },
     )
-    same_activity = ["email", F.trim(F.lower("experience_name")), "activity_date", "amount_idr"]
-    return first_rows(rows, same_activity, [F.col("booking_ref").asc()])
+
+
+def same_activity() -> list[Column]:
+    return [F.col("email"), F.trim(F.lower("experience_name")), F.col("activity_date"), F.col("amount_idr")]
+
+
+def silver_experience_bookings(
+    landed: DataFrame, source_tz: str | None = None, strict_payment: bool = True
+) -> DataFrame:
+    return first_rows(experience_rows(landed, source_tz, strict_payment), same_activity(), [F.col("booking_ref").asc()])
 
 
 def silver_tickets(landed: DataFrame, source_tz: str | None = None) -> DataFrame:

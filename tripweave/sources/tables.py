@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,14 +167,15 @@ class MonthlyTable:
         return sorted(months)
 
     def upsert(
-        self, batch: DataFrame, newest: str | None = None, watch: Callable[[DataFrame], object] | None = None
+        self, batch: DataFrame, newest: str | Column | None = None, watch: Callable[[DataFrame], object] | None = None
     ) -> list[str]:
         """Batch rows replace stored rows of the same key; returns the months rewritten.
 
         Running it twice equals running it once. ``batch`` is read several times and must not
         depend on this table; pass a stored one. With ``newest``, a row is replaced only by one
-        that is not older by that column. Rows without a key are replaced by equal rows only.
-        ``watch`` is called with the stored rows of those months before any is replaced.
+        that is not older by that column, or that comes first by a sort expression. Rows without a key
+        are replaced by equal rows only. ``watch`` is called with the stored rows of
+        those months before any is replaced.
         """
         new = self._with_month(batch)
         if not self.exists():
