@@ -204,17 +204,23 @@ def _contact_points(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
 def customer_tickets(dim: DataFrame, tickets: DataFrame, rcid_hex: str | None = None) -> DataFrame:
     """Tickets carrying any email or any phone of a customer, newest first.
 
-    The either-or condition is two equality joins whose union is made distinct. Contact points with
-    many tickets are spread; a shared one shows its tickets once per owner, as the list asks for.
+    The either-or condition is one equality join over contact points of both kinds, made distinct. It moves ids only;
+    texts are fetched for the pairs found. Contact points with many tickets are spread; a shared one shows its tickets
+    once per owner, as the list asks for.
     """
-    parts = []
-    for point, owners in zip(("customer_email", "customer_phone"), _contact_points(_of_customer(dim, rcid_hex))):
-        keyed = tickets.filter(not_blank(F.col(point))).withColumn("_point", F.col(point))
-        owned = owners.withColumnRenamed(point, "_point")
-        held = lookup_join(keyed, owned, "_point", "ticket_id", hot_keys(keyed, "_point"))
-        parts.append(held.filter(F.col(_ID).isNotNull()).select(_ID, *tickets.columns))
-    hits = parts[0].unionByName(parts[1])
-    return hits.dropDuplicates([_ID, "ticket_id"]).orderBy(_ID, *_newest("created_at", "ticket_id"))
+    def points(emails: Column, phones: Column) -> Column:
+        marked = F.concat(
+            F.transform(emails, lambda x: F.concat(F.lit("e:"), x)), F.transform(phones, lambda x: F.concat(F.lit("p:"), x))
+        )
+        return F.explode(marked).alias("_point")
+
+    one = lambda c: F.when(not_blank(F.col(c)), F.array(c)).otherwise(F.array().cast("array<string>"))
+    keyed = tickets.select("ticket_id", points(one("customer_email"), one("customer_phone")))
+    owned = _of_customer(dim, rcid_hex).select(_ID, points(F.col("emails"), F.col("phones")))
+    held = lookup_join(keyed, owned, "_point", "ticket_id", hot_keys(keyed, "_point"))
+    hits = held.filter(F.col(_ID).isNotNull()).select(_ID, F.col("ticket_id").alias("_hit")).distinct()
+    found = hits.join(tickets, F.col("_hit").eqNullSafe(F.col("ticket_id"))).select(_ID, *tickets.columns)
+    return found.orderBy(_ID, *_newest("created_at", "ticket_id"))
 
 
 def type_gap(fact: DataFrame) -> DataFrame:
