@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripweave.llm import mixture
 from tripweave.llm.common import ready, table
@@ -54,20 +55,17 @@ def test_given_documents(spark):
     assert sorted(map(tuple, again)) == sorted(map(tuple, out))
 
 
-@pytest.mark.parametrize("bucket, slots", [(20_000, 1 << 20), (2, 300)])
-def test_uneven_sources(spark, monkeypatch, bucket, slots):
+@pytest.mark.parametrize("bucket, words", [(20_000, 1), (2, 150)])
+def test_uneven_sources(spark, monkeypatch, bucket, words):
     ready(spark)
     monkeypatch.setattr(mixture, "BUCKET_ROWS", bucket)
-    monkeypatch.setattr(mixture, "SLOTS", slots)
     rows = [(k, ("w " * (1 + k % 50)).strip(), f"s{(k % 40) ** 2 // 90}") for k in range(600)]
     rows += [(700, None, "s1"), (701, "", "empty"), (702, "a b c", None), (702, "a b c", None), (None, "x y", "s3"), (703, "big " * 9_000, "Z"), (704, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    placed, pieces = mixture.mix(df, slots=slots)
-    words = max(1, -(-int(1.5 * sum(len((t or "").split()) for _, t, _ in rows)) // slots))
-    out = mixture.taken(df).collect() if slots == 1 << 20 else None
-    if out:
-        assert len(out) == len(rows)
-        check(out, 20 * words)
+    placed, pieces = mixture.mix(df, block=words)
+    out = mixture.taken(df, block=words).collect()
+    assert len(out) == len(rows)
+    check(out, 20)
     # Every slot holds one block of its source: as many words as a block has, unless the second pass ends in it.
     filled, blocks, ends = Counter(), defaultdict(set), {}
     for p in pieces.join(placed.select("nth", "source_size").distinct(), "nth").collect():
@@ -78,15 +76,15 @@ def test_uneven_sources(spark, monkeypatch, bucket, slots):
     assert all(b == set(range(len(b))) for b in blocks.values())
 
 
-@pytest.mark.parametrize("slots", [3, 64])
-def test_small_sources_beside_a_hot_one(spark, slots):
+@pytest.mark.parametrize("block", [50_000, 2_400])
+def test_small_sources_beside_a_hot_one(spark, block):
     ready(spark)
     rows = [(k, "w " * 500, "hot") for k in range(200)] + [(300 + k, "x " * 45, "mid") for k in range(40)]
     rows += [(400, "a b c d e f g", "tiny"), (401, "one", "least"), (402, "a b c", None), (403, "", "none")]
     rows += [(500 + k, "y " * 11, f"z{k % 7}") for k in range(70)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    check(mixture.taken(df, slots=slots).collect(), 0.5)
-    placed, pieces = mixture.full_mix(df, slots=slots)
+    check(mixture.taken(df, block=block).collect(), 0.5)
+    placed, pieces = mixture.full_mix(df, block=block)
     pieces = pieces.collect()
     targets = {r["nth"]: r["target"] for r in placed.collect()}
     assert {p["nth"] for p in pieces} == {n for n, t in targets.items() if t > 0}
@@ -107,6 +105,45 @@ def test_slots_follow_the_shares(spark):
             assert abs(seen[s] - share * (slot + 1)) < 8
 
 
+def plain_order(sizes, targets, block, points):
+    """The source of each slot, from the definition: golden-ratio points through the cumulative targets."""
+    order = [s for s in sorted(sizes, key=lambda s: (s is None, (s or "").encode())) if targets[s] > 0]
+    total = sum(targets[s] for s in order)
+    ends, at = [], 0.0
+    for s in order:
+        at += targets[s]
+        ends.append((at / total, s))
+    return [next((s for end, s in ends if (k + 0.5) * 0.6180339887498949 % 1.0 < end), order[-1]) for k in range(points)]
+
+
+def test_the_schedule_places_the_documents(spark, monkeypatch):
+    """Each slot's words belong to the source that its golden-ratio point falls to; another schedule shows."""
+    ready(spark)
+    rows = [(k, "w " * (3 + k % 7), f"s{k % 5}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixture.taken(df, block=20).collect()
+    sizes, targets = Counter(), {}
+    for r in out:
+        sizes[r["source"]] += r["size"]
+        targets[r["source"]] = r["target"]
+    points = -(-sum(targets.values()) // 20)
+    plan = plain_order(sizes, targets, 20, int(points))
+    dealt = [r for r in out if r["first_slot"] is not None and r["first_slot"] < points]
+    assert len(dealt) > 350 and all(plan[r["first_slot"]] == r["source"] for r in dealt)
+    assert all((r["slots"] > 0) == (r["taken"] > 0) == (r["first_slot"] is not None) for r in out)
+    # Every stretch of the mix holds the sources in proportion.
+    for low in range(0, len(plan) - 40, 40):
+        share = Counter(plan[low : low + 40])
+        assert all(abs(share[s] - 40 * targets[s] / sum(targets.values())) < 5 for s in targets)
+    late = sum(r["first_slot"] is not None and r["first_slot"] >= points for r in out)
+    assert late < 40
+    real = mixture.schedule
+    monkeypatch.setattr(mixture, "schedule", lambda *a: real(*a).withColumn("nth", F.lit(0).cast("long")).withColumn("block", F.col("slot")))
+    wrong = mixture.taken(df, block=20).collect()
+    assert {(r["doc_id"], r["first_slot"]) for r in wrong} != {(r["doc_id"], r["first_slot"]) for r in out}
+    assert sum(r["first_slot"] is not None and r["first_slot"] >= points for r in wrong) > 4 * late
+
+
 def test_empty(spark):
     ready(spark)
     df = spark.createDataFrame([], "doc_id long, text string, source string")

@@ -1,20 +1,23 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-The mix has a fixed number of slots of equally many words. Slot i stands at the fractional part of i times the golden
+The mix has slots of ``BLOCK`` words, so their number grows with it. Slot i stands at the fractional part of i times the golden
 ratio; mapped through the cumulative target shares, the points give every source its slots, spread evenly over the
 whole mix and with a count that stays within a few slots of its share. The r-th slot of a source takes the r-th block
 of the source's words: its documents in a shuffled order, cut into blocks of equally many words; after the last
 document a second pass in another order begins. A mix takes two passes at most.
 
-The slots settle the order; the number of words is a source's rounded target, whatever the length of a block. The last
-block of a source is cut where its target ends, slots beyond that are left out, and blocks that got no slot follow at
-the end of the mix.
+The slots settle the order, which is where a document's words stand in the mix; the number of words is a source's
+rounded target, whatever the length of a block. The last block of a source is cut where its target ends, slots beyond
+that are left out, and blocks that got no slot follow at the end of the mix; a source is dealt slots to within a few of
+its share, so those are a few of each source.
 
 Targets: sources in code point order (null last) weigh 3, 1, 2, repeating, and share 150% of all words. A target stops
 at twice its source's words, and the excess is shared again by weight until none is above.
 
 Null and empty texts have size 0 and are never taken. Sources without words have target 0. An empty table gives empty
-results. Repeated rows are documents of their own. Orders are hashes, so reruns agree.
+results. Repeated rows are documents of their own. Texts of any length are counted whole. Orders are hashes, ties are
+settled by the id and the text's hash, so reruns agree. Only the id, source and text are read, so further columns of
+any name do not matter.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from tripweave.llm.common import WORD_PATTERN, stored, table
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 PASSES = 2
-SLOTS = 1 << 20  # of a mix at most; a block has at least one word
+BLOCK = 256  # words of a slot
 GOLDEN = 0.6180339887498949
 BUCKET_ROWS = 20_000  # documents of an order that are summed up together
 CHUNK = 4_096  # slots that are ranked together
@@ -146,7 +149,7 @@ def settled(plan: DataFrame, quotas: DataFrame, slots: int) -> DataFrame:
     return stored(in_time.unionByName(late), "settled")
 
 
-def full_mix(docs: DataFrame, text: str = "text", share: float = SHARE, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def full_mix(docs: DataFrame, text: str = "text", share: float = SHARE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The mixed documents, and the mix itself.
 
     The first table has a row for each document: ``doc_id, source, size, source_size, target`` and where it starts in
@@ -159,8 +162,8 @@ def full_mix(docs: DataFrame, text: str = "text", share: float = SHARE, slots: i
     targets = stored(source_targets(sizes, share), "targets")
     sums = targets.agg(F.sum("target"), F.sum("source_size")).first()
     rows = sizes.count()
-    words = max(1, ceil((sums[0] or 0.0) / slots))
-    points = round((sums[0] or 0.0) / words)
+    words = block
+    points = ceil((sums[0] or 0.0) / words)
     quotas = targets.filter("target > 0").select("nth", F.greatest(F.round("target"), F.lit(1.0)).cast("long").alias("quota"))
     quotas = quotas.withColumn("blocks", F.expr(f"(quota + {words - 1}) div {words}"))
     plan = settled(schedule(docs.sparkSession, targets, points), quotas.select("nth", "blocks"), points)
@@ -184,21 +187,28 @@ def full_mix(docs: DataFrame, text: str = "text", share: float = SHARE, slots: i
     return placed, pieces
 
 
-def mix(docs: DataFrame, text: str = "text", share: float = SHARE, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, text: str = "text", share: float = SHARE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """``full_mix`` in blocks of equal length only, without the shorter last block of a source."""
-    placed, pieces = full_mix(docs, text, share, slots)
+    placed, pieces = full_mix(docs, text, share, block)
     return placed, pieces.filter("whole").drop("whole")
 
 
-def taken(docs: DataFrame, text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken, source)``: the words the mix takes of each document."""
-    placed, pieces = full_mix(docs, text, slots=slots)
+def taken(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:
+    """``(doc_id, size, source_size, target, taken, first_slot, slots, source)``: what the mix takes of each document.
+
+    ``first_slot`` is the first slot that holds words of it (null if none does), ``slots`` how many do.
+    """
+    placed, pieces = full_mix(docs, text, block=block)
     # Two documents of a source never start at the same words, unless they are empty.
     key = ["nth", "start_1", "start_2"]
-    sums = pieces.groupBy(*key).agg(F.sum("words").alias("taken"))
+    # A document that is longer than its source's second pass may meet a slot twice; a slot counts once.
+    sums = pieces.groupBy(*key, "slot").agg(F.sum("words").alias("words")).groupBy(*key).agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("slots")
+    )
     some = placed.filter("size > 0").join(sums, key, "left")
-    none = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    columns = ["doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source"]
+    none = placed.filter("size = 0").withColumns({"taken": F.lit(0).cast("long"), "first_slot": F.lit(None).cast("long"), "slots": F.lit(0).cast("long")})
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    columns = ["doc_id", "size", "source_size", "target", zero("taken"), "first_slot", zero("slots"), "source"]
     return some.select(*columns).unionByName(none.select(*columns))
 
 
