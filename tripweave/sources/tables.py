@@ -122,9 +122,8 @@ class MonthlyTable:
         """Store the new content of some months beside the table; the second write commits it."""
         delete_path(self.spark, f"{self.path}__pending")
         df.hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key).write.parquet(self._pending_rows)
-        self.spark.createDataFrame([(m,) for m in months], f"{self.MONTH} string").coalesce(1).write.parquet(
-            self._pending_months
-        )
+        listed = F.explode(F.array(*[F.lit(m) for m in months]).cast("array<string>")).alias(self.MONTH)
+        self.spark.range(1).select(listed).coalesce(1).write.parquet(self._pending_months)
 
     def _finish(self) -> None:
         """Put prepared months in place. Doing it again changes nothing, so it may die anywhere."""
