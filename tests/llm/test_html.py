@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
+import numpy as np
 import pytest
 
 from tripweave.llm import html
@@ -39,6 +41,11 @@ def test_given_pages(spark):
     ("<article><p>Text <!-- no --> one.<br>Two <script>var x = '</p>';</script>three.</article><footer>&copy; me</footer>", "Text one. Two three."),
     ("<ARTICLE><P>A<SPAN>b</SPAN>  c<P>D</ARTICLE>", "Ab c D"),
     ("<main><p>&lt;p&gt; &#x41;&eacute;</p></main>", "<p> Aé"),
+    ("<article><p>A text, here.</p><ul><li><a href=x>Source one, the paper</a></li><li>See also the manual <a href=y>\n      &quot;here&quot;\n    </a></li></ul></article>",
+     'A text, here. Source one, the paper See also the manual "here"'),
+    ("<article><h2 id=discussion>Discussion</h2><p id=related>It goes on, and ends.</p></article>", "Discussion It goes on, and ends."),
+    ("<article><p>Before, then<svg width=1><p>after, too.</p></article>", "Before, then after, too."),
+    ("<div class=notice>We use cookies, ok?</div>", ""),
     ('<a href="#">hello</a>', ""), ("<b>bold</b>", "bold"), ("<body><nav>menu</nav></body><a href=x>ad</a>", ""),
     ("<html><body><p>A text, in one line.</p></body></html><a href=x>more</a>", "A text, in one line."),
 ])
@@ -46,6 +53,32 @@ def test_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("wrong", ["constant", "random", "turned"])
+def test_scores_choose(spark, monkeypatch, wrong):
+    """With other scores the given pages come out differently."""
+    pages = [r["html"] for r in table(spark, SF, "pages").collect() if r["html"]]
+    real, pick = html.path_scores, np.random.default_rng(1)
+    make = {
+        "constant": lambda b: np.ones(len(b)), "random": lambda b: pick.random(len(b)),
+        "turned": lambda b: 1 / (real(b) + 1e-6),
+    }
+    right = [html.main_text(p) for p in pages]
+    monkeypatch.setattr(html, "path_scores", make[wrong])
+    assert sum(html.main_text(p) == text for p, text in zip(pages, right)) < 0.1 * len(pages)
+
+
+def test_pages_without_marks(spark):
+    """Every element a div without attributes: the ratios alone still find most of the text and little else."""
+    pages = [r["html"] for r in table(spark, SF, "pages").collect() if r["html"]]
+    found = wanted = both = 0
+    for page in pages:
+        bare = re.sub(r"<(/?)(?:nav|header|footer|aside|article|section|main|ul|li|form)\b[^>]*>", r"<\1div>", page)
+        bare = re.sub(r"\s(?:class|id)=(?:\"[^\"]*\"|\S+?)(?=[\s>])", "", bare)
+        got, want = Counter(html.main_text(bare).split()), Counter(article_text(page).split())
+        found, wanted, both = found + got.total(), wanted + want.total(), both + (got & want).total()
+    assert both >= 0.99 * wanted and both >= 0.95 * found
+
+
 @pytest.mark.parametrize("times", [1, 20, 400])
 def test_lead_and_title_of_long_pages(times):
     body = "<p>The text goes on, line by line, to its end. It says more, then less.</p>" * times

@@ -2,12 +2,13 @@
 
 A page is read as a sequence of text blocks, each with its root-to-leaf path of block elements (with class and id;
 inline elements don't count). Per path, text length and punctuation are summed and divided by the number of blocks;
-both ratios are smoothed along the page, fused by multiplication, lowered by the share of link text, and compared
-with a share of their mean. The chosen paths locate the content node: the lowest element that holds (nearly) all
-chosen text, or the ``article`` or ``main`` around it. Its blocks, the chosen ones outside it and the headings before
-or between these make the text, without blocks of boilerplate elements and of link lists.
+both ratios are smoothed along the page, fused by multiplication, lowered by the share of link text and by marks of
+boilerplate (element names, classes, ids), and compared with a share of their mean. The chosen paths locate the content
+node: the lowest element that holds (nearly) all chosen text, or the ``article`` or ``main`` around it. Its unmarked
+blocks, the chosen ones outside it and the headings before or between these make the text. Link lists are left out by
+their ratio; links within the content node are text like any other.
 
-Null, empty and text-free pages give an empty text. Unclosed and stray tags are tolerated. Repeated rows give
+Null, empty and text-free pages give an empty text, as does an empty table no rows. Unclosed and stray tags are tolerated. Repeated rows give
 repeated results. Extra columns pass through; those named like an output are replaced. Whole pages are read.
 """
 
@@ -28,6 +29,7 @@ from tripweave.llm.common import table, without
 # Element names by their role in HTML, and words in class and id attributes that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe svg math object canvas".split())
+TO_THE_END = frozenset("script style title textarea".split())  # what hides the rest of a page if it is not closed
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -54,7 +56,8 @@ TOKEN = re.compile(r"""<!--|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？、]")
 SMOOTHING = np.array([0.06, 0.24, 0.4, 0.24, 0.06])
-LEAST_SHARE = 0.2  # of the mean fused ratio
+LEAST_SHARE = 0.2  # of the mean fused ratio of blocks that nothing marks
+MARKED = 0.02  # what is left of the ratio of a block that an element or attribute marks as boilerplate
 HELD = 0.95  # share of the chosen text that the content node holds
 
 
@@ -87,7 +90,7 @@ class _Page:
         if text:
             self.blocks.append(Block(
                 text, "/".join(s for _, _, s, _ in self.open), tuple(n for _, n, _, _ in self.open),
-                min(len(text), sum(len(p) for p, linked in pieces if linked)), any(b for _, _, _, b in self.open),
+                min(len(text), len(" ".join(unescape("".join(p for p, linked in pieces if linked)).split()))), any(b for _, _, _, b in self.open),
                 any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n, _, _, _ in self.open),
             ))
 
@@ -106,7 +109,9 @@ class _Page:
             self._close_until({"p"}, SCOPE)
         if name in CLOSES_SAME:
             self._close_until(CLOSES_SAME[name], SCOPE)
-        marks = [w for _, *v in ATTRIBUTE.findall(attributes) for w in "".join(v).lower().split()] if "=" in attributes else []
+        found = ATTRIBUTE.findall(attributes) if "=" in attributes else []
+        # An id on a heading, paragraph or list item is a target for links; it says nothing of the element's role.
+        marks = [w for kind, *v in found if not (name in LEAVES and kind.lower() == "id") for w in "".join(v).lower().split()]
         if name in VOID:
             return
         noise = name in BOILERPLATE or any(part in MARKS for w in marks for part in (w, *re.split(r"[^a-z0-9]+", w)))
@@ -149,6 +154,8 @@ class _Page:
                 end = low.find("</" + name, at) if len(low) == len(html) else -1
                 if end < 0 and (found := re.compile("</" + name, re.I).search(html, at)):
                     end = found.start()
+                if end < 0 and name not in TO_THE_END:
+                    continue
                 at = len(html) if end < 0 else (html.find(">", end) + 1 or len(html))
             elif name in INLINE:
                 self.inline.append(name)
@@ -162,7 +169,10 @@ class _Page:
 
 
 def path_scores(blocks: list[Block]) -> np.ndarray:
-    """Fused ratio of each block: smoothed text length times smoothed punctuation of its path, less link text."""
+    """Fused ratio of each block: smoothed text length times smoothed punctuation of its path, less link text.
+
+    Blocks inside elements that are marked as boilerplate have little of it left.
+    """
     _, where = np.unique([b.path for b in blocks], return_inverse=True)
     n = np.bincount(where)
     length = np.bincount(where, [len(b.text) for b in blocks])
@@ -175,18 +185,23 @@ def path_scores(blocks: list[Block]) -> np.ndarray:
         return np.convolve(values, SMOOTHING, "full")[2 : 2 + len(values)] / weight
 
     fused = along(length) * (along(marks) + 0.1) * (1 - links / length)[where]
-    return (np.bincount(where, fused) / n)[where]
+    return (np.bincount(where, fused) / n)[where] * np.where([b.boilerplate for b in blocks], MARKED, 1.0)
 
 
 def content_blocks(page: _Page) -> list[Block]:
-    """Blocks of chosen paths and of the content node, and headings above them, in page order."""
-    blocks = [b for b in page.blocks if not b.boilerplate]
-    if not blocks:
+    """Blocks of chosen paths and of the content node, and headings above them, in page order.
+
+    The node is the deepest element that holds nearly all of the chosen text (the article or main element around it, if
+    there is one). In it, short blocks belong to the text too, unless they are marked as boilerplate.
+    """
+    blocks = page.blocks
+    if all(b.boilerplate for b in blocks):
         return []
     scores = path_scores(blocks)
-    chosen = scores >= LEAST_SHARE * scores.mean()
-    if not chosen.any():
-        return blocks
+    usual = scores[[not b.boilerplate for b in blocks]].mean()
+    chosen = (scores >= LEAST_SHARE * usual) & (scores > 0)
+    if not usual or not chosen.any():
+        return [b for b in blocks if not b.boilerplate and b.elements and page.names[b.elements[-1]] == "p"]
     held: dict[int, int] = {}
     total = 0
     for b, own in zip(blocks, chosen):
@@ -198,13 +213,11 @@ def content_blocks(page: _Page) -> list[Block]:
     node = max(inner, default=None)
     around = next((b.elements for b in blocks if node in b.elements), ())
     node = next((e for e in around if page.names[e] in ("article", "main") and e <= (node or 0)), node)
-    if node is None or page.names[node] in ("body", "html"):
-        inside = [b for b, own in zip(blocks, chosen) if own or b.heading]
-    else:
-        wanted = [bool(own) or node in b.elements for b, own in zip(blocks, chosen)]
-        last = max(k for k, want in enumerate(wanted) if want)
-        inside = [b for k, b in enumerate(blocks) if wanted[k] or (b.heading and k < last)]
-    return [b for b in inside if b.heading or 2 * b.links <= len(b.text) or (b.elements and page.names[b.elements[-1]] == "p")]
+    if node is not None and page.names[node] in ("body", "html"):
+        node = None
+    wanted = [bool(own) or (node in b.elements and not b.boilerplate) for b, own in zip(blocks, chosen)]
+    last = max(k for k, want in enumerate(wanted) if want) if node is not None else len(blocks)
+    return [b for k, b in enumerate(blocks) if wanted[k] or (b.heading and not b.boilerplate and k < last)]
 
 
 def main_text(html: str | None) -> str:
