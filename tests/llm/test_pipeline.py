@@ -20,7 +20,7 @@ def test_stages(spark):
             judged = toxicity.score(docs, toxicity.fit(docs, table(spark, SF, "labels")))
             want = {r["doc_id"] for r in judged.collect() if r["score"] < 0.5}
         elif name == "language_id":
-            want = {r["doc_id"] for r in language.predict(docs, language.fit(docs)).collect() if r["lang_pred"] != "und" and r["score"] >= 0.5}
+            want = {r["doc_id"] for r in language.predict(docs, language.fit(docs)).collect() if r["lang_pred"] != "und"}
         elif name == "jaccard_join":
             want = {i for i, _, c in components([(i, r["text"]) for i, r in before.items()]) if i == c}
         elif name == "decontamination":
