@@ -349,7 +349,7 @@ check("churn_score", f"select resolved_customer_id, {dec('churn_risk_score')} fr
 check("recommended_action", "select resolved_customer_id, recommended_action from mart")
 
 # Reachability over shared phones; UNION drops repeated pairs, so the recursion ends.
-CHECKS["identity_components"] = query(
+CHECKS["identity_components"] = CHECKS["identity_components_daily"] = query(
     """select e.email, coalesce(min(r.reached), e.email) as component_email from every_email e
 left join reach r on r.origin = e.email group by e.email""",
     every_email="""select email from people union select email from vendor_feed

@@ -14,6 +14,7 @@ from tripweave.functions import display
 from tripweave.functions import sql as sql_functions
 from tripweave.functions import temporal
 from tripweave.functions.identity import hex_id, resolved_id
+from tripweave.operators import components
 from tripweave.operators.components import identity_components
 from tripweave.operators.reconcile import latest_scan, total_mismatches
 from tripweave.operators.search import SearchFilter
@@ -680,6 +681,28 @@ def _(w):
     )
 
 
+@query("identity_components_daily")
+def _(w):
+    """The bridge after three days: some contacts, then all with wrong phones among them, then without the wrong ones."""
+    customers, tickets = w.table("silver_customers"), w.table("silver_tickets")
+    base = scratch(w, "components-daily")
+    right = components.contact_pairs(customers, tickets)
+    # Wrong phones are shared by many, so the second day joins what the third has to part again.
+    wrong = right.select("u", F.substring("v", 1, 9).alias("v")).filter(F.crc32("u") % 7 == 0)
+    days = [right.filter(F.crc32("u") % 3 > 0), right.unionByName(wrong).distinct(), right]
+    labels, before = None, None
+    for day, pairs in enumerate(days):
+        pairs = SnapshotTable(w.spark, f"{base}/pairs").write(pairs)
+        if labels is None:
+            now = components.components(pairs)
+        else:
+            now = components.updated_components(labels, pairs, *components.pair_changes(before, pairs))
+        labels, before = SnapshotTable(w.spark, f"{base}/labels").write(now), pairs
+    return components.email_components(
+        labels, customers, w.table("silver_flight_bookings"), w.table("silver_experience_bookings"), tickets
+    )
+
+
 # ---- order reconciliation and re-scans ----------------------------------------------------
 
 

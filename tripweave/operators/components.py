@@ -64,13 +64,24 @@ def components(edges: DataFrame) -> DataFrame:
     return leaves.unionByName(roots)
 
 
-def identity_components(customers: DataFrame, flights: DataFrame, experiences: DataFrame, tickets: DataFrame) -> DataFrame:
-    """Every known email with the least email it is linked to through shared phones."""
-    pairs = contact_edges(customers, tickets).select(
+def contact_pairs(customers: DataFrame, tickets: DataFrame) -> DataFrame:
+    """Contact edges as pairs ``(u, v)`` of marked nodes."""
+    return contact_edges(customers, tickets).select(
         F.concat(F.lit("e:"), "email").alias("u"), F.concat(F.lit("p:"), "phone").alias("v")
     )
+
+
+def identity_components(customers: DataFrame, flights: DataFrame, experiences: DataFrame, tickets: DataFrame) -> DataFrame:
+    """Every known email with the least email it is linked to through shared phones."""
+    return email_components(components(contact_pairs(customers, tickets)), customers, flights, experiences, tickets)
+
+
+def email_components(
+    labels: DataFrame, customers: DataFrame, flights: DataFrame, experiences: DataFrame, tickets: DataFrame
+) -> DataFrame:
+    """The same from the ``(node, component)`` of contact pairs."""
     # Emails sort before phones, so the least node of a component is an email.
-    linked = components(pairs).filter(F.col("node").startswith("e:")).select(
+    linked = labels.filter(F.col("node").startswith("e:")).select(
         F.substr("node", F.lit(3)).alias("email"), F.substr("component", F.lit(3)).alias("component_email")
     )
     emails = (
@@ -81,3 +92,45 @@ def identity_components(customers: DataFrame, flights: DataFrame, experiences: D
     return emails.join(linked, "email", "left").select(
         "email", F.coalesce("component_email", "email").alias("component_email")
     )
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+
+
+def updated_components(labels: DataFrame, pairs: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """``(node, component)`` of all ``pairs``, from the labels before some were ``added`` and others ``removed``.
+
+    A component that lost a pair is made anew from its own pairs. Added pairs then join components: each end stands for
+    its component, so only components that a change touches take part in the rounds, as one node each. All other labels
+    are passed on in one pass. Labels and pairs are read several times and should be stored.
+    """
+    spark = pairs.sparkSession
+    ensure_checkpoint_dir(spark)
+    torn = labels.join(_ends(removed), "node", "left_semi").select("component").distinct()
+    loose = labels.join(torn, "component", "left_semi").select("node").checkpoint()
+    whole = labels.join(torn, "component", "left_anti")
+    if not loose.isEmpty():
+        inner = pairs.join(loose.select(F.col("node").alias("u")), "u", "left_semi").join(
+            loose.select(F.col("node").alias("v")), "v", "left_semi"
+        )
+        # Nodes that lost their last pair have no label any more.
+        whole = whole.unionByName(components(inner.select("u", "v")).select("component", "node"))
+    whole = whole.select("node", "component").checkpoint()
+    fresh = _ends(added).join(whole, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    ends = fresh.checkpoint()
+    lifted = added.join(ends.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u").join(
+        ends.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v"
+    )
+    # A component's name is its least node, so the least name is the name of the joined one.
+    joined = components(lifted.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+    renamed = joined.select(F.col("node").alias("component"), F.col("component").alias("renamed"))
+    every = whole.unionByName(ends.join(whole, "node", "left_anti"))
+    return every.join(renamed, "component", "left").select("node", F.coalesce("renamed", "component").alias("component"))
+
+
+def pair_changes(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs that came and pairs that went, of two sets of different pairs."""
+    sides = before.select("u", "v", F.lit(-1).alias("side")).unionByName(after.select("u", "v", F.lit(1).alias("side")))
+    balance = sides.groupBy("u", "v").agg(F.sum("side").alias("side"))
+    return balance.filter("side > 0").select("u", "v"), balance.filter("side < 0").select("u", "v")
