@@ -438,6 +438,8 @@ def _term(term: str) -> str:
 
 check("customer_search", _found())
 check("customer_search_term", _found(_term("R1")))
+for _key, _words in (("indexed", "wijaya"), ("indexed_pattern", "wi%aya"), ("indexed_digits", "628"), ("indexed_short", "R1")):
+    check(f"customer_search_{_key}", _found(_term(_words)))
 check("customer_search_tiers", _found("loyalty_tier in ('silver', 'churn_risk')"))
 check("customer_search_churn", _found("churn_risk_score >= 0.2 and churn_risk_score <= 0.6"))
 check("customer_search_actions", _found("recommended_action in ('reactivate', 'cross_sell')"))

@@ -20,7 +20,7 @@ from tripweave.operators.reconcile import latest_scan, total_mismatches
 from tripweave.operators.search import SearchFilter
 from tripweave.operators.skew import not_blank
 from tripweave.operators.upsert import merge_into, same, upsert
-from tripweave.plans import facts, identity, marts, quality, serving, silver, sketches
+from tripweave.plans import facts, identity, marts, quality, search_index, serving, silver, sketches
 from tripweave.plans.build import Warehouse
 from tripweave.plans.daily import DailyJob
 from tripweave.plans.marts import ROUTE_KEYS, route_rows
@@ -823,6 +823,25 @@ def _(w):
     return serving.customer_search_count(w.table("mart_customer_clv"), w.table("dim_customer"), where)
 
 
+INDEXED = {
+    "customer_search_indexed": "wijaya",
+    "customer_search_indexed_pattern": "wi%aya",
+    "customer_search_indexed_digits": "628",
+    "customer_search_indexed_short": "R1",
+}
+
+
+def _indexed(w: Warehouse, term: str) -> DataFrame:
+    """The search for a term, over the customers that the posting lists leave."""
+    dim = w.table("dim_customer")
+    few = search_index.reduced(dim, w.search_postings(), term)
+    return serving.customer_search(w.table("mart_customer_clv"), few, SearchFilter(term=term))
+
+
+for _name, _words in INDEXED.items():
+    query(_name)(lambda w, term=_words: _indexed(w, term))
+
+
 # ---- saved query templates ----------------------------------------------------------------
 
 

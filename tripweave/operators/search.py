@@ -50,13 +50,14 @@ def _all(parts: list[Column]) -> Column:
 
 
 def matches_term(term: str) -> Column:
-    """Name by pattern (``%`` and ``_`` are live), email, phone and hex id by plain text."""
+    """Name by pattern (``%`` and ``_`` are live, a backslash is itself), email, phone and hex id by plain text."""
     low = term.lower()
+    pattern = term.replace("\\", "\\\\")
 
     def holds(c: Column) -> Column:
         return F.contains(F.lower(c), F.lit(low))
 
-    name = F.coalesce(F.col("name_std").ilike(f"%{term}%"), F.lit(False))
+    name = F.coalesce(F.col("name_std").ilike(f"%{pattern}%"), F.lit(False))
     return (
         name
         | F.exists("emails", holds)

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.plans import facts, identity, marts, silver, sketches
+from tripweave.plans import facts, identity, marts, search_index, silver, sketches
 from tripweave.session import prepare, shared_root
 from tripweave.sources import fixtures
 from tripweave.sources.reference_data import holiday_calendar
@@ -124,5 +124,13 @@ class Warehouse:
             self._stored["route_sketches"] = SnapshotTable(self.spark, f"{self.root}/route_sketches").write(rows)
         return self._stored["route_sketches"]
 
+    def search_postings(self) -> DataFrame:
+        """Stored posting lists of the customers."""
+        path = f"{self.root}/search_postings"
+        if "search_postings" not in self._stored:
+            search_index.write_postings(self.table("dim_customer"), path)
+            self._stored["search_postings"] = search_index.read_postings(self.spark, path)
+        return self._stored["search_postings"]
+
     def support(self) -> DataFrame:
         return identity.support_agg(identity.ticket_summaries(self.table("ticket_links"), self.anchors()))
