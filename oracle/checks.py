@@ -348,6 +348,15 @@ check("support_agg", f"""select resolved_customer_id, critical_ticket_count, {de
 check("churn_score", f"select resolved_customer_id, {dec('churn_risk_score')} from mart")
 check("recommended_action", "select resolved_customer_id, recommended_action from mart")
 
+_LISTS = """select resolved_customer_id, 'emails' as list, emails as v from dim
+union all select resolved_customer_id, 'phones', phones from dim
+union all select resolved_customer_id, 'source_customer_ids', source_customer_ids from dim"""
+check("customer_list_chunks", """select resolved_customer_id, list, chunk, len(v[3 * chunk + 1 : 3 * chunk + 3]) as n_values,
+  array_to_string(v[3 * chunk + 1 : 3 * chunk + 3], '|') as values
+from (select *, unnest(range(0, cast(ceil(len(v) / 3.0) as bigint))) as chunk from lists)""", lists=_LISTS)
+check("customer_short_lists", """select resolved_customer_id, list, len(v) as n_values,
+  case when len(v) <= 1000 then array_to_string(v, '|') else '' end as values from lists where len(v) > 0""", lists=_LISTS)
+
 # Reachability over shared phones; UNION drops repeated pairs, so the recursion ends.
 CHECKS["identity_components"] = CHECKS["identity_components_daily"] = query(
     """select e.email, coalesce(min(r.reached), e.email) as component_email from every_email e

@@ -20,7 +20,7 @@ from tripweave.operators.reconcile import latest_scan, total_mismatches
 from tripweave.operators.search import SearchFilter
 from tripweave.operators.skew import not_blank
 from tripweave.operators.upsert import merge_into, same, upsert
-from tripweave.plans import facts, identity, marts, quality, search_index, serving, silver, sketches
+from tripweave.plans import facts, identity, lists, marts, quality, search_index, serving, silver, sketches
 from tripweave.plans.build import Warehouse
 from tripweave.plans.daily import DailyJob
 from tripweave.plans.marts import ROUTE_KEYS, route_rows
@@ -681,6 +681,18 @@ def _(w):
     )
 
 
+@query("customer_list_chunks")
+def _(w):
+    """Emails, phones and source ids of every customer in rows of at most three values."""
+    return lists.chunked_lists(w.table("customer_records"), 3)
+
+
+@query("customer_short_lists")
+def _(w):
+    """The lists as arrays where they are one chunk of the usual size."""
+    return lists.short_lists(lists.chunked_lists(w.table("customer_records")))
+
+
 @query("identity_components_daily")
 def _(w):
     """The bridge after three days: some contacts, then all with wrong phones among them, then without the wrong ones."""
