@@ -23,6 +23,46 @@ def test_given_notices(spark):
     assert want and want <= found
 
 
+def common(a, b):
+    """Length of a longest common subsequence, by the table of all prefixes."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_every_find_is_there(spark):
+    """No false finds: the stretch holds the share of the template's words that is claimed, in order."""
+    texts = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").select("doc_id", "text").collect()}
+    rows = licenses.op8_license_scan(spark, SF).collect()
+    for r in rows:
+        template = licenses.words_of(licenses.TEMPLATES[r["license"]])[0]
+        stretch = licenses.words_of(texts[r["doc_id"]][r["start_char"] : r["end_char"]])[0]
+        assert common(template, stretch) >= r["n_words"] >= licenses.COVERAGE * len(template)
+        assert r["coverage"] == pytest.approx(r["n_words"] / len(template))
+    # Whole notices are found in just the documents that hold their words one after the other.
+    for name in ("mit-notice", "cc-by-nc-4.0-notice", "all-rights-reserved", "gpl-3.0-notice"):
+        notice = f" {' '.join(licenses.words_of(licenses.TEMPLATES[name])[0])} "
+        want = {i for i, t in texts.items() if notice in f" {' '.join(licenses.words_of(t or '')[0])} "}
+        assert {r["doc_id"] for r in rows if r["license"] == name and r["coverage"] == 1.0} == want
+
+
+def test_templates_from_a_table(spark):
+    ready(spark)
+    rows = [("own", "This text may be used by friends of the house only."), ("none", None), (None, "x"), ("blank", " . ")]
+    found = licenses.templates_from(spark.createDataFrame(rows, "name string, text string"))
+    assert list(found) == ["own"]
+    docs = spark.createDataFrame([(1, "It says: this text may be used by friends of the house only!"), (2, "nothing")], "doc_id long, text string")
+    assert [[x["license"] for x in r["licenses"]] for r in licenses.scan(docs, found).orderBy("doc_id").collect()] == [["own"], []]
+    twice = spark.createDataFrame([("a", "x y"), ("a", "z")], "name string, text string")
+    with pytest.raises(ValueError):
+        licenses.templates_from(twice)
+    with pytest.raises(ValueError):
+        licenses.templates_from(twice, most=1)
+
+
 @pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
 def test_each_template_is_found_where_it_stands(name):
     index = licenses.TemplateIndex(licenses.TEMPLATES)

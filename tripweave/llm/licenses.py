@@ -172,6 +172,18 @@ class TemplateIndex:
         ]
 
 
+def templates_from(df: DataFrame, name: str = "name", text: str = "text", most: int = 5_000) -> dict[str, str]:
+    """Templates of a table, for :func:`scan`; rows without a name or a word are left out, equal names are refused.
+
+    Templates go to every task, so a table of more than ``most`` is refused too.
+    """
+    rows = df.select(F.col(name).alias("name"), F.col(text).alias("text")).filter("name is not null and text is not null")
+    found = [(r["name"], r["text"]) for r in rows.limit(most + 1).collect()]
+    if len(found) > most or len({n for n, _ in found}) < len(found):
+        raise ValueError(f"templates need different names and may be {most} at most")
+    return {n: t for n, t in found if WORD.search(t)}
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "text") -> DataFrame:
     """Append ``licenses``: name, coverage, stretch in characters and matched words of each find."""
 
