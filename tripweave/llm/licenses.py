@@ -8,8 +8,8 @@ that is repeated is found each time.
 
 Words are runs of letters and digits (inner dots, hyphens and plus signs stay), lower-cased. Null and empty texts hold
 no license. Of overlapping finds the one that matched most words stays (ties: the first template by name). Repeated
-rows give repeated results; extra columns pass through and those named like the output are replaced. Whole texts are
-read; memory follows one text.
+rows give repeated results, an empty table none; extra columns pass through and those named like the output are
+replaced. Whole texts are read; memory follows one text.
 """
 
 from __future__ import annotations

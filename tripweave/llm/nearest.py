@@ -9,6 +9,7 @@ double precision from the original vectors, a heap keeps each query's k best of
 The result is exact: recall is 1. Ties go to the smaller id. Vectors that are null, empty, zero, or hold a null or
 non-finite component take no part, nor do rows without an id. Repeated rows count once. Vectors of another length
 than the query's are no candidates. Fewer than k candidates are all returned; an empty table gives an empty result.
+Only the id and the vector are read, so further columns of any name do not matter.
 """
 
 from __future__ import annotations

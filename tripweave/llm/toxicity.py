@@ -7,8 +7,8 @@ alone, and the fitted sentence probabilities locate the offending sentences.
 A word's weight is the sum over its features: the lower-cased word and its prefixes of 3 to 6 letters. A sentence
 counts each of its words once. Features are those that differ most between the classes by document counts.
 
-Nulls and empty texts have no sentence, hence score 0. Repeated rows get equal scores. Without labels of both
-classes every score is 0. Extra columns pass through; those named like an output are replaced.
+Nulls and empty texts have no sentence, hence score 0. Texts of any length are judged whole, sentence by sentence.
+Repeated rows get equal scores. Without labels of both classes every score is 0; an empty table gives no rows. Extra columns pass through; those named like an output are replaced.
 """
 
 from __future__ import annotations
