@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tripweave.operators.skew import not_blank
 from tripweave.operators.upsert import merge_into, same, upsert
 from tripweave.plans import facts, identity, lists, marts, quality, search_index, serving, silver, sketches
 from tripweave.plans.build import Warehouse
-from tripweave.plans.daily import DailyJob
+from tripweave.plans.daily import DailyJob, together
 from tripweave.plans.marts import ROUTE_KEYS, route_rows
 from tripweave.schema import CUSTOMERS, EXPERIENCES, FLIGHTS, GOLD_KEYS, HOTELS, LANDED, SILVER_KEYS, TICKETS, LandedTable
 from tripweave.sources import landing
@@ -1026,9 +1027,12 @@ HALF_YEAR = "2026-07-01"
 def _landed_job(w: Warehouse, name: str) -> DailyJob:
     """A job with all landed tables in place."""
     job = DailyJob(w.spark, scratch(w, name), w.as_of)
-    for table in LANDED:
+
+    def land(table: str) -> None:
         rows = landing.conform(w.landed(table), LANDED[table])
         landing.clustered(rows, LANDED[table]).write.partitionBy("ingest_date").parquet(job.bronze_path(table))
+
+    together({table: partial(land, table) for table in LANDED})
     return job
 
 

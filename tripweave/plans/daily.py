@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +38,13 @@ _KEPT: dict[str, tuple[Figures, list[str]]] = {
 }
 
 
+def together(calls: dict[str, Callable[[], object]]) -> dict:
+    """Results of independent calls by name; their Spark jobs run side by side, so small ones do not wait in line."""
+    with ThreadPoolExecutor(max(1, len(calls))) as pool:
+        running = {name: pool.submit(call) for name, call in calls.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
 def _one_of(c: Column, values: list) -> Column:
     """Null-safe membership, never NULL."""
     known = [v for v in values if v is not None]
@@ -77,7 +87,7 @@ class DailyJob:
 
     @property
     def _unfinished(self) -> str:
-        """Stands while tables and the figures kept of them may differ; found at the start, figures are made anew."""
+        """Stands while a run is on; found at the start, what is kept beside the tables is made anew from them."""
         return f"{self.root}/stage/unfinished"
 
     def _upsert(self, name: str, table: MonthlyTable, batch: DataFrame, full_refresh: bool) -> list[str] | None:
@@ -126,44 +136,60 @@ class DailyJob:
         delivered: dict[str, DataFrame] = {}
         tables: dict[str, MonthlyTable] = {}
         months: dict[str, list[str] | None] = {}
-        for name, (source, model) in silver.MODELS.items():
+
+        def cleanse(name: str) -> tuple[DataFrame, MonthlyTable, list[str] | None]:
+            source, model = silver.MODELS[name]
             # The batch is stored first: the upsert and the fact table read it again.
             batch = self._snapshot("batch", name).write(model(landing.window(self.bronze(source), low, high)))
-            tables[name] = self._monthly(f"silver/{name}", SILVER_KEYS[name], _EVENT_TIME[name], batch)
-            months[name] = self._upsert(name, tables[name], batch, full_refresh)
-            t[name], delivered[name] = tables[name].read(), batch
+            table = self._monthly(f"silver/{name}", SILVER_KEYS[name], _EVENT_TIME[name], batch)
+            return batch, table, self._upsert(name, table, batch, full_refresh)
+
+        for name, done in together({n: partial(cleanse, n) for n in silver.MODELS}).items():
+            delivered[name], tables[name], months[name] = done
+            t[name] = tables[name].read()
 
         anchors = identity.app_anchors(t["silver_customers"])
-        vendors = self._kept("vendor_emails", tables, months, anew)
-        spent = self._kept("hotel_value", tables, months, anew)
-        contacts = self._kept("contacts", tables, months, anew)
-        links = self._snapshot("stage", "ticket_links").write(identity.contact_links(contacts, anchors))
-        self._update_fact(t, delivered, identity.customer_keys(anchors, vendors), full_refresh, tables, months)
-        bookings = self._kept("booking_figures", tables, months, anew)
-        delete_path(self.spark, self._unfinished)
+        of_sources = together({n: partial(self._kept, n, tables, months, anew) for n in ("vendor_emails", "hotel_value", "contacts")})
+        vendors, spent, contacts = of_sources["vendor_emails"], of_sources["hotel_value"], of_sources["contacts"]
+
+        def write_fact() -> DataFrame:
+            self._update_fact(t, delivered, identity.customer_keys(anchors, vendors), full_refresh, tables, months)
+            return self._kept("booking_figures", tables, months, anew)
+
+        made = together({
+            "links": lambda: self._snapshot("stage", "ticket_links").write(identity.contact_links(contacts, anchors)),
+            "records": lambda: self._snapshot("stage", "customer_records").write(
+                identity.customer_records(anchors, vendors, t["silver_tickets"])
+            ),
+            "bookings": write_fact,
+        })
+        links, records, bookings = made["links"], made["records"], made["bookings"]
 
         def gold(name: str, plan: DataFrame) -> None:
             # One narrow pass: the plan holds every customer, as dormancy moves with the date.
             t[name] = self._snapshot("gold", name).write(plan, lookup=GOLD_KEYS[name])
 
-        records = self._snapshot("stage", "customer_records").write(
-            identity.customer_records(anchors, vendors, t["silver_tickets"])
-        )
-        people = identity.customer_rows(t["silver_customers"], spent, vendors, links, self.as_of)
-        gold("dim_customer", identity.with_lists(people, records))
-        support = identity.support_agg(identity.ticket_summaries(links, anchors))
-        known = marts.kept_booking_figures(bookings).filter(F.col("resolved_customer_id").isNotNull())
-        gold("mart_customer_clv", marts.value_mart(t["dim_customer"], known, support))
-        # A route's month depends on the bookings of that month only, so the rows of rewritten months
-        # are replaced as a whole. Their text key may be missing and takes no part.
-        routes = self._snapshot("gold", "mart_route_monthly")
-        rewritten = None if anew else months["fact_bookings"]
-        fresh = marts.mart_route_monthly(tables["fact_bookings"].read(rewritten), self.calendar)
-        if rewritten is not None and routes.exists():
-            first_days = [None if m == "none" else date.fromisoformat(f"{m}-01") for m in rewritten]
-            stays = routes.read().filter(~_one_of(F.col("year_month"), first_days))
-            fresh = stays.unionByName(fresh)
-        t["mart_route_monthly"] = routes.write(fresh, lookup=GOLD_KEYS["mart_route_monthly"])
+        def customers() -> None:
+            people = identity.customer_rows(t["silver_customers"], spent, vendors, links, self.as_of)
+            gold("dim_customer", identity.with_lists(people, records))
+            support = identity.support_agg(identity.ticket_summaries(links, anchors))
+            known = marts.kept_booking_figures(bookings).filter(F.col("resolved_customer_id").isNotNull())
+            gold("mart_customer_clv", marts.value_mart(t["dim_customer"], known, support))
+
+        def routes() -> None:
+            # A route's month depends on the bookings of that month only, so the rows of rewritten months
+            # are replaced as a whole. Their text key may be missing and takes no part.
+            table = self._snapshot("gold", "mart_route_monthly")
+            rewritten = None if anew else months["fact_bookings"]
+            fresh = marts.mart_route_monthly(tables["fact_bookings"].read(rewritten), self.calendar)
+            if rewritten is not None and table.exists():
+                first_days = [None if m == "none" else date.fromisoformat(f"{m}-01") for m in rewritten]
+                stays = table.read().filter(~_one_of(F.col("year_month"), first_days))
+                fresh = stays.unionByName(fresh)
+            t["mart_route_monthly"] = table.write(fresh, lookup=GOLD_KEYS["mart_route_monthly"])
+
+        together({"customers": customers, "routes": routes})
+        delete_path(self.spark, self._unfinished)
         return t
 
     def _update_fact(

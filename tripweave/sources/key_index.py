@@ -70,10 +70,10 @@ class KeyIndex:
     def drop(self) -> None:
         delete_path(self.spark, self.path)
 
-    def rebuild(self, pairs: DataFrame) -> None:
-        """Start anew from ``(key, month)``; filters get twice the room that these keys need."""
+    def rebuild(self, pairs: DataFrame, rows: int | None = None) -> None:
+        """Start anew from ``(key, month)``, of ``rows`` at most; filters get twice the room that these keys need."""
         pairs = pairs.filter("key is not null").distinct()
-        need = 2 * pairs.count() * BITS_PER_KEY // (64 * self.buckets)
+        need = 2 * (pairs.count() if rows is None else rows) * BITS_PER_KEY // (64 * self.buckets)
         self.drop()
         self._append(pairs, max(LEAST_WORDS, 1 << need.bit_length()))
 

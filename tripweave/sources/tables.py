@@ -150,7 +150,9 @@ class MonthlyTable:
         self.index.drop()
         self._prepare(rows, ["*"])
         self._finish()
-        self.index.rebuild(self._pairs(self._stored()))
+        stored = self._stored()
+        # Parquet footers have the number of rows.
+        self.index.rebuild(self._pairs(stored), stored.count())
 
     def replace_all(self, df: DataFrame) -> None:
         """Static overwrite: keys absent from ``df`` disappear."""
