@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import is_fold, stored, table, without
+from tripweave.llm.common import give_back, is_fold, stored, table, without
 
 ORDER = 4
 PER_LANGUAGE = 1_500  # labelled documents of each language to fit on
@@ -199,7 +199,10 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_language: int =
         return None
     lang = np.array(found["lang"].to_pylist())
     gram, n = found["gram"].to_numpy().astype(np.uint64), found["n"].to_numpy()
-    return compile_trees({x: (gram[lang == x], n[lang == x]) for x in sorted(set(lang))})
+    trees = compile_trees({x: (gram[lang == x], n[lang == x]) for x in sorted(set(lang))})
+    del found, lang, gram, n
+    give_back()
+    return trees
 
 
 def classify(texts: list[str | None], trees: ContextTrees) -> list[dict]:
