@@ -175,3 +175,10 @@ def test_intermediate_tables_are_deleted(spark, synthetic):
     out = jaccard.near_duplicates(spark.createDataFrame(synthetic[:60], "doc_id long, text string"))
     assert {p.name for p in set(root.glob("jaccard-*/*")) - before} == {"classified", "least"}
     assert out.count() == 60
+
+
+def test_frequent_elements_are_counted_in_all_documents(spark):
+    ready(spark)
+    docs = spark.range(0, 45_000, 1, 3).selectExpr("concat('one two three four five x', id) as text")
+    elements, times, _ = jaccard.frequent_elements(docs)
+    assert elements.tolist() == sorted(elements.tolist()) and times.tolist() == [45_000]

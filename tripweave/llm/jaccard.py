@@ -41,9 +41,7 @@ from tripweave.llm.common import Scratch, WordHashes, mix64, shingled, table, wi
 from tripweave.llm.links import components
 
 SIZE = 5
-SAMPLE = 20_000  # documents, about, whose frequent shingles are counted
-SAMPLE_TASKS = 16
-COUNT_CHUNK = 1 << 21  # shingles counted together when frequent ones are looked for
+COUNT_CHUNK = 1 << 21  # shingles of a task looked through together for frequent ones
 FREQUENT = 200_000  # elements that are moved to the end of the order at most; they are broadcast
 SCAN_COST = 4.0  # of comparing with one member of a list, against writing one list entry
 REMEMBERED = 50_000  # sets of which a task knows that it has filed them
@@ -72,56 +70,80 @@ def boundary(list_length: float) -> int:
     return n
 
 
-def frequent_elements(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
-    """Elements that repeat among some documents, how often they do, and the mean number of others that repeat with one.
+def _distinct_sets(texts: Iterator[pa.Array]) -> Iterator[np.ndarray]:
+    """The shingle sets of a task's texts; a set that the task remembers is left out."""
+    memo, seen = WordHashes(), set()
+    for part in texts:
+        for own in shingle_sets(part, memo):
+            mark = xxh3_64_intdigest(own.tobytes())
+            if mark in seen:
+                continue
+            if len(seen) >= REMEMBERED:
+                seen.clear()
+            seen.add(mark)
+            yield own
 
-    They are counted over about ``sample`` rows, those with the smallest hashes of id and text, so reruns agree. The
-    order of elements decides how much work is done, never what is found.
+
+def frequent_elements(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
+    """Elements that repeat, how many sets have them, and the mean number of others that repeat with one.
+
+    All documents are read, twice. First each task looks for elements that repeat among ``COUNT_CHUNK`` shingles or
+    more; the most frequent of these by the sum over all tasks are chosen. Then the chosen ones are counted in every
+    document. Copies of a text that a task remembers count once, as they are filed once. The order of elements decides
+    how much work is done, never what is found.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, held, size, total, seen = WordHashes(), [], 0, 0, set()
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, total = [], 0, 0
 
         def drain():
             e, n = np.unique(np.concatenate(held) if held else np.empty(0, np.uint64), return_counts=True)
             many = n > 1
             return pa.RecordBatch.from_pydict({"e": pa.array(e[many].view(np.int64)), "n": pa.array(n[many].astype(np.int64))})
 
-        for batch in batches:
-            for own in shingle_sets(batch.column(0), memo):
-                mark = xxh3_64_intdigest(own.tobytes())
-                if mark in seen:
-                    continue
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen.add(mark)
-                held.append(own)
-                size += len(own)
-                total += len(own)
-                if size >= COUNT_CHUNK:
-                    yield drain()
-                    held, size = [], 0
+        for own in _distinct_sets(batch.column(0) for batch in batches):
+            held.append(own)
+            size += len(own)
+            total += len(own)
+            if size >= COUNT_CHUNK:
+                yield drain()
+                held, size = [], 0
         yield drain()
         # The element 0 stands for the number of all.
         yield pa.RecordBatch.from_pydict({"e": pa.array([0], pa.int64()), "n": pa.array([total], pa.int64())})
 
-    scratch = Scratch(docs.sparkSession, "frequent")
-    rows = docs.count()
-    share = min(1.0, sample / max(1, rows))
-    few = docs.filter(F.shiftrightunsigned(F.xxhash64(*docs.columns), 33) < share * (1 << 31))
-    # Few tasks, so that what repeats does so within one.
-    few = few.select(text).coalesce(SAMPLE_TASKS)
-    counts = scratch.stored(few.mapInArrow(count, "e long, n long").groupBy("e").agg(F.sum("n").alias("n")), "counts")
-    top = counts.filter("e <> 0").orderBy(F.desc("n"), "e").limit(FREQUENT).toArrow()
-    frequent, times = top["e"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    by_hash = np.argsort(frequent)
-    least = int(times.min()) if top.num_rows else 0
-    sums = counts.agg(
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "frequent")
+    texts = docs.select(text)
+    found = scratch.stored(texts.mapInArrow(look, "e long, n long").groupBy("e").agg(F.sum("n").alias("n")), "found")
+    top = found.filter("e <> 0").orderBy(F.desc("n"), "e").limit(FREQUENT).toArrow()
+    least = int(top["n"].to_numpy().min()) if top.num_rows else 0
+    sums = found.agg(
         F.sum(F.when(F.col("e") == 0, F.col("n"))).alias("all"),
         F.sum(F.when((F.col("e") != 0) & (F.col("n") < least), F.col("n") * F.col("n"))).alias("rest"),
     ).first()
+    scratch.drop("found")
+    list_length = 1.0 + float(sums["rest"] or 0) / max(1, sums["all"] or 0)
+    chosen = np.sort(top["e"].to_numpy().view(np.uint64))
+    if not len(chosen):
+        return chosen, np.empty(0, np.int64), list_length
+    shared = spark.sparkContext.broadcast(chosen)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        times = np.zeros(len(known), np.int64)
+        for own in _distinct_sets(batch.column(0) for batch in batches):
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            # No element is twice in a set.
+            times[at[known[at] == own]] += 1
+        here = np.flatnonzero(times)
+        yield pa.RecordBatch.from_pydict({"e": pa.array(known[here].view(np.int64)), "n": pa.array(times[here])})
+
+    counts = scratch.stored(texts.mapInArrow(count, "e long, n long").groupBy("e").agg(F.sum("n").alias("n")), "counts").toArrow()
     scratch.drop("counts")
-    return frequent[by_hash], times[by_hash], 1.0 + float(sums["rest"] or 0) / max(1, sums["all"] or 0) / share
+    shared.unpersist()
+    frequent, times = counts["e"].to_numpy().view(np.uint64), counts["n"].to_numpy()
+    by_hash = np.argsort(frequent)
+    return frequent[by_hash], times[by_hash], list_length
 
 
 def row_key(id_column: str, text: str) -> Column:
@@ -376,7 +398,7 @@ def links_of(pairs: DataFrame) -> DataFrame:
 def classified(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, id, n, c, root)`` of every document: its key, its class, and the class that stands for its component."""
     scratch = Scratch(docs.sparkSession, "jaccard")
-    frequent, times, list_length = frequent_elements(docs.select(id_column, text), text)
+    frequent, times, list_length = frequent_elements(docs, text)
     small = boundary(list_length)
     filed = scratch.stored(file_sets(docs, frequent, times, small, id_column, text), "filed")
     rows = scratch.stored(filed.select("key", "id", "n", "c"), "rows")
