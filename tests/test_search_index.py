@@ -54,3 +54,12 @@ def test_odd_texts(spark):
     assert {("+62", "rc_1"), ("àéî", "rc_2"), ("x@y", "rc_2")} <= found
     assert all(len(p) == 3 and p == p.lower() for p, _ in found)
     assert search_index.postings(dim.limit(0)).count() == 0
+
+
+def test_postings_are_shuffled_once(spark):
+    rows = [(1, "Ana Ana", ["ana@x.id"], ["628"]), (1, "Ana", None, None), (None, "Ana", [], [None, "62"])]
+    dim = spark.createDataFrame(rows, "resolved_customer_id long, name_std string, emails array<string>, phones array<string>")
+    found = search_index.postings(dim)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = [(r["piece"], r["resolved_customer_id"]) for r in found.collect()]
+    assert len(got) == len(set(got)) and {("ana", 1), ("628", 1), ("ana", None)} <= set(got) and ("62", None) not in got

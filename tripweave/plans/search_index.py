@@ -36,20 +36,24 @@ def bucket_of(column):
 
 
 def postings(dim: DataFrame) -> DataFrame:
-    """``(piece, resolved_customer_id, bucket)``, each once."""
+    """``(piece, resolved_customer_id, bucket)``, each once, dealt by bucket.
+
+    A row's pieces are made distinct in place, and those of repeated ids after they are dealt, so postings are shuffled
+    once.
+    """
     lists = [F.coalesce(c, F.array().cast("array<string>")) for c in ("emails", "phones")]
     texts = F.filter(F.concat(F.array("name_std", hex_id(F.col(ID))), *lists), lambda x: F.length(x) >= PIECE)
-    one = dim.select(ID, F.explode(texts).alias("text")).select(ID, F.lower("text").alias("text"))
-    last = F.length("text") - (PIECE - 1)
-    pieces = F.transform(F.sequence(F.lit(1), last), lambda k: F.substr("text", k, F.lit(PIECE)))
     # Lower-casing can shorten a text; one that got too short has no piece.
-    rows = one.filter(last >= 1).select(ID, F.explode(F.array_distinct(pieces)).alias("piece")).distinct()
-    return rows.select("piece", ID, bucket_of("piece").alias("bucket"))
+    long = F.filter(F.transform(texts, F.lower), lambda x: F.length(x) >= PIECE)
+    pieces = F.transform(
+        long, lambda x: F.transform(F.sequence(F.lit(1), F.length(x) - (PIECE - 1)), lambda k: F.substr(x, k, F.lit(PIECE)))
+    )
+    rows = dim.select(ID, F.explode(F.array_distinct(F.flatten(pieces))).alias("piece"))
+    return rows.select("piece", ID, bucket_of("piece").alias("bucket")).repartition("bucket").distinct()
 
 
 def write_postings(dim: DataFrame, path: str) -> None:
-    dealt = postings(dim).repartition("bucket").sortWithinPartitions("bucket", "piece", ID)
-    dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    postings(dim).sortWithinPartitions("bucket", "piece", ID).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def read_postings(spark, path: str) -> DataFrame:
