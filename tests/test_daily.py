@@ -247,3 +247,18 @@ def test_latest_scan(spark):
                                   "receipt string, product string, qty int, at int, line int")
     kept = latest_scan(lines, ["receipt", "product", "qty"], "at", "line").collect()
     assert sorted(r["line"] for r in kept) == [2, 3]
+
+
+def test_stored_rows_of_keys_that_the_batch_does_not_have_all_stay(spark):
+    shape = "k string, at int, v int"
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", 1, 3), ("b", 2, 4)], shape)
+    batch = spark.createDataFrame([("b", 2, 5)], shape)
+    got = sorted(tuple(r) for r in upsert(rows, batch, "k", newest="at").collect())
+    assert got == [("a", 1, 1), ("a", 1, 2), ("b", 2, 5)]
+
+
+def test_delivered_keys_are_not_collected_for_a_broadcast(spark):
+    rows = spark.range(100).selectExpr("cast(id as string) k", "id at", "id v")
+    for newest in (None, "at"):
+        plan = upsert(rows, rows.limit(5), "k", newest)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and ("SortMergeJoin" if newest is None else "Window") in plan

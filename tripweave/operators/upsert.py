@@ -5,11 +5,9 @@ from __future__ import annotations
 from functools import reduce
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.operators.dedupe import first_rows
-
 if TYPE_CHECKING:
     from tripweave.sources.tables import SnapshotTable
 
@@ -19,6 +17,12 @@ def same(left: list[str], right: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
 
 
+def shuffled(batch: DataFrame) -> DataFrame:
+    """A side of a join that grows with the delivered rows: it meets the other one in the tasks, and is never collected on
+    the driver for a broadcast, however small its files are."""
+    return batch.hint("merge")
+
+
 def without_keys(stored: DataFrame, batch: DataFrame, key: str | list[str]) -> DataFrame:
     """Stored rows that the batch does not replace.
 
@@ -28,16 +32,20 @@ def without_keys(stored: DataFrame, batch: DataFrame, key: str | list[str]) -> D
     """
     if not isinstance(key, str):
         names = [f"_replaced_{i}" for i in range(len(key))]
-        replaced = batch.select(*[F.col(k).alias(n) for k, n in zip(key, names)])
+        replaced = shuffled(batch.select(*[F.col(k).alias(n) for k, n in zip(key, names)]))
         return stored.join(replaced, same(key, names), "left_anti")
-    replaced = batch.filter(F.col(key).isNotNull()).select(F.col(key).alias("_replaced"))
+    replaced = shuffled(batch.filter(F.col(key).isNotNull()).select(F.col(key).alias("_replaced")))
     # One pass over the stored rows: keyless ones match nothing here and are compared as a whole next.
     kept = stored.join(replaced, F.col(key) == F.col("_replaced"), "left_anti")
+    return kept.filter(F.col(key).isNotNull()).unionByName(_keyless(kept, batch, key))
+
+
+def _keyless(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Stored rows without a key that no row of the batch equals."""
     columns = stored.columns
     names = [f"_replaced_{i}" for i in range(len(columns))]
-    keyless = batch.filter(F.col(key).isNull()).select(*[F.col(c).alias(n) for c, n in zip(columns, names)])
-    is_keyless = kept.filter(F.col(key).isNull()).join(keyless, same(columns, names), "left_anti")
-    return kept.filter(F.col(key).isNotNull()).unionByName(is_keyless)
+    equal = batch.filter(F.col(key).isNull()).select(*[F.col(c).alias(n) for c, n in zip(columns, names)])
+    return stored.filter(F.col(key).isNull()).join(shuffled(equal), same(columns, names), "left_anti")
 
 
 def upsert(
@@ -52,17 +60,18 @@ def upsert(
     if newest is None:
         return without_keys(stored, batch, key).unionByName(batch)
     keys = [key] if isinstance(key, str) else list(key)
-    names = [f"_batch_{i}" for i in range(len(keys))]
-    touched = batch.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
-    kept = without_keys(stored, batch, key)
-    rivals = stored.join(touched, same(keys, names), "left_semi")
-    if isinstance(key, str):
-        rivals = rivals.filter(F.col(key).isNotNull())
-    every = rivals.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+    every = stored.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
     order = F.col(newest).desc_nulls_last() if isinstance(newest, str) else newest
     has_key = F.lit(True) if not isinstance(key, str) else F.col(key).isNotNull()
-    best = first_rows(every.filter(has_key), keys, [order, F.desc("_new")]).drop("_new")
-    return kept.unionByName(best).unionByName(batch.filter(~has_key))
+    # Both sides meet in one shuffle by key; stored rows of a key that the batch does not have all stay.
+    of_key = Window.partitionBy(*keys)
+    placed = every.filter(has_key).withColumns({
+        "_place": F.row_number().over(of_key.orderBy(order, F.desc("_new"))), "_met": F.max("_new").over(of_key),
+    })
+    after = placed.filter((F.col("_met") == 0) | (F.col("_place") == 1)).select(*stored.columns)
+    if not isinstance(key, str):
+        return after
+    return after.unionByName(_keyless(stored, batch, key)).unionByName(batch.filter(~has_key))
 
 
 def merge_into(
