@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.operators.dedupe import first_rows
+from tripweave.operators.upsert import shuffled
 from tripweave.sources.tables import MonthlyTable, SnapshotTable
 
 KEY = "near_key"
@@ -51,7 +52,7 @@ class FirstSeenTable:
         displaced: list[DataFrame] = []
 
         def watch(stored: DataFrame) -> None:
-            met = stored.join(batch.select(KEY).distinct(), KEY, "left_semi").select(*batch.columns)
+            met = stored.join(shuffled(batch.select(KEY).distinct()), KEY, "left_semi").select(*batch.columns)
             displaced.append(SnapshotTable(self.spark, f"{self._work.path}/met").write(met))
 
         # Rows of one id are versions of it; the content settles which of them stands for it in a batch.
@@ -63,7 +64,7 @@ class FirstSeenTable:
             every = every.unionByName(stored)
         lowest = first_rows(every, [KEY], [self._in_order()]).select(F.col(KEY).alias("_key"), F.col(self.id_column).alias("_first"))
         same_key = F.col(KEY) == F.col("_key")
-        others = every.join(lowest, same_key).filter(~F.col(self.id_column).eqNullSafe(F.col("_first")))
+        others = every.join(shuffled(lowest), same_key).filter(~F.col(self.id_column).eqNullSafe(F.col("_first")))
         names = self._others_schema.fieldNames()
         listed = others.withColumn("row_key", F.concat_ws("|", self.id_column, KEY)).select(
             *[F.col(n).cast(self._others_schema[n].dataType) for n in names]

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.operators.upsert import shuffled
 from tripweave.sources.files import child_names, delete_path, path_exists
 
 BITS_PER_KEY = 12
@@ -58,11 +59,13 @@ class KeyIndex:
     def _filters(self, keys: DataFrame, words: int) -> DataFrame:
         return self._marked(keys.select("key"), words).groupBy("bucket", "word").agg(F.bit_or("mask").alias("bits"))
 
-    def _append(self, pairs: DataFrame, words: int) -> None:
-        """The filters come last: without them keys count for nothing, and their rows are not in place yet."""
+    def _append_keys(self, pairs: DataFrame, words: int) -> None:
         dealt = self._marked(pairs, words).select("key", "month", "bucket").repartition("bucket")
         dealt.sortWithinPartitions("bucket", "key").write.mode("append").partitionBy("bucket").parquet(self._keys_path)
-        self._filters(pairs, words).write.mode("append").parquet(self._filter_path(words))
+
+    def _append_filters(self, keys: DataFrame, words: int) -> None:
+        """The filters come last: without them keys count for nothing, and their rows are not in place yet."""
+        self._filters(keys, words).write.mode("append").parquet(self._filter_path(words))
 
     def _keys(self) -> DataFrame:
         return self.spark.read.schema("key string, month string, bucket int").parquet(self._keys_path)
@@ -74,14 +77,17 @@ class KeyIndex:
         """Start anew from ``(key, month)``, of ``rows`` at most; filters get twice the room that these keys need."""
         pairs = pairs.filter("key is not null").distinct()
         need = 2 * (pairs.count() if rows is None else rows) * BITS_PER_KEY // (64 * self.buckets)
+        words = max(LEAST_WORDS, 1 << need.bit_length())
         self.drop()
-        self._append(pairs, max(LEAST_WORDS, 1 << need.bit_length()))
+        self._append_keys(pairs, words)
+        # What was just stored is read instead of making the pairs a second time.
+        self._append_filters(self._keys(), words)
 
     def candidates(self, keys: DataFrame) -> DataFrame:
         """``(key, bucket)`` of those different keys that the filters do not rule out."""
         words = self._words()
         filters = self.spark.read.schema("bucket int, word int, bits long").parquet(self._filter_path(words))
-        met = self._marked(keys.select("key").distinct(), words).join(filters, ["bucket", "word"])
+        met = self._marked(keys.select("key").distinct(), words).join(shuffled(filters), ["bucket", "word"])
         # A word may have been added to several times.
         whole = met.groupBy("key", "bucket", "mask").agg(F.bit_or("bits").alias("bits"))
         return whole.filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select("key", "bucket")
@@ -92,12 +98,17 @@ class KeyIndex:
         # No more numbers than there are buckets.
         buckets = sorted(r["bucket"] for r in maybe.select("bucket").distinct().collect())
         read = self._keys().filter(F.col("bucket").isin(buckets))
-        return read.join(maybe.select("key"), "key", "left_semi").select("key", "month").distinct()
+        return read.join(shuffled(maybe.select("key")), "key", "left_semi").select("key", "month").distinct()
 
     def add(self, pairs: DataFrame, known: DataFrame) -> None:
         """Add ``(key, month)`` pairs that are not among the ``known`` ones; filters that got too full grow."""
         words = self._words()
-        self._append(pairs.join(known, ["key", "month"], "left_anti"), words)
+        new = pairs.join(shuffled(known), ["key", "month"], "left_anti").persist()
+        try:
+            self._append_keys(new, words)
+            self._append_filters(new, words)
+        finally:
+            new.unpersist()
         if self._keys().count() * BITS_PER_KEY > 64 * self.buckets * words:
             # The old filters serve until the new ones are complete.
             self._filters(self._keys(), 2 * words).write.mode("overwrite").parquet(self._filter_path(2 * words))
