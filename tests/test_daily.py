@@ -14,6 +14,8 @@ from tripweave.plans import facts
 from tripweave.plans.daily import DailyJob
 from tripweave.schema import FLIGHTS, GOLD_KEYS, LANDED, SILVER_KEYS
 from tripweave.sources import landing
+from tripweave.sources import tables as stored_tables
+from tripweave.sources.files import move_path
 from tripweave.sources.tables import MonthlyTable, SnapshotTable, delete_path, path_exists
 from test_functions import CASES
 
@@ -249,6 +251,53 @@ def test_latest_scan(spark):
     assert sorted(r["line"] for r in kept) == [2, 3]
 
 
+def test_months_are_moved_into_place_and_not_written_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    first, table = months(spark, path, [("a", "2026-01-05", 1), ("b", "2026-02-05", 2), ("c", "2026-03-05", 3)])
+    table.upsert(first)
+    batch, again = months(spark, path, [("a", "2026-02-07", 10)])
+    whole, seen = MonthlyTable._finish, {}
+
+    def files(folder):
+        return {p.name for p in folder.glob("stored_month=*/*.parquet")}
+
+    def watched(self):
+        made = files(tmp_path / "t__pending" / "rows")
+        whole(self)
+        if made:
+            seen["made"], seen["placed"] = made, files(tmp_path / "t")
+
+    with monkeypatch.context() as m:
+        m.setattr(MonthlyTable, "_finish", watched)
+        again.upsert(batch)
+    assert seen["made"] and seen["made"] <= seen["placed"]
+    # The month that lost its only row is gone, the one not touched stays.
+    assert sorted((r["k"], r["v"]) for r in again.read().collect()) == [("a", 10), ("b", 2), ("c", 3)]
+    assert not (tmp_path / "t" / "stored_month=2026-01").exists()
+    again.replace_all(first.limit(0))
+    assert again.exists() and again.read().count() == 0
+
+
+def test_a_run_lost_while_months_are_moved(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    first, table = months(spark, path, [("a", "2026-01-05", 1), ("b", "2026-02-05", 2)])
+    table.upsert(first)
+    batch, again = months(spark, path, [("a", "2026-01-07", 10), ("b", "2026-02-07", 20)])
+    moved = []
+
+    def die_at_the_second(spark_, source, target):
+        if moved:
+            raise RuntimeError("lost")
+        moved.append(target)
+        move_path(spark_, source, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(stored_tables, "move_path", die_at_the_second)
+        with pytest.raises(RuntimeError):
+            again.upsert(batch)
+    assert sorted((r["k"], r["v"]) for r in again.read().collect()) == [("a", 10), ("b", 20)]
+
+
 def test_stored_rows_of_keys_that_the_batch_does_not_have_all_stay(spark):
     shape = "k string, at int, v int"
     rows = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", 1, 3), ("b", 2, 4)], shape)

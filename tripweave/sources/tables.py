@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.operators.upsert import upsert
-from tripweave.sources.files import child_names, delete_path, path_exists
+from tripweave.sources.files import child_names, delete_path, move_path, path_exists, touch
 from tripweave.sources.key_index import KeyIndex
 
 BUCKETS = 16  # folders of a table's key index; some hundred thousand keys each are a good size
@@ -89,8 +89,8 @@ class MonthlyTable:
         self.index = KeyIndex(spark, f"{self.path}__index", buckets)
         self._stored_schema = T.StructType([*schema.fields, T.StructField(self.MONTH, T.StringType())])
 
-    # Beside the table: the rows to put in place, and then the months they replace ("*" for all), whose
-    # commit makes the pair valid.
+    # Beside the table: the rows to put in place in a folder per month, and then the months they replace ("*" for all)
+    # and whether they have rows, whose commit makes the pair valid.
     @property
     def _pending_rows(self) -> str:
         return f"{self.path}__pending/rows"
@@ -121,23 +121,34 @@ class MonthlyTable:
     def _prepare(self, df: DataFrame, months: list[str]) -> None:
         """Store the new content of some months beside the table; the second write commits it."""
         delete_path(self.spark, f"{self.path}__pending")
-        df.hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key).write.parquet(self._pending_rows)
-        listed = F.explode(F.array(*[F.lit(m) for m in months]).cast("array<string>")).alias(self.MONTH)
-        self.spark.range(1).select(listed).coalesce(1).write.parquet(self._pending_months)
+        dealt = df.hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key)
+        dealt.write.partitionBy(self.MONTH).parquet(self._pending_rows)
+        filled = {n.split("=", 1)[1] for n in child_names(self.spark, self._pending_rows) if n.startswith(f"{self.MONTH}=")}
+        listed = [F.struct(F.lit(m).alias(self.MONTH), F.lit(m in filled).alias("filled")) for m in sorted({*months, *filled})]
+        rows = F.array(*listed).cast(f"array<struct<{self.MONTH}:string,filled:boolean>>")
+        self.spark.range(1).select(F.inline(rows)).coalesce(1).write.parquet(self._pending_months)
 
     def _finish(self) -> None:
-        """Put prepared months in place. Doing it again changes nothing, so it may die anywhere."""
+        """Put prepared months in place. Doing it again changes nothing, so it may die anywhere.
+
+        The folders of the months are moved, so their rows are written once. A folder that is gone from beside the table
+        is in place already.
+        """
         if not path_exists(self.spark, f"{self._pending_months}/_SUCCESS"):
             return
-        months = _values(self.spark.read.parquet(self._pending_months), self.MONTH)
-        rows = self.spark.read.schema(self._stored_schema).parquet(self._pending_rows)
-        writer = rows.sortWithinPartitions(self.MONTH, self.key).write.mode("overwrite").partitionBy(self.MONTH)
-        if months == ["*"]:
-            writer.parquet(self.path)
-        else:
-            writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
-            for month in sorted(set(months) - set(_values(rows, self.MONTH))):
-                delete_path(self.spark, f"{self.path}/{self.MONTH}={month}")
+        listed = {r[self.MONTH]: r["filled"] for r in self.spark.read.parquet(self._pending_months).collect()}
+        filled = {f"{self.MONTH}={m}" for m, has_rows in listed.items() if has_rows}
+        gone = {f"{self.MONTH}={m}" for m in listed} - filled
+        if "*" in listed:
+            gone = {n for n in child_names(self.spark, self.path) if n.startswith(f"{self.MONTH}=")} - filled
+        for folder in sorted(gone):
+            delete_path(self.spark, f"{self.path}/{folder}")
+        for folder in sorted(filled):
+            if path_exists(self.spark, f"{self._pending_rows}/{folder}"):
+                delete_path(self.spark, f"{self.path}/{folder}")
+                move_path(self.spark, f"{self._pending_rows}/{folder}", f"{self.path}/{folder}")
+        # A table without rows exists, too.
+        touch(self.spark, f"{self.path}/_SUCCESS")
         delete_path(self.spark, f"{self.path}__pending")
 
     def _pairs(self, rows: DataFrame) -> DataFrame:
