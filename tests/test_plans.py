@@ -97,3 +97,32 @@ def test_empty_tables_give_empty_marts(tables):
     fact = tables.table("fact_bookings").filter(F.lit(False))
     assert marts.bookings_agg(fact).count() == 0
     assert serving.type_gap(fact).count() == 0
+
+
+def test_tables_that_do_not_need_each_other_are_built_side_by_side(spark, tmp_path, monkeypatch):
+    from threading import Barrier
+
+    from tripweave.plans import build
+
+    deps = {"a": [], "b": [], "c": ["a", "b"], "d": ["a", "c"]}
+    both, made = Barrier(2, timeout=20), []
+
+    def model(self, name):
+        if name in "ab":
+            both.wait()  # breaks unless the two are under way at once
+        assert sorted(self._tables(deps[name])) == deps[name]
+        made.append(name)
+        return self.spark.range(1)
+
+    monkeypatch.setattr(build, "DEPENDENCIES", deps)
+    monkeypatch.setattr(build.Warehouse, "model", model)
+    w = build.Warehouse(spark, str(tmp_path))
+    w.root = str(tmp_path / "w")
+    w.build_all()
+    assert sorted(made) == ["a", "b", "c", "d"] and made[-1] == "d"
+    assert w.table("d").count() == 1 and len(made) == 4
+
+
+def test_customers_are_dealt_before_they_are_cleansed(spark, tables):
+    plan = tables.landed("customers")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan

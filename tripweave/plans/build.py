@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from datetime import date
+from functools import partial
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripweave.plans import facts, identity, marts, search_index, silver, sketches
+from tripweave.plans.daily import together
 from tripweave.session import prepare, shared_root
 from tripweave.sources import fixtures
 from tripweave.sources.reference_data import holiday_calendar
@@ -51,6 +54,7 @@ class Warehouse:
         label = hashlib.md5(f"{self.source_dir}|{self.as_of}".encode()).hexdigest()[:12]
         self.root = f"{shared_root(spark)}/{label}"
         self._stored: dict[str, DataFrame] = {}
+        self._building = {name: Lock() for name in DEPENDENCIES}
 
     def landed(self, name: str) -> DataFrame:
         return fixtures.landed(self.spark, self.source_dir, name)
@@ -60,7 +64,7 @@ class Warehouse:
         if name in silver.MODELS:
             source, cleanse = silver.MODELS[name]
             return cleanse(self.landed(source))
-        t = {dep: self.table(dep) for dep in DEPENDENCIES[name]}
+        t = self._tables(DEPENDENCIES[name])
         if name == "vendor_emails":
             return identity.vendor_grouped(t["silver_flight_bookings"], t["silver_experience_bookings"])
         if name == "customer_records":
@@ -82,18 +86,28 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """The stored table, built together with everything it needs."""
-        if name not in self._stored:
-            plan = self.model(name)
-            lookup = "resolved_customer_id" if "resolved_customer_id" in plan.columns else None
-            if lookup:
-                # Rows of one customer lie together, which compresses well and reads few pages.
-                plan = plan.sortWithinPartitions(lookup)
-            self._stored[name] = SnapshotTable(self.spark, f"{self.root}/{name}").write(plan, lookup)
-        return self._stored[name]
+        with self._building[name]:
+            if name not in self._stored:
+                plan = self.model(name)
+                lookup = "resolved_customer_id" if "resolved_customer_id" in plan.columns else None
+                if lookup:
+                    # Rows of one customer lie together, which compresses well and reads few pages.
+                    plan = plan.sortWithinPartitions(lookup)
+                self._stored[name] = SnapshotTable(self.spark, f"{self.root}/{name}").write(plan, lookup)
+            return self._stored[name]
+
+    def _tables(self, names: list[str]) -> dict[str, DataFrame]:
+        """Stored tables by name; missing ones that do not need each other are built side by side.
+
+        A table waits for those it needs only, so the few last tasks of one do not leave the other cores idle.
+        """
+        missing = {name: partial(self.table, name) for name in names if name not in self._stored}
+        if missing:
+            together(missing)
+        return {name: self._stored[name] for name in names}
 
     def build_all(self) -> None:
-        for name in DEPENDENCIES:
-            self.table(name)
+        self._tables(list(DEPENDENCIES))
 
     def create_views(self) -> None:
         """Make the stored tables available to ``spark.sql`` under their names."""
