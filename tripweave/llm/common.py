@@ -204,3 +204,69 @@ def shingled(texts: pa.Array, size: int, memo: WordHashes) -> Iterator[tuple[np.
         group.append(words)
         total += len(words)
     yield from together(group, total)
+
+
+BYTES_AT_ONCE = 1 << 21
+LONG_WORD = 64  # bytes; longer words are hashed one by one
+_SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LOWERED = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _hashed_runs(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of bytes of ``raw``, eight bytes of all runs at a time."""
+    padded = np.zeros((len(raw) // 8 + 3) * 8, np.uint8)
+    padded[: len(raw)] = raw
+    eights = padded.view("<u8")
+
+    def piece(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        cell, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        upper = (eights[cell + 1] << np.uint64(1)) << (np.uint64(63) - shift)
+        return ((eights[cell] >> shift) | upper) & _FIRST_BYTES[np.minimum(left, 8)]
+
+    h = mix64(piece(starts, sizes))
+    more, done = np.flatnonzero((sizes > 8) & (sizes <= LONG_WORD)), 8
+    while len(more):
+        h[more] = mix64(h[more] * _MIX + piece(starts[more] + done, sizes[more] - done))
+        done += 8
+        more = more[sizes[more] > done]
+    h = mix64(h + sizes.astype(np.uint64) * _MIX)
+    long = np.flatnonzero(sizes > LONG_WORD)
+    if len(long):
+        from xxhash import xxh3_64_intdigest
+
+        for i in long:
+            h[i] = xxh3_64_intdigest(raw[starts[i] : starts[i] + sizes[i]].tobytes())
+    return h
+
+
+def text_shingles(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """Hashed shingles of each text by position, of the same words as :func:`shingled` but other hashes.
+
+    Words are found and hashed in the bytes of many texts at once (or of one text that has more than
+    ``BYTES_AT_ONCE``), without an object for each word.
+    """
+    whole = texts.fill_null("").cast(pa.large_binary())
+    _, offsets, data = whole.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[whole.offset : whole.offset + len(whole) + 1] if len(whole) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    first = 0
+    while first < len(whole):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BYTES_AT_ONCE, "right")) - 1)
+        raw = _LOWERED[data[offsets[first] : offsets[last]]]
+        bounds = offsets[first : last + 1] - offsets[first]
+        held = bounds[:-1][np.diff(bounds) > 0], bounds[1:][np.diff(bounds) > 0] - 1
+        inside = ~_SPACES[raw]
+        # A word begins or ends beside white space and at the ends of its text.
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
+        begins[held[0]] = inside[held[0]]
+        ends[:-1] &= ~inside[1:]
+        ends[held[1]] = inside[held[1]]
+        starts = np.flatnonzero(begins)
+        flat = _hashed_runs(raw, starts, np.flatnonzero(ends) + 1 - starts)
+        rolled = _rolled(flat, size) if len(flat) >= size else flat[:0]
+        at = np.searchsorted(starts, bounds).tolist()
+        for a, b in zip(at, at[1:]):
+            yield rolled[a : b - size + 1] if b - a >= size else shingle_hashes(flat[a:b], size)
+        first = last

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from tripweave.llm.common import Scratch, WordHashes, mix64, shingled, table, with_hint
+from tripweave.llm.common import Scratch, mix64, table, text_shingles, with_hint
 from tripweave.llm.links import components
 
 SIZE = 5
@@ -50,9 +50,9 @@ GROUP = 512  # pairs with one class that are compared in one go
 NULL_ID = -(1 << 63)
 
 
-def shingle_sets(texts: pa.Array, memo: WordHashes) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """Distinct shingle hashes of each text, ascending."""
-    for _, shingles in shingled(texts, SIZE, memo):
+    for shingles in text_shingles(texts, SIZE):
         own = np.sort(shingles)
         yield own[np.flatnonzero(np.diff(own, prepend=~own[:1]))] if len(own) else own
 
@@ -72,9 +72,9 @@ def boundary(list_length: float) -> int:
 
 def _distinct_sets(texts: Iterator[pa.Array]) -> Iterator[np.ndarray]:
     """The shingle sets of a task's texts; a set that the task remembers is left out."""
-    memo, seen = WordHashes(), set()
+    seen = set()
     for part in texts:
-        for own in shingle_sets(part, memo):
+        for own in shingle_sets(part):
             mark = xxh3_64_intdigest(own.tobytes())
             if mark in seen:
                 continue
@@ -161,11 +161,11 @@ def file_sets(docs: DataFrame, frequent: np.ndarray, times: np.ndarray, small: i
     shared = docs.sparkSession.sparkContext.broadcast((frequent, times))
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (late, often), memo, seen = shared.value, WordHashes(), set()
+        (late, often), seen = shared.value, set()
         none = np.empty(0, np.uint64)
         for batch in batches:
             sizes, marks, lists = [], [], ([], [], [])
-            for own in shingle_sets(batch.column(2), memo):
+            for own in shingle_sets(batch.column(2)):
                 n, mark = len(own), xxh3_64_intdigest(own.tobytes())
                 singles, subsets, places = none, none, none
                 if n >= 3 and mark not in seen:
@@ -356,11 +356,11 @@ def compared(scratch: Scratch, name: str, pairs: DataFrame, rows: DataFrame, doc
     kinds = pa.list_(pa.int64())
 
     def against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, group, lead = WordHashes(), None, None
+        group, lead = None, None
         for batch in batches:
             out: list[tuple] = []
             plain = [batch.column(k).to_pylist() for k in range(4)]
-            for b, part, is_lead, c, own in zip(*plain, shingle_sets(batch.column(4), memo)):
+            for b, part, is_lead, c, own in zip(*plain, shingle_sets(batch.column(4))):
                 # The text of another class, whose row has the same hash, counts for nothing.
                 if np.uint64(xxh3_64_intdigest(own.tobytes())).view(np.int64).item() != c:
                     continue
