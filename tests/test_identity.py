@@ -252,3 +252,19 @@ def test_unknown_customer_gives_no_rows(tables):
     for unknown in ("72635F" + "0" * 24, "not hex"):
         assert serving.customer_profile(dim, mart, unknown).count() == 0
         assert serving.customer_bookings(tables.table("fact_bookings"), unknown).count() == 0
+
+
+def test_ticket_texts_are_not_shuffled(spark):
+    """Customers of tickets are looked up with the contacts; subject and body stay where they are."""
+    text, at = F.lit(None).cast("string"), F.lit("2026-01-01 00:00:00").cast("timestamp")
+    crm = spark.range(100).select(
+        F.concat(F.lit("T"), "id").alias("ticket_id"), F.concat(F.lit("u"), "id", F.lit("@x.id")).alias("customer_email"),
+        F.concat(F.lit("+62"), "id").alias("customer_phone"), text.alias("customer_name"), at.alias("created_at"),
+        F.concat(F.lit("s"), "id").alias("subject"), F.concat(F.lit("b"), "id").alias("body"),
+    )
+    people = identity.app_anchors(customers(spark, [("C1", "u1@x.id", "+622", "A"), ("C2", "a@x.id", "+622", "B")]))
+    got = identity.crm_candidates(crm, people)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "body" not in plan and "subject" not in plan
+    linked = {r["ticket_id"]: r["confidence_rank"] for r in got.filter("confidence_rank > 1").collect()}
+    assert linked == {"T1": 3, "T2": 2}

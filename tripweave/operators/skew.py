@@ -24,15 +24,19 @@ def hot_keys(df: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
     return counts.filter(share > 1).select(key, F.ceil(share).cast("bigint").alias("_copies"))
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, row_id: str, hot: DataFrame | None = None) -> DataFrame:
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, key: str, row_id: str, hot: DataFrame | None = None, content: list[str] | None = None
+) -> DataFrame:
     """``facts`` left-joined to ``lookup`` on ``key``.
 
     Rows without a key get a private join value, so they spread over all tasks instead of meeting
     in one. Rows of a key listed in ``hot`` are spread over as many tasks as their number asks for,
     and only the lookup rows of those keys are copied.
+
+    Rows without an id are spread by their ``content``, by default all columns; a join before this one then has to carry
+    all of them.
     """
-    # A row without an id is spread by its content.
-    own = F.coalesce(F.col(row_id).cast("string"), F.xxhash64(*facts.columns).cast("string"))
+    own = F.coalesce(F.col(row_id).cast("string"), F.xxhash64(*(content or facts.columns)).cast("string"))
     # No lookup key starts with a NUL character, hence these rows stay unmatched as they should.
     spread = facts.withColumn("_key", F.coalesce(F.col(key), F.concat(F.lit("\u0000"), own)))
     target = lookup.withColumnRenamed(key, "_key")

@@ -122,17 +122,19 @@ def crm_candidates(tickets: DataFrame, anchors: DataFrame) -> DataFrame:
     neither email nor known phone keeps a NULL customer. This row form is for inspection only, the
     models use :func:`ticket_summaries`, which stays linear when a phone is shared by many.
     """
-    known = anchors.select("email").distinct().withColumn("by_email", resolved_id(F.col("email")))
+    known = anchors.select("email").distinct().withColumn("email_known", F.lit(True))
+    # Only contacts and the few columns of the result pass through the joins; the id follows from the email after them.
+    contact = ["customer_email", "customer_phone"]
+    rows = tickets.select("ticket_id", *contact, "customer_name", "created_at", F.col("customer_email").alias("email"))
     flagged = lookup_join(
-        tickets.withColumn("email", F.col("customer_email")), known, "email", "ticket_id",
-        hot_keys(tickets.select(F.col("customer_email").alias("email")), "email"),
-    )
-    bridge = F.when(F.col("by_email").isNull() & not_blank(F.col("customer_phone")), F.col("customer_phone"))
+        rows, known, "email", "ticket_id", hot_keys(tickets.select(F.col("customer_email").alias("email")), "email"), contact
+    ).drop("email")
+    bridge = F.when(F.col("email_known").isNull() & not_blank(F.col("customer_phone")), F.col("customer_phone"))
     owners = phone_owners(anchors).withColumnRenamed("resolved_customer_id", "by_phone")
     out = lookup_join(
         flagged.withColumn("phone", bridge), owners, "phone", "ticket_id",
-        hot_keys(tickets.select(F.col("customer_phone").alias("phone")), "phone"),
-    )
+        hot_keys(tickets.select(F.col("customer_phone").alias("phone")), "phone"), contact,
+    ).withColumn("by_email", F.when(F.col("email_known"), resolved_id(F.col("customer_email"))))
     own = F.when(not_blank(F.col("customer_email")), resolved_id(F.col("customer_email")))
     return out.select(
         F.coalesce("by_email", "by_phone", own).alias("resolved_customer_id"),

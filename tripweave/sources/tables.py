@@ -55,7 +55,8 @@ class SnapshotTable:
         Ids are hashes, so min/max statistics alone would rarely skip anything for a single id.
         """
         number = max(self._snapshots(), default=0) + 1
-        writer = df.write.mode("overwrite")
+        # Ids of one customer repeat over many rows, which the denser codec stores in less.
+        writer = df.write.mode("overwrite").option("compression", "zstd")
         if lookup:
             writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
             writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
