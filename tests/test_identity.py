@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripweave.functions.identity import resolved_id
-from tripweave.operators.components import components, identity_components
+from tripweave.operators.components import components, identity_components, shared_contacts
 from tripweave.plans import facts, identity, marts, serving
 from tripweave.schema import GOLD_KEYS
 
@@ -268,3 +268,15 @@ def test_ticket_texts_are_not_shuffled(spark):
     assert "body" not in plan and "subject" not in plan
     linked = {r["ticket_id"]: r["confidence_rank"] for r in got.filter("confidence_rank > 1").collect()}
     assert linked == {"T1": 3, "T2": 2}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_links_of_shared_phones_join_the_same_emails(spark, seed):
+    rng = random.Random(seed)
+    rows = sorted({(f"e:{rng.randrange(60)}", f"p:{rng.randrange(70)}") for _ in range(75)})
+    pairs = spark.createDataFrame(rows, "u string, v string")
+    links = shared_contacts(pairs)
+    emails = {r["node"]: r["component"] for r in components(links).collect()}
+    whole = {r["node"]: r["component"] for r in components(pairs).collect()}
+    assert {e: emails.get(e, e) for e, _ in rows} == {e: whole[e] for e, _ in rows}
+    assert links.count() <= len(rows) - len({p for _, p in rows})

@@ -71,9 +71,20 @@ def contact_pairs(customers: DataFrame, tickets: DataFrame) -> DataFrame:
     )
 
 
+def shared_contacts(pairs: DataFrame) -> DataFrame:
+    """Each email of a phone linked to the least email of that phone; ``(u, v)`` of marked emails.
+
+    These links join the same emails as the contact pairs. A phone that one email has links nothing, so most pairs end
+    in this one shuffle and take no part in the rounds.
+    """
+    least = pairs.groupBy("v").agg(F.min("u").alias("least"))
+    return pairs.join(least, "v").filter("u <> least").select("u", F.col("least").alias("v")).distinct()
+
+
 def identity_components(customers: DataFrame, flights: DataFrame, experiences: DataFrame, tickets: DataFrame) -> DataFrame:
     """Every known email with the least email it is linked to through shared phones."""
-    return email_components(components(contact_pairs(customers, tickets)), customers, flights, experiences, tickets)
+    links = shared_contacts(contact_pairs(customers, tickets))
+    return email_components(components(links), customers, flights, experiences, tickets)
 
 
 def email_components(
