@@ -116,3 +116,28 @@ def test_a_run_lost_between_index_and_rows(spark, tmp_path, monkeypatch):
     assert sorted((r["k"], r["v"]) for r in table.read().collect()) == [("a", 1), ("b", 2)]
     table.upsert(batch)
     assert sorted((r["k"], r["v"]) for r in table.read().collect()) == [("a", 10), ("b", 2), ("c", 3)]
+
+
+def test_a_large_batch_meets_the_stored_keys_without_the_filters(spark, tmp_path, monkeypatch):
+    rows = [(f"k{n}", f"2026-{1 + n % 3:02d}-05", n) for n in range(60)] + [(None, "2026-01-05", 1)]
+    first, table = months(spark, str(tmp_path / "t"), rows, 2)
+    table.upsert(first)
+    monkeypatch.setattr(key_index, "MOST_ASKED", 5)
+    monkeypatch.setattr(KeyIndex, "candidates", lambda *_: pytest.fail("filters were asked"))
+    moved = [(f"k{n}", "2026-04-05", n + 1) for n in range(0, 60, 2)] + [("new", "2026-05-05", 7), ("new", "2026-05-05", 7), (None, "2026-04-05", 2)]
+    batch, again = months(spark, str(tmp_path / "t"), moved, 2)
+    assert again.upsert(batch) == ["2026-01", "2026-02", "2026-03", "2026-04", "2026-05"]
+    want = {**{k: (at, v) for k, at, v in rows if k}, **{k: (at, v) for k, at, v in moved if k}}
+    kept = table.read().filter("k is not null").collect()
+    assert len(kept) == len(want) + 1 and {r["k"]: (str(r["at"])[:10], r["v"]) for r in kept} == want
+    assert table.read().filter("k is null").count() == 2
+    monkeypatch.undo()
+    assert found(table.index, spark, ["k0", "k1", "new"]) == [("k0", "2026-01"), ("k0", "2026-04"), ("k1", "2026-02"), ("new", "2026-05")]
+
+
+def test_a_batch_of_known_pairs_writes_nothing_to_the_index(spark, tmp_path):
+    first, table = months(spark, str(tmp_path / "t"), [("a", "2026-01-05", 1), ("b", "2026-02-05", 2), (None, None, 3)])
+    table.upsert(first)
+    before = sorted(str(p) for p in (tmp_path / "t__index").rglob("*.parquet"))
+    assert table.upsert(first) == ["2026-01", "2026-02", "none"]
+    assert sorted(str(p) for p in (tmp_path / "t__index").rglob("*.parquet")) == before

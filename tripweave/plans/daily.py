@@ -10,6 +10,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.operators.skew import hot_keys
 from tripweave.plans import facts, identity, kept, marts, quality, silver
 from tripweave.plans.kept import Figures, KeptFigures
 from tripweave.schema import GOLD_KEYS, LANDED, SILVER_KEYS
@@ -68,8 +69,11 @@ class DailyJob:
     def bronze_path(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
 
-    def bronze(self, name: str) -> DataFrame:
+    def bronze(self, name: str, low: date | None = None, high: date | None = None) -> DataFrame:
+        """All landed days, or those from ``low`` up to ``high``; folders of other days are not listed."""
         path, table = self.bronze_path(name), LANDED[name]
+        if low is not None and high is not None:
+            return landing.read_days(self.spark, path, table, low, high)
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], table.schema)
         return landing.read_landed(self.spark, path, table)
@@ -140,7 +144,7 @@ class DailyJob:
         def cleanse(name: str) -> tuple[DataFrame, MonthlyTable, list[str] | None]:
             source, model = silver.MODELS[name]
             # The batch is stored first: the upsert and the fact table read it again.
-            batch = self._snapshot("batch", name).write(model(landing.window(self.bronze(source), low, high)))
+            batch = self._snapshot("batch", name).write(model(landing.window(self.bronze(source, low, high), low, high)))
             table = self._monthly(f"silver/{name}", SILVER_KEYS[name], _EVENT_TIME[name], batch)
             return batch, table, self._upsert(name, table, batch, full_refresh)
 
@@ -211,12 +215,17 @@ class DailyJob:
         before = key_table.read() if key_table.exists() else None
         keys = key_table.write(keys)
         rebuild = full_refresh or before is None
-        bookings = unified(t)
+        bookings, hot = unified(t), None
         if not rebuild:
             moved = self._snapshot("stage", "moved_keys").write(facts.moved_keys(before, keys))
             # Without a moved key no earlier booking has to be looked at.
-            bookings = unified(delivered) if moved.isEmpty() else facts.bookings_to_resolve(bookings, unified(delivered), moved)
-        updates = self._snapshot("batch", "fact_bookings").write(facts.fact_bookings(bookings, keys))
+            if moved.isEmpty():
+                bookings = unified(delivered)
+            else:
+                # Counted in all bookings, as their selection would have to be made a second time for it.
+                hot = hot_keys(bookings, "source_customer_id")
+                bookings = facts.bookings_to_resolve(bookings, unified(delivered), moved)
+        updates = self._snapshot("batch", "fact_bookings").write(facts.fact_bookings(bookings, keys, hot=hot))
         tables["fact_bookings"] = self._monthly("gold/fact_bookings", GOLD_KEYS["fact_bookings"], "booking_ts", updates)
         months["fact_bookings"] = self._upsert("fact_bookings", tables["fact_bookings"], updates, rebuild)
         t["fact_bookings"] = tables["fact_bookings"].read()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions.identity import placeholder_id, scoped
 from tripweave.operators.skew import hot_keys, lookup_join
+from tripweave.operators.upsert import HASH, hashed
 
 FACT_COLUMNS = [
     "booking_id", "resolved_customer_id", "identity_confidence", "source", "booking_type", "provider", "city",
@@ -59,15 +60,18 @@ def bookings_unified(hotels: DataFrame, flights: DataFrame, experiences: DataFra
     return out.select("source_customer_id", *order)
 
 
-def fact_bookings(bookings: DataFrame, customer_keys: DataFrame, placeholders: bool = False) -> DataFrame:
+def fact_bookings(
+    bookings: DataFrame, customer_keys: DataFrame, placeholders: bool = False, hot: DataFrame | None = None
+) -> DataFrame:
     """Every booking once, with its customer where one is known.
 
+    ``hot`` lists the source keys of many bookings; without it they are counted in ``bookings``.
+
     Unresolved bookings keep a NULL customer, or with ``placeholders`` a stable stand-in derived
     from their source key that a later run replaces once the key resolves.
     """
-    joined = lookup_join(
-        bookings, customer_keys, "source_customer_id", "booking_id", hot_keys(bookings, "source_customer_id")
-    )
+    hot = hot_keys(bookings, "source_customer_id") if hot is None else hot
+    joined = lookup_join(bookings, customer_keys, "source_customer_id", "booking_id", hot)
     if placeholders:
         joined = joined.withColumns(
             {
@@ -95,5 +99,8 @@ def bookings_to_resolve(bookings: DataFrame, delivered: DataFrame, moved: DataFr
 
     Every other booking keeps the customer it has, so the fact table needs no other update.
     """
-    again = bookings.join(moved, "source_customer_id", "left_semi")
-    return again.join(delivered.select("booking_id"), "booking_id", "left_anti").unionByName(delivered)
+    key, row_id = "source_customer_id", "booking_id"
+    again = hashed(bookings, key).join(hashed(moved, key), [HASH, key], "left_semi").drop(HASH)
+    now = hashed(delivered.select(row_id), row_id)
+    earlier = hashed(again, row_id).join(now, [HASH, row_id], "left_anti").drop(HASH)
+    return earlier.select(*delivered.columns).unionByName(delivered)

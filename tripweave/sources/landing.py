@@ -154,6 +154,18 @@ def read_landed(spark: SparkSession, root: str, table: LandedTable) -> DataFrame
     return spark.read.schema(table.schema).parquet(root)
 
 
+def read_days(spark: SparkSession, root: str, table: LandedTable, low: str | date, high: str | date) -> DataFrame:
+    """The landed days from ``low`` up to ``high``. Only their folders are listed, however many others there are."""
+    wanted = []
+    for name in child_names(spark, root):
+        column, _, value = name.partition("=")
+        if column == "ingest_date" and re.fullmatch(r"\d{4}-\d\d-\d\d", value) and as_day(low) <= as_day(value) < as_day(high):
+            wanted.append(f"{root.rstrip('/')}/{name}")
+    if not wanted:
+        return spark.createDataFrame([], table.schema)
+    return spark.read.schema(table.schema).option("basePath", root).parquet(*sorted(wanted))
+
+
 def append(df: DataFrame, root: str, table: LandedTable, day: str | date) -> int:
     """Append a batch and return how many rows it added.
 

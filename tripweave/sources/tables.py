@@ -122,8 +122,10 @@ class MonthlyTable:
     def _prepare(self, df: DataFrame, months: list[str]) -> None:
         """Store the new content of some months beside the table; the second write commits it."""
         delete_path(self.spark, f"{self.path}__pending")
-        dealt = df.hint("rebalance", self.MONTH).sortWithinPartitions(self.MONTH, self.key)
-        dealt.write.partitionBy(self.MONTH).parquet(self._pending_rows)
+        dealt = df.hint("rebalance", self.MONTH)
+        # Hardly any key comes twice, so a dictionary of them would be made in vain.
+        writer = dealt.write.option(f"parquet.enable.dictionary#{self.key}", "false")
+        writer.partitionBy(self.MONTH).parquet(self._pending_rows)
         filled = {n.split("=", 1)[1] for n in child_names(self.spark, self._pending_rows) if n.startswith(f"{self.MONTH}=")}
         listed = [F.struct(F.lit(m).alias(self.MONTH), F.lit(m in filled).alias("filled")) for m in sorted({*months, *filled})]
         rows = F.array(*listed).cast(f"array<struct<{self.MONTH}:string,filled:boolean>>")
@@ -155,7 +157,12 @@ class MonthlyTable:
     def _pairs(self, rows: DataFrame) -> DataFrame:
         """``(key, month)`` of rows that have a key."""
         pairs = rows.select(F.col(self.key).cast("string").alias("key"), F.col(self.MONTH).alias("month"))
-        return pairs.filter("key is not null").distinct()
+        return pairs.filter("key is not null")
+
+    def _keys_by_month(self, rows: DataFrame) -> dict[str, int]:
+        """Rows with a key by month, also of months without any."""
+        counted = rows.groupBy(self.MONTH).agg(F.count(F.col(self.key)).alias("n"))
+        return {r[self.MONTH]: r["n"] for r in counted.collect()}
 
     def _replace(self, rows: DataFrame) -> None:
         # Without an index the next upsert makes one, so it goes first.
@@ -174,9 +181,10 @@ class MonthlyTable:
         """Months that hold a row of the batch, or a stored row with a key of the batch."""
         new = self._with_month(batch)
         # Month lists hold at most one row per month of the table's life.
-        months = set(_values(new, self.MONTH))
+        keys = self._keys_by_month(new)
+        months = set(keys)
         if self.exists() and self.index.exists():
-            months |= set(_values(self.index.months_of(self._pairs(new)), "month"))
+            months |= set(_values(self.index.months_of(self._pairs(new), sum(keys.values())), "month"))
         return sorted(months)
 
     def upsert(
@@ -198,10 +206,12 @@ class MonthlyTable:
         if not self.index.exists():
             self.index.rebuild(self._pairs(stored))
         pairs = self._pairs(new)
-        known = self.index.months_of(pairs).persist()
+        keys = self._keys_by_month(new)
+        known = self.index.months_of(pairs, sum(keys.values())).persist()
         try:
-            months = sorted({*_values(new, self.MONTH), *_values(known, "month")})
-            self.index.add(pairs, known)
+            met = _values(known, "month")
+            months = sorted({*keys, *met})
+            self.index.add(pairs, known if met else None)
         finally:
             known.unpersist()
         touched = stored.filter(F.col(self.MONTH).isin(months))
