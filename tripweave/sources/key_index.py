@@ -64,8 +64,7 @@ class KeyIndex:
 
     def _append_keys(self, pairs: DataFrame, words: int) -> None:
         dealt = self._marked(pairs, words).select("key", "month", "bucket").repartition("bucket")
-        writer = dealt.write.mode("append").option("parquet.enable.dictionary#key", "false")  # hardly any key comes twice
-        writer.partitionBy("bucket").parquet(self._keys_path)
+        dealt.write.mode("append").partitionBy("bucket").parquet(self._keys_path)
 
     def _append_filters(self, keys: DataFrame, words: int) -> None:
         self._filters(keys, words).write.mode("append").parquet(self._filter_path(words))
